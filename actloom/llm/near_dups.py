@@ -74,33 +74,40 @@ def _sets(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple[p
             yield b, at, Sets(part, salt[at : at + len(part)], min_words)
 
 
-def _count(min_words: int):
+SURVEY = "grp string, id bigint, k bigint, elem bigint, n bigint"
+
+
+def _survey(min_words: int):
+    """One pass for the members (grp, id, k) and the element counts (elem, n) of a task."""
+
+    def table(**cols: pa.Array) -> pa.RecordBatch:
+        n = len(next(iter(cols.values())))
+        types = {"grp": pa.string(), "id": pa.int64(), "k": pa.int64(), "elem": pa.int64(), "n": pa.int64()}
+        return pa.RecordBatch.from_arrays([cols.get(c, pa.nulls(n, t)) for c, t in types.items()], names=list(types))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
+        def counts() -> pa.RecordBatch:
+            u, c = held[0]
+            return table(elem=pa.array(codes.signed(u)), n=pa.array(c))
+
+        def merge() -> None:
             u, inv = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            return u, np.bincount(inv, np.concatenate([h[1] for h in held])).astype(np.int64)
+            held[:] = [(u, np.bincount(inv, np.concatenate([h[1] for h in held])).astype(np.int64))]
 
-        for _, _, s in _sets(batches, min_words):
+        for b, at, s in _sets(batches, min_words):
             held.append(np.unique(s.elem, return_counts=True))
             if len(held) > 32:
-                held = [merged()]
+                merge()
                 if len(held[0][0]) > 2_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(codes.signed(held[0][0])), pa.array(held[0][1])], names=["elem", "n"])
-                    held = []
-        if held:
-            u, c = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(codes.signed(u)), pa.array(c)], names=["elem", "n"])
-
-    return run
-
-
-def _members(min_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, at, s in _sets(batches, min_words):
+                    yield counts()
+                    held.clear()
             rows = pa.array(at + s.rows)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(codes.signed(s.key))], names=["grp", "id", "k"])
+            yield table(grp=b.column(0).take(rows).cast(pa.string()), id=b.column(1).take(rows), k=pa.array(codes.signed(s.key)))
+        if held:
+            merge()
+            yield counts()
 
     return run
 
@@ -241,24 +248,26 @@ def dual_traversal(a: Tree, b: Tree | None, t: float) -> tuple[np.ndarray, np.nd
             lb -= 1
             i, j = i[j < len(b.levels[lb][1])], j[j < len(b.levels[lb][1])]
     left, right = [], []
-    r = np.float32(t / (1 + t))
-    for c in range(0, len(i), 64):
-        p, q = i[c : c + 64], j[c : c + 64]
-        shared = np.zeros((len(p), LEAF, LEAF), np.uint8)
-        for w in range(SIG):
+    r = t / (1 + t)
+    low, high = a.levels[0], b.levels[0]
+    need = np.clip(np.ceil(r * (low[1][i] + high[1][j]) - np.minimum(low[3][i], high[3][j]) - 1e-3), 0, 255).astype(np.uint8)
+    for c in range(0, len(i), 16):
+        p, q = i[c : c + 16], j[c : c + 16]
+        shared = np.bitwise_count(a.sig[0][p][:, :, None] & b.sig[0][q][:, None, :])
+        for w in range(1, SIG):
             shared += np.bitwise_count(a.sig[w][p][:, :, None] & b.sig[w][q][:, None, :])
-        na, nb = a.n[p][:, :, None], b.n[q][:, None, :]
-        bound = np.minimum(a.slack[p][:, :, None], b.slack[q][:, None, :]) + shared
-        ok = bound >= (na + nb) * r - np.float32(1e-3)
-        x, y, z = np.nonzero(ok)
-        if len(x):
-            n1, n2 = a.n[p[x], y], b.n[q[x], z]
-            fit = np.minimum(n1, n2) >= t * np.maximum(n1, n2) - 1e-6
+        # the leaves' common bound in bytes first, the pair's own bound for what is left
+        flat = np.flatnonzero(shared >= need[c : c + 16, None, None])
+        if len(flat):
+            x, y, z = np.unravel_index(flat, shared.shape)
+            x, y, s1, s2 = p[x], y, a.slack[p[x], y], b.slack[q[x], z]
+            v = j[c + flat // (LEAF * LEAF)]
+            n1, n2 = a.n[x, y], b.n[v, z]
+            fit = (np.minimum(s1, s2) + shared.ravel()[flat] >= r * (n1 + n2) - 1e-3) & (np.minimum(n1, n2) >= t * np.maximum(n1, n2) - 1e-6)
             if same:
-                fit &= (p[x] < q[x]) | (y < z)
-            x, y, z = x[fit], y[fit], z[fit]
-            left.append(a.k[p[x] * LEAF + y])
-            right.append(b.k[q[x] * LEAF + z])
+                fit &= (x < v) | (y < z)
+            left.append(a.k[x[fit] * LEAF + y[fit]])
+            right.append(b.k[v[fit] * LEAF + z[fit]])
     if not left:
         e = np.zeros(0, np.uint64)
         return e, e
@@ -360,13 +369,14 @@ def near_links(texts: DataFrame, threshold: float = 0.8, min_words: int = 1) ->
     """
     spark = texts.sparkSession
     rows = texts.selectExpr("cast(grp as string) grp", "cast(id as bigint) id", "cast(text as string) text").where("id is not null and text is not null")
-    counts = rows.mapInArrow(_count(min_words), "elem bigint, n bigint").groupBy("elem").agg(F.sum("n").alias("n"))
+    survey = written(rows.mapInArrow(_survey(min_words), SURVEY), "near-survey")
+    counts = survey.where("elem is not null").groupBy("elem").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "elem").limit(TOP).collect()
     keys = np.array([r.elem for r in top], np.int64).view(np.uint64)
     rank = np.arange(len(top), 0, -1).astype(np.uint64)
     order = np.argsort(keys)
     shared = spark.sparkContext.broadcast((keys[order], rank[order]))
-    members = written(rows.mapInArrow(_members(min_words), "grp string, id bigint, k bigint").distinct(), "near-members")
+    members = survey.where("k is not null").select("grp", "id", "k").distinct()
     parts = partitions(spark)
     blocks = rows.mapInArrow(_route(shared, threshold, min_words, parts), "part int, block binary").repartitionById(parts, F.col("part"))
     joined = written(blocks.mapInArrow(_join(threshold), PAIRS), "near-pairs")
@@ -374,10 +384,10 @@ def near_links(texts: DataFrame, threshold: float = 0.8, min_words: int = 1) ->
     pairs = joined.where("a is not null").select("a", "b").unionByName(more).distinct()
     ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
     holder = members.groupBy("k").agg(F.min(F.struct("id", "grp")).alias("m")).join(ends, "k", "left_semi").select("k", "m.id", "m.grp")
-    own = written(rows.join(holder, ["grp", "id"]).select("k", "text").dropDuplicates(["k"]), "near-texts")
+    own = written(rows.join(holder, ["grp", "id"]).select("k", "text"), "near-texts")
     both = pairs.join(own.withColumnsRenamed({"k": "a", "text": "ta"}), "a").join(own.withColumnsRenamed({"k": "b", "text": "tb"}), "b")
     links = both.select("a", "b", "ta", "tb").mapInArrow(_exact, "a bigint, b bigint, score double").where(F.col("score") >= threshold - 1e-12)
-    return written(links, "near-links"), members
+    return written(links.dropDuplicates(["a", "b"]), "near-links"), members
 
 
 def expanded(links: DataFrame, members: DataFrame) -> DataFrame:
