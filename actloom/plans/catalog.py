@@ -1,9 +1,14 @@
-"""The named queries of the engine's own operators and their SQL."""
+"""All named queries of the engine's own operators."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from actloom.plans import line_queries  # noqa: F401
+from actloom.plans.registry import QUERIES, SQL
 
 
-def oracle_sql():
-    return {}
+def queries():  # noqa: ANN201
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
