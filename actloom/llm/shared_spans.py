@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from actloom.llm import codes
-from actloom.runtime import written
+from actloom.runtime import partitions, written
 
 SPAN, GRAM = 20, 8
 #: spans of one automaton; stretches of one anchor beyond which it is spread over tasks; anchors looked up as hot
@@ -46,7 +46,8 @@ class Grams:
         i = np.arange(count)
         g = codes.stretch(pre, i, i + gram)
         w = span - gram + 1
-        self.anchor, self.local, self.at = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))
+        self.anchor = np.zeros(0, np.uint64)
+        self.local = self.low = self.high = np.zeros(0, np.int64)  # text, first and last word at which a span of this anchor starts
         if len(self.rows) and count >= w:
             low = np.lib.stride_tricks.sliding_window_view(g, w).argmin(1) + np.arange(count - w + 1)
             # windows that lie within one text
@@ -56,8 +57,8 @@ class Grams:
             low = low[at]
             new = np.ones(len(low), bool)
             new[1:] = (low[1:] != low[:-1]) | (local[1:] != local[:-1])
-            self.local, self.at = local[new], low[new]
-            self.anchor = g[self.at]
+            self.local, self.anchor, self.low = local[new], g[low[new]], at[new]
+            self.high = at[np.append(new[1:], True)]
 
 
 def _grams(batches: Iterator[pa.RecordBatch], column: int, span: int, gram: int) -> Iterator[tuple[pa.RecordBatch, int, pa.Array, Grams]]:
@@ -66,19 +67,40 @@ def _grams(batches: Iterator[pa.RecordBatch], column: int, span: int, gram: int)
             yield b, at, part, Grams(part, span, gram)
 
 
-def _members(span: int, gram: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, at, _, g in _grams(batches, 2, span, gram):
-            rows = pa.array(at + g.rows)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(codes.signed(g.key)), pa.array(g.n.astype(np.int32))], names=["grp", "id", "k", "n_words"])
+SURVEY = "grp string, id bigint, k bigint, n_words int, anchor bigint, route int"
+PASS = -1  # route of an anchor that its task already knows to recur
 
-    return run
 
+def _known(anchor: np.ndarray, key: np.ndarray, parts: int) -> np.ndarray:
+    """Route of each distinct (anchor, key) pair of a task, sorted: the anchor's partition; of the pairs of an anchor with
+    several keys only two are routed, which tell the other tasks, and the rest pass."""
+    route = (anchor % np.uint64(parts)).astype(np.int32)
+    first = np.searchsorted(anchor, anchor)
+    route[np.arange(len(anchor)) - first > 1] = PASS
+    return route
+
+
+def _survey(span: int, gram: int, parts: int):
+    """One pass for the members (grp, id, k, n_words) and the anchors (k, anchor, route) of a task, each text once."""
+
+    def table(**cols: pa.Array) -> pa.RecordBatch:
+        n = len(next(iter(cols.values())))
+        types = {"grp": pa.string(), "id": pa.int64(), "k": pa.int64(), "n_words": pa.int32(), "anchor": pa.int64(), "route": pa.int32()}
+        return pa.RecordBatch.from_arrays([cols.get(c, pa.nulls(n, t)) for c, t in types.items()], names=list(types))
 
-def _anchors(span: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for _, _, _, g in _grams(batches, 2, span, gram):
+        held: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            pair = np.unique(np.concatenate(held))
+            route = _known(pair["f0"], pair["f1"], parts)
+            return table(k=pa.array(codes.signed(pair["f1"])), anchor=pa.array(codes.signed(pair["f0"])), route=pa.array(route))
+
+        for b, at, _, g in _grams(batches, 2, span, gram):
+            rows = pa.array(at + g.rows)
+            yield table(grp=b.column(0).take(rows).cast(pa.string()), id=b.column(1).take(rows), k=pa.array(codes.signed(g.key)), n_words=pa.array(g.n.astype(np.int32)))
             _, once = np.unique(g.key, return_index=True)
             fresh = np.zeros(len(g.key), bool)
             fresh[once] = True
@@ -87,14 +109,32 @@ def _anchors(span: int, gram: int):
                 seen.clear()
             seen.update(g.key[fresh].tolist())
             on = fresh[g.local]
-            pair = np.unique(np.rec.fromarrays([g.anchor[on], g.key[g.local[on]]]))
-            yield pa.RecordBatch.from_arrays([pa.array(codes.signed(pair["f0"])), pa.array(codes.signed(pair["f1"]))], names=["anchor", "k"])
+            held.append(np.rec.fromarrays([g.anchor[on], g.key[g.local[on]]], dtype=[("f0", np.uint64), ("f1", np.uint64)]))
+            size += int(on.sum())
+            if size > 2_000_000:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
 
     return run
 
 
+def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, k) of the anchors of a partition that stand in texts of several keys."""
+    got = [tuple(c.to_numpy(zero_copy_only=False) for c in b.columns) for b in batches]
+    if not got:
+        return
+    anchor, k, route = (np.concatenate([g[i] for g in got]) for i in range(3))
+    yield pa.RecordBatch.from_arrays([pa.array(anchor[route == PASS]), pa.array(k[route == PASS])], names=["anchor", "k"])
+    pair = np.unique(np.rec.fromarrays([anchor[route != PASS], k[route != PASS]], dtype=[("f0", np.int64), ("f1", np.int64)]))
+    _, at, n = np.unique(pair["f0"], return_inverse=True, return_counts=True)
+    pair = pair[n[at] > 1]
+    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair["f0"])), pa.array(np.ascontiguousarray(pair["f1"]))], names=["anchor", "k"])
+
+
 def _stretches(span: int, gram: int):
-    """(anchor, k, first word, words) around each recurring anchor of the texts (k, anchors, text)."""
+    """(anchor, k, first word, words) of the texts (k, anchors, text): the words of all spans of each recurring anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, at, part, g in _grams(batches, 2, span, gram):
@@ -108,9 +148,9 @@ def _stretches(span: int, gram: int):
                 hit = np.isin(g.anchor[s:e], want)
                 words = text[r].split()
                 key = int(codes.signed(g.key[i : i + 1])[0])
-                for a, p in zip(codes.signed(g.anchor[s:e][hit]).tolist(), (g.at[s:e][hit] - g.first[i]).tolist(), strict=True):
-                    lo, hi = max(0, p + gram - span), min(len(words), p + span)
-                    out.append((a, key, lo, " ".join(words[lo:hi])))
+                first = g.first[i]
+                for a, lo, hi in zip(codes.signed(g.anchor[s:e][hit]).tolist(), (g.low[s:e][hit] - first).tolist(), (g.high[s:e][hit] - first).tolist(), strict=True):
+                    out.append((a, key, lo, " ".join(words[lo : hi + span])))
             cols = list(zip(*out, strict=True)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.string()), strict=True)], names=["anchor", "k", "first", "words"])
 
@@ -174,7 +214,7 @@ def _locate(span: int):
                 if anchor != last:
                     if many:
                         shard += group
-                        spans += 13 * len(group)
+                        spans += 8 * len(group)
                     if spans >= SHARD_SPANS:
                         yield table(locate(shard, span))
                         shard, spans = [], 0
@@ -193,30 +233,34 @@ def occurrences(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[D
     """(occurrences, members) of ``texts`` (grp, id, text): occurrences (passage, k, at) of the spans that stand in texts
     of at least two keys, members (grp, id, k, n_words) of the texts that are long enough.
 
-    Shuffles: anchors (about one in seven words) by partial aggregate and semi join, the texts that hold recurring
+    Shuffles: anchors (about one in seven words, of an anchor frequent in a task only two), the texts that hold recurring
     anchors, their stretches; AQE splits hot join keys, hot anchors are spread by record.
     """
     if gram > span:
         raise ValueError("gram must not exceed span")
     rows = texts.selectExpr("cast(grp as string) grp", "cast(id as bigint) id", "cast(text as string) text").where("id is not null and text is not null")
-    members = written(rows.mapInArrow(_members(span, gram), "grp string, id bigint, k bigint, n_words int").distinct(), "span-members")
-    anchors = written(rows.mapInArrow(_anchors(span, gram), "anchor bigint, k bigint"), "span-anchors")
-    again = anchors.groupBy("anchor").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
-    lists = anchors.join(again, "anchor", "left_semi").groupBy("k").agg(F.collect_set("anchor").alias("anchors"))
+    parts = partitions(texts.sparkSession)
+    survey = written(rows.mapInArrow(_survey(span, gram, parts), SURVEY), "span-survey")
+    members = survey.where("id is not null").select("grp", "id", "k", "n_words").distinct()
+    spread = F.when(F.col("route") == PASS, F.expr(f"cast(pmod(k, {parts}) as int)")).otherwise(F.col("route"))
+    anchors = survey.where("anchor is not null").select("anchor", "k", "route").repartitionById(parts, spread)
+    again = written(anchors.mapInArrow(_recurring, "anchor bigint, k bigint"), "span-anchors")
+    lists = again.groupBy("k").agg(F.collect_set("anchor").alias("anchors"))
     holder = members.groupBy("k").agg(F.min(F.struct("id", "grp")).alias("m")).join(lists, "k").select("k", "anchors", "m.id", "m.grp")
-    held = rows.join(holder, ["grp", "id"]).dropDuplicates(["k"]).select("k", "anchors", "text")
-    hot = again.where(F.col("n") >= HOT_ANCHOR).orderBy(F.desc("n")).limit(MAX_HOT).select("anchor", F.ceil(F.col("n") / HOT_ANCHOR).cast("int").alias("shares"))
+    held = rows.join(holder, ["grp", "id"]).select("k", "anchors", "text")
+    many = again.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_ANCHOR)
+    hot = many.orderBy(F.desc("n")).limit(MAX_HOT).select("anchor", F.ceil(F.col("n") / HOT_ANCHOR).cast("int").alias("shares"))
     pieces = held.mapInArrow(_stretches(span, gram), "anchor bigint, k bigint, first int, words string").join(F.broadcast(hot), "anchor", "left")
     pieces = pieces.withColumn("share", F.coalesce(F.expr("cast(pmod(k, shares) as int)"), F.lit(-1))).select("anchor", "share", "k", "first", "words")
     routed = pieces.repartition("anchor", "share").sortWithinPartitions("anchor", "share")
-    found = written(routed.mapInArrow(_locate(span), OCCURRENCE).distinct(), "span-found")
+    found = written(routed.mapInArrow(_locate(span), OCCURRENCE), "span-found")
     return found, members
 
 
 def item_pairs(found: DataFrame, members: DataFrame) -> DataFrame:
     """(a_id, b_id) of different records that share a span, the smaller id first; equal texts count, any group against any."""
-    once = found.select("passage", "k").distinct()
-    keys = once.alias("x").join(once.withColumnRenamed("k", "k2"), "passage").where("k < k2").select("k", "k2").distinct()
+    once = found.select("passage", "k")
+    keys = once.join(once.withColumnRenamed("k", "k2"), "passage").where("k < k2").select("k", "k2").distinct()
     own = members.select("k", "id").distinct()
     across = keys.join(own.withColumnRenamed("id", "x"), "k").join(own.withColumnsRenamed({"id": "y", "k": "k2"}), "k2").where("x <> y").select("x", "y")
     copies = own.withColumnRenamed("id", "x").join(own.withColumnRenamed("id", "y"), "k").where("x < y").select("x", "y")
