@@ -7,30 +7,33 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as Y
 
 from actloom.functions import tokens as T
 from actloom.functions.text import normalized
 
 CHARS_EXACT, TOKENS_EXACT = 12_000, 3_000
-DIFF = "inserted_words int, deleted_words int, replaced_from_words int, replaced_to_words int"
+# types are built, not parsed: workers import this module without a session
+DIFF = Y.StructType([Y.StructField(c, Y.IntegerType()) for c in ("inserted_words", "deleted_words", "replaced_from_words", "replaced_to_words")])
+CODED = Y.StructType([Y.StructField(c, Y.StringType()) for c in ("x", "y")])
 
 
 def ratio(a: str | None, b: str | None) -> float:
     """Character similarity of base and amendment, in this order; 0 if either is empty."""
-    return SequenceMatcher(None, a.lower(), b.lower()).ratio() if a and b else 0.0
+    return SequenceMatcher(None, a.lower(), b.lower()).ratio() if isinstance(a, str) and isinstance(b, str) and a and b else 0.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(Y.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(Y.DoubleType())
 def _plain_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(Y.DoubleType())
 def _token_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, list(x), list(y)).ratio() for x, y in zip(a, b, strict=True)], dtype=float)
 
@@ -68,19 +71,24 @@ def char_distance(a: Column, b: Column, most: int = CHARS_EXACT) -> Column:
     return _distance(F.when(x == y, 0).otherwise(F.levenshtein(F.when(exact, x).otherwise(""), F.when(exact, y).otherwise(""))), F.greatest(F.length(x), F.length(y)), estimate, exact)
 
 
-def coded(tokens: Column, vocabulary: Column) -> Column:
-    """A string with one character for each token, its place in the vocabulary shifted into a plane of letters."""
-    return F.array_join(F.transform(tokens, lambda t: F.decode(F.unhex(F.hex(F.lit(19968) + F.array_position(vocabulary, t))), "UTF-16BE")), "")
+@F.pandas_udf(CODED)
+def coded(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """Two token arrays as strings with one character for each distinct token of the pair."""
+    out = []
+    for p, q in zip(a, b, strict=True):
+        code: dict[str, str] = {}
+        out.append(["".join(code.setdefault(t, chr(0x4E00 + len(code))) for t in s) for s in (p, q)])
+    return pd.DataFrame(out, columns=["x", "y"])
 
 
 def token_distance(a: Column, b: Column, most: int = TOKENS_EXACT) -> Column:
+    """Edit distance of token arrays, exact up to ``most`` tokens: each token one character for the JVM's own function."""
     x, y = T.words(normalized(a)), T.words(normalized(b))
     exact = F.greatest(F.size(x), F.size(y)) <= most
     none = F.array().cast("array<string>")
-    p, q = F.when(exact, x).otherwise(none), F.when(exact, y).otherwise(none)
-    vocabulary = F.array_distinct(F.concat(p, q))
+    code = coded(F.when(exact, x).otherwise(none), F.when(exact, y).otherwise(none))
     estimate = _token_ratio(F.when(exact, none).otherwise(x), F.when(exact, none).otherwise(y))
-    return _distance(F.when(x == y, 0).otherwise(F.levenshtein(coded(p, vocabulary), coded(q, vocabulary))), F.greatest(F.size(x), F.size(y)), estimate, exact)
+    return _distance(F.levenshtein(code["x"], code["y"]), F.greatest(F.size(x), F.size(y)), estimate, exact)
 
 
 def inserted_words(runs: Column) -> Column:

@@ -14,6 +14,11 @@ def _sub(c: Column, pattern: str, by: str = "") -> Column:
     return F.regexp_replace(c, F.lit(pattern), F.lit(by))
 
 
+def let(value: Column, body) -> Column:  # noqa: ANN001
+    """``body(value)`` with the value computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 

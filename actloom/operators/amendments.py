@@ -43,12 +43,18 @@ def coalesce_markers(items: DataFrame) -> DataFrame:
     ).drop("_m", "_next", "_joins", "_taken")
 
 
+_SCAFFOLD = r"(?i)^\([ivxlcdm]+\) +(?=\([a-z]+\)|in\s+the\b|the\s+following\b|paragraph\b|point\b|Article\b)"
+
+
 def item_text(c: Column) -> Column:
     """Payload form of an item's text; empty for scaffolding."""
-    t = X.unquoted(X.without_marker_quote(X.without_anchors(c)))
-    t = F.when(t.rlike(r"(?i)^\([ivxlcdm]+\) (?=\([a-z]+\)|in\s+the\b|the\s+following\b|paragraph\b|point\b|Article\b)"), F.regexp_replace(t, r"(?i)^\([ivxlcdm]+\) +", "")).otherwise(t)
-    scaffold = C.is_instruction(t) | X.is_bare_marker(t) | t.rlike(r"(?i)^\([a-z]+\)\s*;\s*$") | t.rlike(r"^;\s*$")
-    return F.when((t == "") | scaffold, "").otherwise(X.marker_tab(t))
+
+    def payload(t: Column) -> Column:
+        scaffold = C.is_instruction(t) | X.is_bare_marker(t) | t.rlike(r"(?i)^\([a-z]+\)\s*;\s*$") | t.rlike(r"^;\s*$")
+        return F.when((t == "") | scaffold, "").otherwise(X.marker_tab(t))
+
+    bare = X.let(X.without_anchors(c), lambda t: X.unquoted(X.without_marker_quote(t)))
+    return X.let(F.regexp_replace(bare, _SCAFFOLD, ""), payload)
 
 
 def normalize(items: DataFrame) -> DataFrame:

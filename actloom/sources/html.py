@@ -13,6 +13,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from actloom.functions.text import hard_spaces
 
@@ -158,7 +159,7 @@ def elements(pages: DataFrame) -> DataFrame:
     return got.withColumn("text_fn", hard_spaces(F.trim(tidy)))
 
 
-@F.udf("string", useArrow=True)
+@F.udf(StringType(), useArrow=True)
 def decoded(data):  # noqa: ANN001, ANN201
     return decode(bytes(data) if data is not None else b"")
 
