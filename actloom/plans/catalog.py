@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from actloom.plans import act_queries, coverage_queries, item_queries, line_queries  # noqa: F401
+from actloom.plans import act_queries, audit_queries, coverage_queries, item_queries, line_queries  # noqa: F401
 from actloom.plans.registry import QUERIES, SQL
 
 
