@@ -9,7 +9,10 @@ from actloom.functions import classify as C
 from actloom.functions import targets as G
 from actloom.functions import text as X
 
-ORDER = Window.partitionBy("doc_id").orderBy("item_idx")
+
+def order():  # noqa: ANN201
+    """Document order; made when used, as a window needs a session."""
+    return Window.partitionBy("doc_id").orderBy("item_idx")
 REPLACED = r"(?i)\breplaced by the following\b"
 TARGETS = ("target_article_number", "target_paragraph_number", "target_point_marker", "target_annex_number", "target_annex_point_marker")
 
@@ -26,10 +29,10 @@ def coalesce_markers(items: DataFrame) -> DataFrame:
     """A row that is only a list marker takes the body of the next row, which goes; the body's instruction wins, missing targets are filled from it."""
     body = F.struct("text", "source_instruction", *TARGETS[:3])
     marker = X.is_list_marker(F.col("text"))
-    rows = items.withColumn("_m", marker).withColumn("_next", F.when(F.col("_m"), F.lead(body).over(ORDER)))
+    rows = items.withColumn("_m", marker).withColumn("_next", F.when(F.col("_m"), F.lead(body).over(order())))
     joins = F.col("_m") & F.coalesce((X.clean(F.col("_next.text")) != "") & ~X.is_list_marker(F.col("_next.text")), F.lit(False))
     rows = rows.withColumn("_joins", joins)
-    rows = rows.withColumn("_taken", F.coalesce(F.lag("_joins").over(ORDER), F.lit(False))).where("not _taken")
+    rows = rows.withColumn("_taken", F.coalesce(F.lag("_joins").over(order()), F.lit(False))).where("not _taken")
     own = F.lower(C.found(X.clean(F.col("text")), r"(?i)^\(([a-z]+)\)$"))
     take = lambda c: F.when(F.col("_joins") & ~_has(c), F.coalesce(F.col(f"_next.{c}"), F.col(c))).otherwise(F.col(c))
     return rows.withColumns(
@@ -84,7 +87,7 @@ def backfill(items: DataFrame) -> DataFrame:
     takes_annex = (F.col("_i") != "") & ~_has("target_annex_number") & F.col("_annex").isNotNull()
     base = F.when(takes_annex, F.lit(None).cast("string")).otherwise(F.coalesce("_art", F.nullif("target_article_number", F.lit(""))))
     rows = rows.withColumn("_takes", takes_annex).withColumn("_base", base)
-    carry = F.last("_base", ignorenulls=True).over(ORDER.rowsBetween(Window.unboundedPreceding, -1))
+    carry = F.last("_base", ignorenulls=True).over(order().rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("_carry", carry)
     relative = (F.col("_i") != "") & F.col("_i").rlike(r"(?i)\b(?:paragraph|subparagraph|point|points|introductory wording)\b")
     fill = lambda c, v: F.when(F.col("_takes"), F.lit(None).cast("string")).when((F.col("_i") != "") & ~_has(c), F.coalesce(v, F.col(c))).otherwise(F.col(c))
@@ -127,7 +130,7 @@ def insertion_runs(items: DataFrame) -> DataFrame:
     """(doc_id, run, first_idx, n, marker, mentions): maximal runs of items that insert an article without naming one, with the lettered article most often mentioned (at least twice)."""
     on = X.clean(F.col("source_instruction")).rlike(r"(?i)\bthe following articles?\s+(?:is|are)\s+(?:inserted|added)\b") & ~_has("target_article_number")
     rows = items.withColumn("_on", F.coalesce(on, F.lit(False)))
-    rows = rows.withColumn("_turn", (F.col("_on") & ~F.coalesce(F.lag("_on").over(ORDER), F.lit(False))).cast("int")).withColumn("run", F.sum("_turn").over(ORDER)).where("_on")
+    rows = rows.withColumn("_turn", (F.col("_on") & ~F.coalesce(F.lag("_on").over(order()), F.lit(False))).cast("int")).withColumn("run", F.sum("_turn").over(order())).where("_on")
     runs = rows.groupBy("doc_id", "run").agg(F.min("item_idx").alias("first_idx"), F.count(F.lit(1)).alias("n"))
     named = rows.select("doc_id", "run", "item_idx", F.posexplode(F.transform(F.regexp_extract_all(X.clean(F.col("text")), F.lit(r"(?i)\bArticle\s+(\d+[A-Za-z])\b"), F.lit(1)), F.lower)).alias("p", "marker"))
     counted = named.groupBy("doc_id", "run", "marker").agg(F.count(F.lit(1)).alias("mentions"), F.min(F.struct("item_idx", "p")).alias("at"))

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from actloom.functions import classify as C
 from actloom.functions import text as X
 
-ORDER = Window.partitionBy("doc_id").orderBy("pos")
+
+def order():  # noqa: ANN201
+    """Document order; made when used, as a window needs a session."""
+    return Window.partitionBy("doc_id").orderBy("pos")
 
 
 def source_id() -> Column:
@@ -35,13 +38,13 @@ def legal_stream(elements: DataFrame, root: DataFrame) -> DataFrame:
     """Legal elements below the root in document order with their 1-based place ``i`` and markup text ``t``."""
     below = elements.join(root, "doc_id").where("pos > root_pos and pos <= root_end").withColumn("t", X.clean_markup(F.col("text")))
     kept = below.where(C.is_legal_element(F.col("classes")) & C.is_emitted(F.col("classes")) & ((F.col("t") != "") | has(*C.TABLE)))
-    return kept.withColumn("i", F.row_number().over(ORDER))
+    return kept.withColumn("i", F.row_number().over(order()))
 
 
 def footnotes(elements: DataFrame, root: DataFrame) -> DataFrame:
     """(doc_id, ord, note_id, marker, text) of the notes not nested in another, the first of equal ones."""
-    notes = elements.join(root, "doc_id").where(has("oj-note") & (F.col("pos") > F.col("root_pos")) & (F.col("pos") <= F.col("root_end"))).withColumn("idx", F.row_number().over(ORDER))
-    outer = F.max("end_pos").over(ORDER.rowsBetween(Window.unboundedPreceding, -1))
+    notes = elements.join(root, "doc_id").where(has("oj-note") & (F.col("pos") > F.col("root_pos")) & (F.col("pos") <= F.col("root_end"))).withColumn("idx", F.row_number().over(order()))
+    outer = F.max("end_pos").over(order().rowsBetween(Window.unboundedPreceding, -1))
     top = notes.withColumn("outer", outer).where("outer is null or outer < pos")
     tags = elements.where(has("oj-note-tag")).select("doc_id", F.col("pos").alias("tp"), F.col("text").alias("tt"), F.col("end_pos").alias("te"))
     tagged = top.join(tags, "doc_id", "left").groupBy("doc_id", "pos", "idx").agg(F.first("text").alias("text"), F.first(source_id()).alias("sid"), F.min_by("tt", F.when((F.col("tp") > F.col("pos")) & (F.col("tp") <= F.col("end_pos")), F.col("tp"))).alias("tag"))
@@ -50,7 +53,7 @@ def footnotes(elements: DataFrame, root: DataFrame) -> DataFrame:
     body = F.when(F.col("tag").isNotNull() & F.startswith("text", F.col("tag")), F.expr("substring(text, length(tag) + 1)")).otherwise(F.col("text"))
     rows = tagged.select("doc_id", "pos", marker.alias("marker"), X.clean_markup(body).alias("text"), "sid", "idx").withColumn("note_id", F.coalesce("sid", F.concat(F.lit("note_"), F.when(F.col("marker") != "", F.col("marker")).otherwise(F.col("idx").cast("string")))))
     once = rows.withColumn("r", F.row_number().over(Window.partitionBy("doc_id", "note_id", "marker", "text").orderBy("pos"))).where("r = 1")
-    return once.select("doc_id", F.row_number().over(ORDER).alias("ord"), "note_id", "marker", "text")
+    return once.select("doc_id", F.row_number().over(order()).alias("ord"), "note_id", "marker", "text")
 
 
 def footnote_bodies(elements: DataFrame) -> DataFrame:
@@ -65,9 +68,9 @@ def recitals(stream: DataFrame) -> DataFrame:
     first = F.min(F.when(has("oj-ti-art"), F.col("i"))).over(Window.partitionBy("doc_id"))
     n = C.found(F.col("t"), r"(?sU)^\s*\(?\s*(\d{1,3})\s*\)?\s+.*").cast("int")
     rows = stream.withColumn("first", first).where("first is not null and i < first").where(has("oj-normal")).withColumn("n", n).where("n is not null")
-    upto = ORDER.rowsBetween(Window.unboundedPreceding, 0)
+    upto = order().rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("on", F.max((F.col("n") == 1).cast("int")).over(upto)).where("on = 1")
-    rows = rows.withColumn("top", F.coalesce(F.max("n").over(ORDER.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = rows.withColumn("top", F.coalesce(F.max("n").over(order().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     rows = rows.withColumn("gaps", F.sum((F.col("n") > F.col("top") + 1).cast("int")).over(upto)).where("gaps = 0 and n = top + 1")
     return rows.select("doc_id", F.concat(F.lit("recital_"), "n").alias("provision_id"), F.col("n").cast("string").alias("number"), F.col("t").alias("text"), "classes", source_id().alias("source_id"))
 
@@ -81,7 +84,7 @@ def sections(stream: DataFrame) -> DataFrame:
 def article_stream(stream: DataFrame) -> DataFrame:
     """The stream with the article it belongs to: from a heading to the next one or to a text that starts an annex."""
     head = has("oj-ti-art")
-    upto = ORDER.rowsBetween(Window.unboundedPreceding, 0)
+    upto = order().rowsBetween(Window.unboundedPreceding, 0)
     rows = stream.withColumn("k", F.sum(head.cast("int")).over(upto)).where("k > 0")
     own = Window.partitionBy("doc_id", "k").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("ended", F.max((~head & F.col("t").rlike(C.ANNEX_START)).cast("int")).over(own)).where("ended = 0")
@@ -116,7 +119,7 @@ def annexes(elements: DataFrame) -> DataFrame:
     rows = elements.withColumn("t", X.clean_markup(F.col("text"))).where(C.is_annex_heading(F.col("classes"), F.col("t")) & (F.length("t") <= 120))
     first = rows.withColumn("r", F.row_number().over(Window.partitionBy("doc_id", F.upper("t")).orderBy("pos"))).where("r = 1")
     size = elements.groupBy("doc_id").agg((F.max("pos") + 1).alias("size"))
-    rows = first.withColumns({"k": F.row_number().over(ORDER), "next": F.lead("pos").over(ORDER)}).join(size, "doc_id")
+    rows = first.withColumns({"k": F.row_number().over(order()), "next": F.lead("pos").over(order())}).join(size, "doc_id")
     label = F.coalesce(C.found(F.col("t"), C.ANNEX_START), F.col("k").cast("string"))
     return rows.select("doc_id", "k", F.concat(F.lit("annex_"), X.slug(label)).alias("provision_id"), F.col("t").alias("heading"), "pos", F.coalesce("next", "size").alias("stop"), source_id().alias("source_id"))
 

@@ -115,3 +115,45 @@ def footnote_ids(spark: SparkSession, d: str) -> DataFrame:
     f = table(spark, d, "footnotes").where("text <> ''").select(F.col("act_id").cast("string").alias("doc_id"), "pos", F.col("fn_id").cast("string").alias("number"), F.col("text").alias("body"))
     got = H.footnote_ids(f.select("doc_id", "pos", "number"), f.select("doc_id", "number", "body"))
     return got.select("doc_id", F.col("number").cast("bigint").alias("number"), "new_id", "body")
+
+
+def _amending_pages(spark: SparkSession, d: str) -> DataFrame:
+    """One amending page an act: each item's instruction and payload as two lines of its amending article."""
+    a = table(spark, d, "amendment_analysis").where("source_instruction is not null and amending_text is not null and article_number is not null").where(r"amending_text rlike '^[A-Za-z0-9 .,;()/-]+$'")
+    line = F.concat(F.lit('<p class="oj-normal">'), "source_instruction", F.lit('</p><p class="oj-normal">'), "amending_text", F.lit("</p>"))
+    # the same article number may come up in any act, so the page is made per act and article
+    body = a.groupBy("act_id", "article_number").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("analysis_id", line.alias("l")))), lambda x: x["l"]), "").alias("body"))
+    page = F.concat(F.lit('<html><body><div class="eli-container"><div class="eli-subdivision" id="art_'), "article_number", F.lit('"><p class="oj-ti-art">Article '), "article_number", F.lit("</p>"), "body", F.lit("</div></div></body></html>"))
+    return body.select(F.concat_ws(":", "act_id", "article_number").alias("doc_id"), page.alias("html"))
+
+
+@query()
+def collected_items(spark: SparkSession, d: str) -> DataFrame:
+    """Items read back from amending pages."""
+    from actloom.operators import collect
+    from actloom.plans.pipeline import amending_lines
+    from actloom.sources import html
+
+    return collect.items(amending_lines(html.elements(_amending_pages(spark, d))))
+
+
+@query()
+def verify_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Every item's amendment checked against what it was matched with."""
+    from actloom.plans.pipeline import verify
+
+    a = table(spark, d, "amendment_analysis").where("best_match_text is not null and amending_text is not null")
+    one = lambda c: a.select(F.col("analysis_id").alias("doc_id"), F.col(c).alias("text"))
+    got = verify(one("amending_text"), one("best_match_text"))
+    return got.select("doc_id", "strict_coverage", "practical_coverage", F.col("characters.distance").alias("char_distance"), F.col("tokens.distance").alias("token_distance"), "passed")
+
+
+@query("SELECT CAST(act_id AS VARCHAR) || ':' || article_number AS doc_id, count(*) AS paragraphs FROM amendment_analysis WHERE source_instruction IS NOT NULL AND article_number IS NOT NULL AND regexp_matches(amending_text, '^[A-Za-z0-9 .,;()/-]+$') GROUP BY ALL")
+def docx_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Paragraphs that come back from documents written and read again."""
+    from actloom.sources import docx
+
+    a = table(spark, d, "amendment_analysis").where("source_instruction is not null and article_number is not null").where(r"amending_text rlike '^[A-Za-z0-9 .,;()/-]+$'")
+    run = F.struct(F.col("amending_text").alias("text"), F.lit("insert").alias("kind"), F.lit(False).alias("strike"), F.lit(True).alias("double_underline"), F.lit(COLOR).alias("color"))
+    ps = a.select(F.concat_ws(":", "act_id", "article_number").alias("doc_id"), F.col("analysis_id").alias("ord"), F.array(run).alias("runs"))
+    return docx.read_paragraphs(docx.to_files(ps)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("paragraphs"))
