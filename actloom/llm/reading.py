@@ -25,6 +25,8 @@ from actloom.llm import codes
 
 GRADES = 5
 MAX_LABELLED, MAX_WORDS, MIN_TEXTS = 20_000, 100_000, 3
+#: graded expert texts from which the floor of expert levels is taken; with fewer there is no floor
+MIN_EXPERT = 100
 QUANTILES = (0.25, 0.5, 0.75, 0.9)
 #: abbreviations whose full stop ends no sentence (fixed values)
 ABBREVIATIONS = ("Art", "No", "cf", "p", "para")
@@ -170,7 +172,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
         model.weights = np.linalg.solve(x.T @ x + 1e-3 * np.eye(x.shape[1]), x.T @ y)
         level = model.level(x[:, 1], [x[:, 2 + i] for i in range(len(QUANTILES))])
         expert = (got["n_words"] >= 28 * got["n_sentences"].clip(lower=1)) & (got["n_letters"] >= 5.5 * got["n_words"])
-        model.expert_floor = float(level[expert.to_numpy()].min()) - 1.0 if expert.any() else None
+        model.expert_floor = float(level[expert.to_numpy()].min()) - 1.0 if expert.sum() >= MIN_EXPERT else None
     return model
 
 
