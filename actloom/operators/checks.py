@@ -25,27 +25,44 @@ def output_tokens(paragraphs: DataFrame) -> DataFrame:
     return lines.select("doc_id", T.words(F.array_join(F.transform("l", lambda x: x["t"]), " ")).alias("tokens"))
 
 
-def with_output(items: DataFrame, output: DataFrame) -> DataFrame:
-    """``items`` with the tokens of their document's output (empty where there is none)."""
-    return items.join(output, "doc_id", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+KEY = 6  # tokens by which a probe finds its places; shorter probes use all they have
 
 
-def application(items: DataFrame) -> DataFrame:
+def places(output: DataFrame, longest: int = 24) -> DataFrame:
+    """(doc_id, k, key, window): for every position of a document's tokens the next 1..KEY tokens as key and ``longest`` as window."""
+    at = output.select("doc_id", "tokens", F.explode(F.sequence(F.lit(1), F.size("tokens"))).alias("i")).where(F.size("tokens") > 0)
+    window = at.select("doc_id", F.slice("tokens", F.col("i"), longest).alias("window"))
+    each = window.select("doc_id", "window", F.explode(F.sequence(F.lit(1), F.least(F.lit(KEY), F.size("window")))).alias("k"))
+    return each.select("doc_id", "k", F.array_join(F.slice("window", 1, F.col("k")), " ").alias("key"), "window")
+
+
+def probe_matches(probes: DataFrame, output: DataFrame) -> DataFrame:
+    """(doc_id, item_idx, matched): how many leading tokens of each probe stand together in its document's output, at most.
+
+    ``probes``: doc_id, item_idx, probe.  An equi join on document and leading tokens, so neither a hot document nor a
+    long output meets all of its items.
+    """
+    p = probes.where(F.size("probe") > 0).withColumn("k", F.least(F.lit(KEY), F.size("probe"))).withColumn("key", F.array_join(F.slice("probe", 1, F.col("k")), " "))
+    same = F.aggregate(F.zip_with("probe", "window", lambda a, b: F.coalesce(a == b, F.lit(False))), F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, e: F.struct((s["n"] + (s["on"] & e).cast("int")).alias("n"), (s["on"] & e).alias("on")), lambda s: s["n"])
+    hit = p.join(places(output), ["doc_id", "k", "key"]).select("doc_id", "item_idx", same.alias("n"))
+    return hit.groupBy("doc_id", "item_idx").agg(F.max("n").alias("matched"))
+
+
+def _found(matched: Column, size: Column, shorter: tuple[int, ...]) -> Column:
+    """Whether the whole probe or one of the shorter prefixes stands in the output."""
+    return F.coalesce((size > 0) & (matched >= F.least(size, F.lit(min(shorter)))), F.lit(False))
+
+
+def application(items: DataFrame, output: DataFrame) -> DataFrame:
     """One row a document: inserted items missing from the output, replaced items found, replacement groups not applied.
 
-    ``items``: doc_id, item_idx, amending_text, source_instruction, applied_mode, targets, tokens of the output.
+    ``items``: doc_id, item_idx, amending_text, source_instruction, applied_mode, targets; ``output``: doc_id, tokens.
     """
     mode = X.clean(F.col("applied_mode"))
-    probe24, probe16 = T.probe(F.col("amending_text"), 24), T.probe(F.col("amending_text"), 16)
-    rows = items.withColumns(
-        {
-            "mode": mode,
-            "found24": T.matched_length(F.col("tokens"), probe24, (18, 12, 8)).isNotNull(),
-            "found16": T.matched_length(F.col("tokens"), probe16, (12, 8, 6)).isNotNull(),
-            "probed": F.size(probe24) > 0,
-            "replacing": X.clean(F.col("source_instruction")).rlike(r"(?i)\breplaced by the following\b"),
-        }
-    ).drop("tokens")
+    rows = items.withColumns({"mode": mode, "probe": T.probe(F.col("amending_text"), 24), "replacing": X.clean(F.col("source_instruction")).rlike(r"(?i)\breplaced by the following\b")})
+    rows = rows.join(probe_matches(rows, output), ["doc_id", "item_idx"], "left").withColumn("probed", F.size("probe") > 0)
+    size16 = F.least(F.size("probe"), F.lit(16))
+    rows = rows.withColumns({"found24": _found(F.col("matched"), F.size("probe"), (18, 12, 8)), "found16": _found(F.col("matched"), size16, (12, 8, 6))})
     first = F.struct("item_idx", "mode", X.clean(F.col("source_instruction")).alias("i"), F.lower(X.clean(F.col("target_point_marker"))).alias("p"))
     groups = rows.where("replacing").groupBy("doc_id", *_key("source_instruction", *TARGETS)).agg(F.bool_or(F.col("mode").isin("replaced", "already_applied") | F.col("found16")).alias("ok"), F.min(first).alias("f"))
     excused = (F.col("f.mode") == "analysis_only") & ((F.col("f.p").rlike(f"^{T.ROMAN}$") & (F.col("f.p") != "")) | F.col("f.i").rlike(r"(?i)\bintroductory\s+(?:wording|sentence)\b"))
@@ -61,13 +78,19 @@ def application(items: DataFrame) -> DataFrame:
     return got.join(bad, "doc_id", "left").fillna(0, ["replacement_instruction_items_not_properly_applied"])
 
 
-def one_go(items: DataFrame) -> DataFrame:
-    """One row a document: whether every group of substantive items was applied or stands in the output."""
+def one_go(items: DataFrame, output: DataFrame) -> DataFrame:
+    """One row a document: whether every group of substantive items was applied or stands in the output.
+
+    The ordered search runs over a whole output, so only items that are still open after the joins take part in it.
+    """
     probe = F.slice(T.words(X.clean(F.col("amending_text"))), 1, 24)
     rows = items.withColumn("probe", probe).where(F.size("probe") > 0)
-    loose = (F.size("probe") >= 8) & (T.contains_in_order(F.col("tokens"), F.slice("probe", 1, 12)) | T.contains_in_order(F.col("tokens"), F.slice("probe", 1, 8)))
-    there = T.matched_length(F.col("tokens"), F.col("probe"), (18, 12, 8)).isNotNull() | loose
-    rows = rows.withColumn("open", X.clean(F.col("applied_mode")) == "analysis_only").withColumn("ok", ~F.col("open") | there)
+    rows = rows.join(probe_matches(rows, output), ["doc_id", "item_idx"], "left")
+    rows = rows.withColumn("open", X.clean(F.col("applied_mode")) == "analysis_only").withColumn("ok", ~F.col("open") | _found(F.col("matched"), F.size("probe"), (18, 12, 8)))
+    left = rows.where("not ok").where(F.size("probe") >= 8).select("doc_id", "item_idx", "probe").join(output, "doc_id")
+    # eight in order follow from twelve in order
+    loose = left.where(T.contains_in_order(F.col("tokens"), F.slice("probe", 1, 8))).select("doc_id", "item_idx", F.lit(True).alias("loose")).distinct()
+    rows = rows.join(loose, ["doc_id", "item_idx"], "left").withColumn("ok", F.col("ok") | F.coalesce("loose", F.lit(False)))
     groups = rows.groupBy("doc_id", *_key("article_number", *TARGETS, "source_instruction")).agg(F.bool_or("ok").alias("ok"), F.count(F.lit(1)).alias("n"))
     return groups.groupBy("doc_id").agg(F.bool_and("ok").alias("passed"), F.sum("n").alias("substantive_items_total"), F.sum(F.when(F.col("ok"), 0).otherwise(F.col("n"))).alias("substantive_items_not_fully_applied"))
 

@@ -9,6 +9,7 @@ from actloom.operators import checks as H
 from actloom.operators import ranges as R
 from actloom.operators import structure as S
 from actloom.plans.registry import query, sclean, sfirst, table
+from actloom.runtime import written
 from actloom.sources import html
 
 
@@ -136,7 +137,7 @@ def pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    e = html.elements(pages(spark, d))
+    e = written(html.elements(pages(spark, d)), "elements")
     root = S.legal_root(e)
     return e, root, S.legal_stream(e, root)
 

@@ -136,9 +136,9 @@ _APP = f"""WITH o AS ({_OUT}), i AS (SELECT CAST(act_id AS VARCHAR) doc_id, anal
 
 @query(_APP)
 def application_check(spark: SparkSession, d: str) -> DataFrame:
-    return H.application(H.with_output(items(spark, d), _output(spark, d)))
+    return H.application(items(spark, d), _output(spark, d))
 
 
 @query()
 def one_go_check(spark: SparkSession, d: str) -> DataFrame:
-    return H.one_go(H.with_output(items(spark, d), _output(spark, d)))
+    return H.one_go(items(spark, d), _output(spark, d))

@@ -10,6 +10,7 @@ from actloom.functions import text as X
 from actloom.functions import tokens as T
 from actloom.operators import amendments, apply, checks, collect, coverage
 from actloom.operators import structure as S
+from actloom.runtime import written
 from actloom.sources import html
 
 STRICT, PRACTICAL = 0.995, 0.985
@@ -17,7 +18,7 @@ STRICT, PRACTICAL = 0.995, 0.985
 
 def parse(pages: DataFrame) -> dict[str, DataFrame]:
     """The typed parts of all ``pages`` (doc_id, html)."""
-    e = html.elements(pages)
+    e = written(html.elements(pages), "elements")  # every part reads them, the pages are parsed once
     root = S.legal_root(e)
     stream = S.legal_stream(e, root)
     heads = S.annexes(e)
