@@ -98,7 +98,7 @@ def marker_inversions(paragraphs: DataFrame) -> DataFrame:
     w = doc_order("doc_id", "start")
     marked = sectioned(paragraphs).where("article is not null").withColumn("marker", C.spaced_paragraph_marker(F.col("text"))).where("marker is not null and ord > start")
     marked = marked.withColumns({"previous_marker": F.lag("marker").over(w), "previous_ord": F.lag("ord").over(w)})
-    return marked.where(C.sort_key(F.col("marker")) < C.sort_key(F.col("previous_marker"))).select("doc_id", "article", "previous_marker", "previous_ord", "marker", "ord")
+    return marked.where("previous_marker is not null").where(C.sort_key(F.col("marker")) < C.sort_key(F.col("previous_marker"))).select("doc_id", "article", "previous_marker", "previous_ord", "marker", "ord")
 
 
 def inside(points: DataFrame, intervals: DataFrame, key: str, at: str, lo: str, hi: str) -> DataFrame:

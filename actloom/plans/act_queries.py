@@ -90,14 +90,14 @@ def second_subparagraph(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""{_M}{_IN}, k AS (SELECT * FROM (SELECT *, {_SPACED} marker FROM i) WHERE marker IS NOT NULL AND ord > lo),
-  l AS (SELECT *, lag(marker) OVER w previous_marker, lag(ord) OVER w previous_ord FROM k WINDOW w AS (PARTITION BY doc_id, lo ORDER BY ord)) SELECT doc_id, article, previous_marker, previous_ord, marker, ord FROM l WHERE {_LESS('marker', 'previous_marker')}""")
+  l AS (SELECT *, lag(marker) OVER w previous_marker, lag(ord) OVER w previous_ord FROM k WINDOW w AS (PARTITION BY doc_id, lo ORDER BY ord)) SELECT doc_id, article, previous_marker, previous_ord, marker, ord FROM l WHERE previous_marker IS NOT NULL AND {_LESS('marker', 'previous_marker')}""")
 def marker_inversions(spark: SparkSession, d: str) -> DataFrame:
     return R.marker_inversions(paragraphs(spark, d))
 
 
 @query(f"""{_M}{_IN}, k AS (SELECT * FROM (SELECT *, {_SPACED} marker FROM i) WHERE marker IS NOT NULL AND ord > lo),
   l AS (SELECT *, lag(marker) OVER w previous_marker FROM k WINDOW w AS (PARTITION BY doc_id, lo ORDER BY ord))
-  SELECT doc_id, count(DISTINCT lo) article_sections_checked, count(*) paragraph_markers_checked, count(*) FILTER ({_LESS('marker', 'previous_marker')}) marker_order_inversions FROM l GROUP BY doc_id""")
+  SELECT doc_id, count(DISTINCT lo) article_sections_checked, count(*) paragraph_markers_checked, count(*) FILTER (previous_marker IS NOT NULL AND {_LESS('marker', 'previous_marker')}) marker_order_inversions FROM l GROUP BY doc_id""")
 def paragraph_order(spark: SparkSession, d: str) -> DataFrame:
     return H.order(paragraphs(spark, d))
 
