@@ -115,11 +115,12 @@ def article_blocks(stream: DataFrame) -> DataFrame:
 
 
 def annexes(elements: DataFrame) -> DataFrame:
-    """(doc_id, k, provision_id, heading, pos, stop): annex headings, once for each text, up to the next heading-like element."""
-    rows = elements.withColumn("t", X.clean_markup(F.col("text"))).where(C.is_annex_heading(F.col("classes"), F.col("t")) & (F.length("t") <= 120))
-    first = rows.withColumn("r", F.row_number().over(Window.partitionBy("doc_id", F.upper("t")).orderBy("pos"))).where("r = 1")
+    """(doc_id, k, provision_id, heading, pos, stop): short annex headings, once for each text; each ends at the next element that looks like a heading, whether it counts as one or not."""
+    like = elements.withColumn("t", X.clean_markup(F.col("text"))).where(C.is_annex_heading(F.col("classes"), F.col("t")))
+    like = like.withColumn("next", F.lead("pos").over(order()))
+    first = like.where(F.length("t") <= 120).withColumn("r", F.row_number().over(Window.partitionBy("doc_id", F.upper("t")).orderBy("pos"))).where("r = 1")
     size = elements.groupBy("doc_id").agg((F.max("pos") + 1).alias("size"))
-    rows = first.withColumns({"k": F.row_number().over(order()), "next": F.lead("pos").over(order())}).join(size, "doc_id")
+    rows = first.withColumn("k", F.row_number().over(order())).join(size, "doc_id")
     label = F.coalesce(C.found(F.col("t"), C.ANNEX_START), F.col("k").cast("string"))
     return rows.select("doc_id", "k", F.concat(F.lit("annex_"), X.slug(label)).alias("provision_id"), F.col("t").alias("heading"), "pos", F.coalesce("next", "size").alias("stop"), source_id().alias("source_id"))
 
@@ -127,9 +128,10 @@ def annexes(elements: DataFrame) -> DataFrame:
 def annex_blocks(elements: DataFrame, heads: DataFrame) -> DataFrame:
     """(doc_id, k, provision_id, block_type, pos, text, role): what stands in each annex, an interval join on the document."""
     h = heads.select("doc_id", "k", "provision_id", F.col("pos").alias("lo"), "stop")
-    rows = elements.join(h, "doc_id").where("pos > lo and pos < stop").withColumn("t", X.clean_markup(F.col("text")))
-    table = (F.col("tag") == "table") | has("oj-table")
-    text = ~has(*C.TABLE) & ~has(*C.NOTE) & ~has("eli-subdivision", "eli-container") & has("oj-normal", "oj-enumeration-spacing") & (F.col("t") != "")
+    rows = elements.where(C.is_legal_element(F.col("classes")) & C.is_emitted(F.col("classes")) & ~has(*C.NOTE) & ~has("eli-container"))
+    rows = rows.join(h, "doc_id").where("pos > lo and pos < stop").withColumn("t", X.clean_markup(F.col("text")))
+    table = has(*C.TABLE) & ((F.col("tag") == "table") | has("oj-table"))
+    text = ~has(*C.TABLE) & has(*C.LEGAL) & (F.col("t") != "")
     rows = rows.withColumn("block_type", F.when(table, "table").when(text, "text")).where("block_type is not null")
     n = F.row_number().over(Window.partitionBy("doc_id", "k", "block_type").orderBy("pos"))
     return rows.select("doc_id", "k", F.concat("provision_id", F.when(F.col("block_type") == "table", "_table_").otherwise("_block_"), n).alias("provision_id"), "block_type", "pos", F.col("t").alias("text"), F.when(F.col("block_type") == "text", C.block_role(F.col("t"), F.col("classes"))).alias("role"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actloom.operators import checks as H
+from actloom.operators import preamble as P
 from actloom.operators import ranges as R
 from actloom.operators import structure as S
 from actloom.plans.registry import query, sclean, sfirst, table
@@ -218,3 +219,60 @@ def block_role_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "text_blocks").groupBy("role").agg(F.count(F.lit(1)).alias("n")).select(F.regexp_replace("role", "_", " ").alias("role"), "n")
 
 
+
+
+def _fronts(spark: SparkSession, d: str) -> DataFrame:
+    """A page of each act with preamble, chapter, closing part and annex changes; its title and number fill the parts."""
+    t = F.regexp_replace("title", "[<>&]", " ")
+    pieces = ['<html><body><div class="eli-container"><div class="eli-main-title">', t, '</div><div class="eli-subdivision" id="pbl_1"><p class="oj-normal">THE ASSEMBLY,</p><div class="eli-subdivision" id="cit_1"><p class="oj-normal">Having regard to ', F.col("celex"),
+              ',</p></div><p class="oj-normal">Whereas:</p><div class="eli-subdivision" id="rct_1"><p class="oj-normal">(1) Act ', F.col("act_id").cast("string"), '.</p></div><p class="oj-normal">HAVE ADOPTED THIS REGULATION:</p></div>',
+              '<div id="cpt_I"><p class="oj-ti-section-2">General</p><div class="eli-subdivision" id="art_2"><p class="oj-ti-art">Article 2</p><p class="oj-sti-art">Scope</p><p class="oj-normal">1. Text.</p></div></div>',
+              '<div class="eli-subdivision" id="art_1"><p class="oj-ti-art">Article 1</p><p class="oj-sti-art">Entry into force</p><p class="oj-normal">Act ', F.col("act_id").cast("string"), ' enters into force.</p></div><div class="oj-final"><p class="oj-normal">Done.</p></div>',
+              '<div id="anx_1"><p>Annexes I and II are replaced by the following:</p><p>ANNEX I</p><p>Line of ', F.col("act_id").cast("string"), "</p></div></div></body></html>"]
+    page = F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("")) for p in pieces])
+    return table(spark, d, "acts").select(F.col("act_id").cast("string").alias("doc_id"), page.alias("html"))
+
+
+_ACT = "CAST(act_id AS VARCHAR) AS doc_id"
+
+
+@query(f"SELECT {_ACT}, part, text FROM acts, LATERAL (VALUES ('entity', 'THE ASSEMBLY,'), ('citation', 'Having regard to ' || celex || ','), ('bridge', 'Whereas:'), ('formula', 'HAVE ADOPTED THIS REGULATION:')) v(part, text)")
+def preamble_parts(spark: SparkSession, d: str) -> DataFrame:
+    return P.preamble(html.elements(_fronts(spark, d))).select("doc_id", "part", "text")
+
+
+@query(f"SELECT {_ACT}, '1' AS number, '(1) Act ' || act_id || '.' AS text FROM acts")
+def container_recitals(spark: SparkSession, d: str) -> DataFrame:
+    return P.recitals(html.elements(_fronts(spark, d))).select("doc_id", "number", "text")
+
+
+@query(f"SELECT {_ACT}, ord, chapter, number, v.title FROM acts, (VALUES (1, 'cpt_I', '2', 'Scope'), (2, NULL, '1', 'Entry into force')) v(ord, chapter, number, title)")
+def operatives(spark: SparkSession, d: str) -> DataFrame:
+    return P.operatives(html.elements(_fronts(spark, d)))
+
+
+@query(f"SELECT {_ACT}, 'Article 1' AS article_heading_line, 'Entry into force' AS article_subheading_line, ['Act ' || act_id || ' enters into force.'] AS article_body, ['Done.'] AS final_lines FROM acts")
+def entry_into_force(spark: SparkSession, d: str) -> DataFrame:
+    return P.entry_into_force(html.elements(_fronts(spark, d)))
+
+
+@query(f"SELECT {_ACT}, 'I' AS annex_label, 'replace' AS mode, ord, text FROM acts, LATERAL (VALUES (1, 'ANNEX I'), (2, 'Line of ' || act_id)) v(ord, text)")
+def annex_changes(spark: SparkSession, d: str) -> DataFrame:
+    return P.annex_changes(html.elements(_fronts(spark, d)))
+
+
+@query(f"SELECT {_ACT}, regexp_replace(trim(title), ' +', ' ', 'g') AS title FROM acts WHERE regexp_full_match(title, '[A-Za-z0-9()/ -]+')")
+def act_titles(spark: SparkSession, d: str) -> DataFrame:
+    rows = _fronts(spark, d).join(table(spark, d, "acts").where("title rlike '^[A-Za-z0-9()/ -]+$'").select(F.col("act_id").cast("string").alias("doc_id")), "doc_id", "left_semi")
+    e = html.elements(rows)
+    return S.titles(e, S.legal_root(e))
+
+
+@query()
+def acts_with_title_and_recitals(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of each act once its own page's recital and another act's title are added."""
+    acts = table(spark, d, "acts")
+    base = acts.select(F.col("act_id").cast("string").alias("doc_id"), F.posexplode(F.array("title", F.lit("(1) Old reason."), F.lit("Article 1"))).alias("ord", "text"))
+    title = acts.select((F.col("act_id") + 1).cast("string").alias("doc_id"), F.col("title").alias("text"))
+    new = P.recitals(html.elements(_fronts(spark, d))).select("doc_id", "pos", "text")
+    return P.with_title_and_recitals(base, title, new)
