@@ -15,6 +15,7 @@ NAVIGATION = ("Wrapper", "affix-top", "clearfix", "col-md-3", "col-md-9", "colla
 SMALL_ROMANS = ("i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x", "xi", "xii", "xiii", "xiv", "xv")
 ANNEX_START = r"(?iU)^\s*ANNEX\s+([IVXLCDM]+|\d+)?\b"
 
+#: phrases of amending instructions and keys of QA reports (fixed values)
 _THING = r"(?:paragraph|point|article|subparagraph)s?"
 INSTRUCTION = "|".join(
     (

@@ -9,12 +9,12 @@ from actloom.functions.classify import found
 from actloom.functions.text import clean
 
 _ART = r"\bArticle\s+(\d+[A-Za-z]?)"
-#: in order: an earlier pattern wins wherever it matches
+#: in order: an earlier pattern wins wherever it matches (fixed values)
 ARTICLE = (r"\bin\s+Article\s+(\d+[A-Za-z]?)\b", rf"{_ART}\s*\(\d+[A-Za-z]?\)", rf"{_ART}\s*,\s*the following", rf"{_ART}\s+is\s+amended\b", rf"{_ART}\s+(?:is|are)\s+replaced\b", rf"{_ART}\s+(?:is|are)\s+inserted\b", rf"{_ART}\s+(?:is|are)\s+deleted\b")
+#: ordinals of instructions (fixed values)
 ORDINALS = ("first", "second", "third", "fourth", "fifth")
 #: names of revision colours (fixed values)
 COLORS = {"red": (192, 0, 0), "blue": (0, 102, 204), "green": (0, 128, 0), "orange": (230, 120, 0), "purple": (128, 0, 128), "teal": (0, 128, 128), "brown": (128, 64, 0), "black": (0, 0, 0)}
-NUMERALS = ((100, "C"), (90, "XC"), (50, "L"), (40, "XL"), (10, "X"), (9, "IX"), (5, "V"), (4, "IV"), (1, "I"))
 
 
 def _first(c: Column, *patterns: str) -> Column:

@@ -28,15 +28,20 @@ def output_tokens(paragraphs: DataFrame) -> DataFrame:
 KEY = 6  # tokens by which a probe finds its places; shorter probes use all they have
 
 
-def places(output: DataFrame, longest: int = 24) -> DataFrame:
-    """(doc_id, k, key, window): for every position of a document's tokens the next 1..KEY tokens as key and ``longest`` as window."""
-    at = output.select("doc_id", "tokens", F.explode(F.sequence(F.lit(1), F.size("tokens"))).alias("i")).where(F.size("tokens") > 0)
-    window = at.select("doc_id", F.slice("tokens", F.col("i"), longest).alias("window"))
+def places(paragraphs: DataFrame, longest: int = 24) -> DataFrame:
+    """(doc_id, k, key, window): for every token of a document (doc_id, ord, text) the next 1..KEY tokens as key and ``longest`` as window.
+
+    A line sees the first tokens of the lines after it, so a document is never one row.
+    """
+    lines = paragraphs.select("doc_id", "ord", T.words(X.normalized(F.col("text"))).alias("own")).where(F.size("own") > 0)
+    after = Window.partitionBy("doc_id").orderBy("ord").rowsBetween(1, longest)
+    lines = lines.withColumn("line", F.concat("own", F.slice(F.flatten(F.collect_list(F.slice("own", 1, longest)).over(after)), 1, longest)))
+    window = lines.select("doc_id", "line", F.explode(F.sequence(F.lit(1), F.size("own"))).alias("i")).select("doc_id", F.slice("line", F.col("i"), longest).alias("window"))
     each = window.select("doc_id", "window", F.explode(F.sequence(F.lit(1), F.least(F.lit(KEY), F.size("window")))).alias("k"))
     return each.select("doc_id", "k", F.array_join(F.slice("window", 1, F.col("k")), " ").alias("key"), "window")
 
 
-def probe_matches(probes: DataFrame, output: DataFrame) -> DataFrame:
+def probe_matches(probes: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """(doc_id, item_idx, matched): how many leading tokens of each probe stand together in its document's output, at most.
 
     ``probes``: doc_id, item_idx, probe.  An equi join on document and leading tokens, so neither a hot document nor a
@@ -44,7 +49,7 @@ def probe_matches(probes: DataFrame, output: DataFrame) -> DataFrame:
     """
     p = probes.where(F.size("probe") > 0).withColumn("k", F.least(F.lit(KEY), F.size("probe"))).withColumn("key", F.array_join(F.slice("probe", 1, F.col("k")), " "))
     same = F.aggregate(F.zip_with("probe", "window", lambda a, b: F.coalesce(a == b, F.lit(False))), F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, e: F.struct((s["n"] + (s["on"] & e).cast("int")).alias("n"), (s["on"] & e).alias("on")), lambda s: s["n"])
-    hit = p.join(places(output), ["doc_id", "k", "key"]).select("doc_id", "item_idx", same.alias("n"))
+    hit = p.join(places(paragraphs), ["doc_id", "k", "key"]).select("doc_id", "item_idx", same.alias("n"))
     return hit.groupBy("doc_id", "item_idx").agg(F.max("n").alias("matched"))
 
 
@@ -53,14 +58,14 @@ def _found(matched: Column, size: Column, shorter: tuple[int, ...]) -> Column:
     return F.coalesce((size > 0) & (matched >= F.least(size, F.lit(min(shorter)))), F.lit(False))
 
 
-def application(items: DataFrame, output: DataFrame) -> DataFrame:
+def application(items: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """One row a document: inserted items missing from the output, replaced items found, replacement groups not applied.
 
-    ``items``: doc_id, item_idx, amending_text, source_instruction, applied_mode, targets; ``output``: doc_id, tokens.
+    ``items``: doc_id, item_idx, amending_text, source_instruction, applied_mode, targets; ``paragraphs``: doc_id, ord, text.
     """
     mode = X.clean(F.col("applied_mode"))
     rows = items.withColumns({"mode": mode, "probe": T.probe(F.col("amending_text"), 24), "replacing": X.clean(F.col("source_instruction")).rlike(r"(?i)\breplaced by the following\b")})
-    rows = rows.join(probe_matches(rows, output), ["doc_id", "item_idx"], "left").withColumn("probed", F.size("probe") > 0)
+    rows = rows.join(probe_matches(rows, paragraphs), ["doc_id", "item_idx"], "left").withColumn("probed", F.size("probe") > 0)
     size16 = F.least(F.size("probe"), F.lit(16))
     rows = rows.withColumns({"found24": _found(F.col("matched"), F.size("probe"), (18, 12, 8)), "found16": _found(F.col("matched"), size16, (12, 8, 6))})
     first = F.struct("item_idx", "mode", X.clean(F.col("source_instruction")).alias("i"), F.lower(X.clean(F.col("target_point_marker"))).alias("p"))
@@ -78,16 +83,16 @@ def application(items: DataFrame, output: DataFrame) -> DataFrame:
     return got.join(bad, "doc_id", "left").fillna(0, ["replacement_instruction_items_not_properly_applied"])
 
 
-def one_go(items: DataFrame, output: DataFrame) -> DataFrame:
+def one_go(items: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """One row a document: whether every group of substantive items was applied or stands in the output.
 
     The ordered search runs over a whole output, so only items that are still open after the joins take part in it.
     """
     probe = F.slice(T.words(X.clean(F.col("amending_text"))), 1, 24)
     rows = items.withColumn("probe", probe).where(F.size("probe") > 0)
-    rows = rows.join(probe_matches(rows, output), ["doc_id", "item_idx"], "left")
+    rows = rows.join(probe_matches(rows, paragraphs), ["doc_id", "item_idx"], "left")
     rows = rows.withColumn("open", X.clean(F.col("applied_mode")) == "analysis_only").withColumn("ok", ~F.col("open") | _found(F.col("matched"), F.size("probe"), (18, 12, 8)))
-    left = rows.where("not ok").where(F.size("probe") >= 8).select("doc_id", "item_idx", "probe").join(output, "doc_id")
+    left = rows.where("not ok").where(F.size("probe") >= 8).select("doc_id", "item_idx", "probe").join(output_tokens(paragraphs), "doc_id")
     # eight in order follow from twelve in order
     loose = left.where(T.contains_in_order(F.col("tokens"), F.slice("probe", 1, 8))).select("doc_id", "item_idx", F.lit(True).alias("loose")).distinct()
     rows = rows.join(loose, ["doc_id", "item_idx"], "left").withColumn("ok", F.col("ok") | F.coalesce("loose", F.lit(False)))

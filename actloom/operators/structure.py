@@ -168,6 +168,7 @@ def summary(root: DataFrame, **parts: DataFrame) -> DataFrame:
     got = root.select("doc_id")
     for name, df in parts.items():
         got = got.join(df.groupBy("doc_id").agg(F.count(F.lit(1)).alias(name)), "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    # the parser's warnings (fixed values)
     said = {"recitals": "No recitals detected.", "sections": "No sections detected.", "articles": "No articles detected.", "annexes": "No annexes detected.", "footnotes": "No footnotes detected."}
     return got.withColumn("warnings", F.array_compact(F.array(*[F.when(F.col(n) == 0, F.lit(w)) for n, w in said.items() if n in parts])))
 

@@ -108,7 +108,7 @@ def operation_summary(spark: SparkSession, d: str) -> DataFrame:
 def _output(spark: SparkSession, d: str) -> DataFrame:
     """Visible text of an act: the texts its items were matched with."""
     a = table(spark, d, "amendment_analysis").where("best_match_text is not null")
-    return H.output_tokens(a.select(F.col("act_id").cast("string").alias("doc_id"), F.col("analysis_id").alias("ord"), F.col("best_match_text").alias("text")))
+    return a.select(F.col("act_id").cast("string").alias("doc_id"), F.col("analysis_id").alias("ord"), F.col("best_match_text").alias("text"))
 
 
 def _w(c: str) -> str:

@@ -250,7 +250,8 @@ def test_probe_matches_equal_search(spark):
     rnd = random.Random(7)
     docs = {str(d): [rnd.choice("abcdef") for _ in range(rnd.randint(0, 60))] for d in range(8)}
     probes = [(d, i, [rnd.choice("abcdef") for _ in range(rnd.randint(0, 10))]) for i in range(60) for d in [str(i % 9)]] + [("3", 99, docs["3"][5:25])]
-    out = spark.createDataFrame(list(docs.items()), "doc_id string, tokens array<string>")
+    lines = [(d, i, " ".join(ts[i : i + 3])) for d, ts in docs.items() for i in range(0, len(ts), 3)] + [("0", 1, ""), ("1", 2, None)]
+    out = spark.createDataFrame(lines, "doc_id string, ord int, text string")
     got = {(r.doc_id, r.item_idx): r.matched for r in checks.probe_matches(spark.createDataFrame(probes, "doc_id string, item_idx int, probe array<string>"), out).collect()}
     for d, i, p in probes:
         hay = docs.get(d, [])
