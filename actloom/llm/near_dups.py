@@ -37,6 +37,11 @@ HOT_BUCKET = 20_000
 WORD = re.compile(r"[^\W_]+")
 
 
+def by_row(row: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Order of (row, leading 44 bits of the key) by one sort of single numbers; a batch has fewer than 2**20 rows."""
+    return np.argsort((row.astype(np.uint64) << np.uint64(44)) | (key >> np.uint64(20)))
+
+
 class Sets:
     """Numbered word sets of a slice of texts: ``elem`` by row, rows that are long enough only."""
 
@@ -45,7 +50,7 @@ class Sets:
         n = np.bincount(row, minlength=len(text))
         keep = n[row] >= max(1, min_words)
         h, row = h[keep], row[keep]
-        order = np.lexsort((h, row))
+        order = by_row(row, h)
         h, row = h[order], row[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
@@ -128,9 +133,15 @@ def _unpack_block(raw: bytes) -> tuple[np.ndarray, ...]:
 
 
 def prefix_length(n: np.ndarray, t: float) -> np.ndarray:
+    """Elements of a text of which a partner of any size must hold one."""
     return n - np.ceil(t * n - 1e-9).astype(np.int64) + 1
 
 
+def index_length(n: np.ndarray, t: float) -> np.ndarray:
+    """Elements of a text of which a partner that is no smaller must hold one: the first common element stands among them."""
+    return n - np.ceil(2 * t / (1 + t) * n - 1e-9).astype(np.int64) + 1
+
+
 def _route(top, t: float, min_words: int, parts: int):  # noqa: ANN001
     """Blocks (part, block) of texts with their rarest elements."""
 
@@ -145,9 +156,12 @@ def _route(top, t: float, min_words: int, parts: int):  # noqa: ANN001
             shift = np.concatenate([[0], np.cumsum([len(h[0]) for h in held])])
             elem = np.concatenate([h[3] for h in held])
             idx = np.concatenate([h[4] + o for h, o in zip(held, shift, strict=False)])
+            early = np.concatenate([h[5] for h in held])
             part = (elem % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((elem, part))
-            elem, idx, part = elem[order], idx[order], part[order]
+            # the code of an element and, as its last bit, whether it is early in the text
+            code = ((elem >> np.uint64(32)) & ~np.uint64(1)) | early
+            code, idx, part = code[order], idx[order], part[order]
             edge = np.searchsorted(part, np.arange(parts + 1))
             ids, blobs = [], []
             for p in range(parts):
@@ -155,7 +169,7 @@ def _route(top, t: float, min_words: int, parts: int):  # noqa: ANN001
                 if a < b:
                     own, inv = np.unique(idx[a:b], return_inverse=True)
                     ids.append(p)
-                    blobs.append(_pack_block(k[own], n[own], sig[own], elem[a:b] >> np.uint64(32), inv))
+                    blobs.append(_pack_block(k[own], n[own], sig[own], code[a:b], inv))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "block"])
 
         for _, _, s in _sets(batches, min_words):
@@ -180,12 +194,14 @@ def _route(top, t: float, min_words: int, parts: int):  # noqa: ANN001
             at = np.minimum(np.searchsorted(keys, elem), max(0, len(keys) - 1))
             hit = keys[at] == elem if len(keys) else np.zeros(len(elem), bool)
             key = elem >> np.uint64(1)
-            key[hit] = np.uint64(1 << 63) + rank[at[hit]]
-            order = np.lexsort((key, local))
+            key[hit] = np.uint64(1 << 63) + (rank[at[hit]] << np.uint64(32))
+            order = by_row(local, key)
             elem, local = elem[order], local[order]
             start = np.concatenate([[0], np.cumsum(n)[:-1]])
-            head = np.arange(len(elem)) - start[local] < prefix_length(n, t)[local]
-            held.append((s.key[fresh], n, sig, elem[head], local[head]))
+            place = np.arange(len(elem)) - start[local]
+            head = place < prefix_length(n, t)[local]
+            early = (place < index_length(n, t)[local])[head]
+            held.append((s.key[fresh], n, sig, elem[head], local[head], early))
             texts += len(n)
             if texts >= FLUSH_TEXTS:
                 yield from flush()
@@ -224,8 +240,8 @@ def _possible(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray, t: float) -> np.
     return ok & (overlap >= t / (1 + t) * (x[1][i] + y[1][j]) - 1e-6)
 
 
-def dual_traversal(a: Tree, b: Tree | None, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the pairs of texts of two trees (of one tree, if b is None) that pass the bound."""
+def dual_traversal(a: Tree, b: Tree | None, t: float, ordered: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the pairs of texts of two trees (of one tree, if b is None) that pass the bound; ``ordered``: the first no larger than the second."""
     same = b is None
     b = a if same else b
     depth = max(len(a.levels), len(b.levels)) - 1
@@ -236,6 +252,8 @@ def dual_traversal(a: Tree, b: Tree | None, t: float) -> tuple[np.ndarray, np.nd
             keep = i <= j
             i, j = i[keep], j[keep]
         keep = _possible(a.levels[la], b.levels[lb], i, j, t)
+        if ordered:
+            keep &= a.levels[la][1][i] <= b.levels[lb][2][j]
         i, j = i[keep], j[keep]
         if la == 0 and lb == 0:
             break
@@ -266,6 +284,8 @@ def dual_traversal(a: Tree, b: Tree | None, t: float) -> tuple[np.ndarray, np.nd
             fit = (np.minimum(s1, s2) + shared.ravel()[flat] >= r * (n1 + n2) - 1e-3) & (np.minimum(n1, n2) >= t * np.maximum(n1, n2) - 1e-6)
             if same:
                 fit &= (x < v) | (y < z)
+            if ordered:
+                fit &= n1 <= n2
             left.append(a.k[x[fit] * LEAF + y[fit]])
             right.append(b.k[v[fit] * LEAF + z[fit]])
     if not left:
@@ -276,6 +296,20 @@ def dual_traversal(a: Tree, b: Tree | None, t: float) -> tuple[np.ndarray, np.nd
     return np.minimum(left, right)[keep], np.maximum(left, right)[keep]
 
 
+Texts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # key, size, bitmap, whether the element is early
+
+
+def bucket_pairs(x: Texts, y: Texts | None, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of texts of one element: the smaller of a pair holds it early, so pairs of two late holders are left out."""
+    (xa, xc), (ya, yc) = ([Tree(*(c[on] for c in s[:3])) if on.any() else None for on in (s[3], ~s[3])] for s in (x, y or x))
+    if xa and (y is None or ya):
+        yield dual_traversal(xa, None if y is None else ya, t)
+    if xa and yc:
+        yield dual_traversal(xa, yc, t, ordered=True)
+    if y is not None and ya and xc:
+        yield dual_traversal(ya, xc, t, ordered=True)
+
+
 PAIRS = "a bigint, b bigint, x binary, y binary"
 
 
@@ -301,8 +335,12 @@ def _join(t: float):
         del got
         _, first, inv = np.unique(k, return_index=True, return_inverse=True)
         k, n, sig, idx = k[first], n[first], sig[first], inv[idx]
-        row = np.unique((bk.astype(np.uint64) << np.uint64(32)) | idx.astype(np.uint64))
-        bk, idx = row >> np.uint64(32), (row & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        # a text may hold two elements of one code; early in one is early
+        order = np.lexsort((~bk & 1, idx, bk >> 1))
+        bk, idx, early = bk[order] >> 1, idx[order], (bk[order] & 1).astype(bool)
+        once = np.ones(len(bk), bool)
+        once[1:] = (bk[1:] != bk[:-1]) | (idx[1:] != idx[:-1])
+        bk, idx, early = bk[once], idx[once], early[once]
         edge = np.append(np.flatnonzero(np.concatenate([[True], bk[1:] != bk[:-1]])), len(bk))
         held, size = [], 0
 
@@ -313,24 +351,27 @@ def _join(t: float):
         for s, e in zip(edge[:-1], edge[1:], strict=True):
             if e - s < 2:
                 continue
-            own = idx[s:e]
+            own, on = idx[s:e], early[s:e]
+            if not on.any():
+                continue
             if e - s > HOT_BUCKET:
-                own = own[np.argsort(n[own], kind="stable")]
-                cut = [own[c : c + HOT_BUCKET // 2] for c in range(0, len(own), HOT_BUCKET // 2)]
-                none = np.zeros(0, np.uint32)
+                by = np.argsort(n[own], kind="stable")
+                own, on = own[by], on[by]
+                cut = [slice(c, c + HOT_BUCKET // 2) for c in range(0, len(own), HOT_BUCKET // 2)]
+                packed = [_pack_block(k[own[c]], n[own[c]], sig[own[c]], on[c], np.arange(len(own[c]))) for c in cut]
+                none = np.zeros(0, np.uint64)
                 for i, x in enumerate(cut):
-                    raw = _pack_block(k[x], n[x], sig[x], none, none)
-                    for y in cut[i:]:
-                        if n[x[-1]] >= t * n[y[0]] - 1e-6:
-                            yield _batch(none, none, [(raw, b"" if y is x else _pack_block(k[y], n[y], sig[y], none, none))])
+                    for j, y in enumerate(cut[i:], i):
+                        if n[own[x][-1]] >= t * n[own[y][0]] - 1e-6:
+                            yield _batch(none, none, [(packed[i], b"" if i == j else packed[j])])
                 continue
-            a, b = dual_traversal(Tree(k[own], n[own], sig[own]), None, t)
-            if len(a):
-                held.append((a, b))
-                size += len(a)
-                if size > 500_000:
-                    yield table()
-                    held, size = [], 0
+            for a, b in bucket_pairs((k[own], n[own], sig[own], on), None, t):
+                if len(a):
+                    held.append((a, b))
+                    size += len(a)
+            if size > 500_000:
+                yield table()
+                held, size = [], 0
         if held:
             yield table()
 
@@ -338,11 +379,15 @@ def _join(t: float):
 
 
 def _join_units(t: float):
+    def texts(raw: bytes) -> Texts:
+        k, n, sig, on, idx = _unpack_block(raw)
+        return k[idx], n[idx], sig[idx], on.astype(bool)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                a, c = dual_traversal(Tree(*_unpack_block(x)[:3]), Tree(*_unpack_block(y)[:3]) if y else None, t)
-                yield pa.RecordBatch.from_arrays([pa.array(codes.signed(a)), pa.array(codes.signed(c))], names=["a", "b"])
+                for a, c in bucket_pairs(texts(x), texts(y) if y else None, t):
+                    yield pa.RecordBatch.from_arrays([pa.array(codes.signed(a)), pa.array(codes.signed(c))], names=["a", "b"])
 
     return run
 

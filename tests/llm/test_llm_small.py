@@ -185,7 +185,7 @@ def test_hot_element_is_cut_into_block_pairs(spark, monkeypatch):
     bits = np.zeros((300, 192), np.uint8)
     bits[s.local, (s.elem >> np.uint64(7)) % np.uint64(192)] = 1
     sig = np.packbits(bits, axis=1).view(np.uint64)
-    bk, idx = np.zeros(300, np.uint32), np.arange(300)
+    bk, idx = (np.arange(300) % 3 > 0).astype(np.uint32), np.arange(300)  # two in three hold the element early
     block = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([near_dups._pack_block(s.key, n, sig, bk, idx)], pa.binary())], names=["part", "block"])
 
     def pairs(batches):
