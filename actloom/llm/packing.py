@@ -75,8 +75,8 @@ def _pack(capacities: list[int], windows: int):
             return got
 
         for b in batches:
-            # what arrives together goes in largest first
-            for n, i in sorted(zip(b.column(1).to_pylist(), b.column(0).to_pylist(), strict=True), reverse=True):
+            # in order of arrival: sorted by size, few windows would be emitted before the small items that fill them come
+            for i, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 for p in packs:
                     pieces = -(-n // p.capacity)
                     for j in range(pieces):
@@ -90,9 +90,13 @@ def _pack(capacities: list[int], windows: int):
     return run
 
 
-def _merge(capacities: list[int], windows: int, level: int):
+def _merge(capacities: list[int], windows: int, level: int, level_is_last: bool):
+    """Leftover windows packed as items; in the last round, of at most FAN_IN partitions' leftovers, without a bound and largest first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted(((n, k, b) for x in batches for k, b, n in zip(*(c.to_pylist() for c in x.columns), strict=True)), reverse=True)
+        rows = [(n, k, b) for x in batches for k, b, n in zip(*(c.to_pylist() for c in x.columns), strict=True)]
+        if level_is_last:
+            rows.sort(reverse=True)
         out: list[tuple] = []
         base = (level << 58) | (TaskContext.get().partitionId() << 32)
         packs = [Windows(c, windows, base, lambda b, items, fill, is_open, k=k: out.extend((k, i, b, fill, is_open) for i in items)) for k, c in enumerate(capacities)]
@@ -125,7 +129,7 @@ def pack(lengths: DataFrame, sizes: list[tuple[str, int]], windows: int = WINDOW
     while True:
         last = parts <= 1
         parts = max(1, -(-parts // FAN_IN))
-        step = written(left.repartition(parts).sortWithinPartitions("pack", "bin").mapInArrow(_merge(caps, windows if parts > 1 else 1 << 30, level), "pack int, bin bigint, into bigint, fill bigint, is_open boolean"), "merged")
+        step = written(left.repartition(parts).sortWithinPartitions("pack", "bin").mapInArrow(_merge(caps, windows if parts > 1 else 1 << 30, level, parts == 1), "pack int, bin bigint, into bigint, fill bigint, is_open boolean"), "merged")
         now = step.select("pack", "bin", "into")
         moves = now if moves is None else moves.join(now.select("pack", F.col("bin").alias("into"), F.col("into").alias("next")), ["pack", "into"], "left").select("pack", "bin", F.coalesce("next", "into").alias("into"))
         if parts == 1 or last:
