@@ -187,7 +187,7 @@ def structure_summary(spark: SparkSession, d: str) -> DataFrame:
     return S.summary(root, recitals=S.recitals(stream), articles=S.articles(stream), annexes=S.annexes(e), footnotes=S.footnotes(e, root), blocks=S.article_blocks(stream).where("block_type = 'text'"))
 
 
-@query()
+@query(f"SELECT DISTINCT act_id || ':' || {_ARTICLE} AS doc_id, 'REGULATION' AS title FROM ({_PIECES})")
 def page_titles(spark: SparkSession, d: str) -> DataFrame:
     e, root, _ = _parsed(spark, d)
     return S.titles(e, root)
@@ -198,7 +198,7 @@ def page_text(spark: SparkSession, d: str) -> DataFrame:
     return pages(spark, d).select("doc_id", html.page_text(F.col("html")).alias("text"))
 
 
-@query()
+@query(f"SELECT DISTINCT act_id || ':' || {_ARTICLE} AS doc_id, 'section_1_regulation' AS provision_id, 'REGULATION' AS label, 1 AS level, 'REGULATION' AS text, ['oj-doc-ti'] AS classes, CAST(NULL AS VARCHAR) AS source_id FROM ({_PIECES})")
 def page_sections(spark: SparkSession, d: str) -> DataFrame:
     return S.sections(_parsed(spark, d)[2])
 

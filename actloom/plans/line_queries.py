@@ -192,7 +192,10 @@ def sort_keys(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "amendment_analysis").where("target_article_number is not null").select("target_article_number").distinct().select(F.col("target_article_number").alias("marker"), k["n"].alias("n"), k["s"].alias("suffix"))
 
 
-@query()
+@query(
+    r"""SELECT analysis_id, CASE WHEN regexp_full_match(article_number, '\d+[A-Za-z]*') THEN regexp_extract(article_number, '^\d+') ELSE article_number END AS number, CASE WHEN regexp_full_match(article_number, '\d+[A-Za-z]*') THEN regexp_extract(article_number, '[A-Za-z]*$') ELSE '' END AS suffix,
+    coalesce(lower(target_point_marker) IN ('i', 'ii', 'iii', 'iv', 'v', 'vi', 'vii', 'viii', 'ix', 'x', 'xi', 'xii', 'xiii', 'xiv', 'xv'), false) AS small_roman FROM amendment_analysis"""
+)
 def split_numbers(spark: SparkSession, d: str) -> DataFrame:
     s = C.split_number(F.col("article_number"))
     return table(spark, d, "amendment_analysis").select("analysis_id", s["number"].alias("number"), s["suffix"].alias("suffix"), C.is_small_roman(F.col("target_point_marker")).alias("small_roman"))
