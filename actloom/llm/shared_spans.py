@@ -274,21 +274,28 @@ def _placed(found: DataFrame, members: DataFrame) -> DataFrame:
     return each.join(several, "passage", "left_semi").select("grp", "id", "n_words", "at").distinct()
 
 
+def _copied(members: DataFrame) -> DataFrame:
+    """(k, copied) of the texts that several records hold as they are."""
+    return members.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("k", F.lit(True).alias("copied"))
+
+
 def shared_words(found: DataFrame, members: DataFrame, span: int = SPAN) -> DataFrame:
     """(grp, id, n_words, shared_words, share) of every text that is long enough; a text that other records hold as it is counts whole."""
     order = Window.partitionBy("grp", "id").orderBy("at")
     part = _placed(found, members).withColumn("gain", F.least(F.lit(span), F.coalesce(F.lead("at").over(order) - F.col("at"), F.lit(span))))
     part = part.groupBy("grp", "id").agg(F.sum("gain").alias("some"))
-    whole = members.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("k", F.lit(True).alias("copied"))
-    all_ = members.join(whole, "k", "left").join(part, ["grp", "id"], "left")
+    all_ = members.join(_copied(members), "k", "left").join(part, ["grp", "id"], "left")
     n = F.when(F.col("copied"), F.col("n_words")).otherwise(F.coalesce("some", F.lit(0))).cast("bigint")
     return all_.select("grp", "id", "n_words", n.alias("shared_words"), (n / F.col("n_words")).alias("share"))
 
 
 def passages(found: DataFrame, members: DataFrame, texts: DataFrame, span: int = SPAN) -> DataFrame:
-    """(grp, id, first_word, n_words, passage): the maximal stretches of each text whose every span stands in another record's text of other wording."""
+    """(grp, id, first_word, n_words, passage): the stretches of each text made of spans that stand in another record's text;
+    a text that other records hold as it is gives one passage, the whole."""
     order = Window.partitionBy("grp", "id").orderBy("at")
     at = _placed(found, members).withColumn("isle", F.sum(F.coalesce((F.col("at") > F.lag("at").over(order) + span).cast("int"), F.lit(1))).over(order))
     runs = at.groupBy("grp", "id", "isle").agg(F.min("at").alias("first_word"), (F.max("at") - F.min("at") + span).cast("int").alias("n_words")).drop("isle")
+    whole = members.join(_copied(members), "k").select("grp", "id", F.lit(0).alias("first_word"), "n_words")
+    runs = runs.join(whole, ["grp", "id"], "left_anti").select("grp", "id", "first_word", "n_words").unionByName(whole)
     words = texts.selectExpr("cast(grp as string) grp", "cast(id as bigint) id", r"split(trim(regexp_replace(text, '(?U)\\s+', ' ')), ' ') words").where("id is not null")
     return runs.join(words, ["grp", "id"]).select("grp", "id", "first_word", "n_words", F.array_join(F.slice("words", F.col("first_word") + 1, F.col("n_words")), " ").alias("passage"))

@@ -247,6 +247,17 @@ def test_shared_spans_match_brute_force(spark, monkeypatch, hot):
     assert shared_spans.passages(found, members, df, 10).where("n_words < 10").count() == 0
 
 
+def test_texts_held_as_they_are_are_whole_passages(spark):
+    own, common = [" ".join(f"{p}{i}" for i in range(12)) for p in "ab"]
+    items = [("x", 1, own), ("y", 2, own), ("x", 3, f"{common} {own[:8]} end"), ("x", 4, f"{common} {own[:8]} end"), ("y", 5, f"other {common}"), ("x", 6, own + " c"), ("x", 7, "d " * 12), ("y", 7, "d " * 12), ("x", 8, None)]
+    df = spark.createDataFrame(items, "grp string, id bigint, text string")
+    found, members = shared_spans.occurrences(df, 10, 4)
+    whole = {(g, i, 0, len(t.split()), t) for g, i, t in items[:4]}
+    assert set(rows(shared_spans.passages(found, members, df, 10))) == whole | {("y", 5, 1, 12, common), ("x", 6, 0, 12, own)}
+    one = df.where("id in (1, 2)")
+    assert set(rows(shared_spans.passages(*shared_spans.occurrences(one, 10, 4), one, 10))) == {r for r in whole if r[1] < 3}
+
+
 def test_shared_spans_of_nothing(spark):
     df = spark.createDataFrame([], "grp string, id bigint, text string")
     assert shared_spans.item_pairs(*shared_spans.occurrences(df)).count() == 0
