@@ -183,11 +183,10 @@ def _levels(spark: SparkSession, d: str) -> tuple[DataFrame, reading.Model]:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    """Documents whose level reaches the floor of expert texts (a grade below the lowest of at least 100 graded ones), then the exact rule."""
-    scored, model = _levels(spark, d)
-    floor = F.lit(True) if model.expert_floor is None else F.col("level").isNull() | (F.col("level") >= model.expert_floor)
+    """Documents of which the exact rule holds; the level decides nothing."""
+    scored, _ = _levels(spark, d)
     rule = "k0 = 'en' and n_words > 0 and n_words >= 28 * greatest(n_sentences, 1) and n_letters >= 5.5 * n_words"
-    return scored.where(floor).where(rule).select(F.col("id").alias("doc_id"))
+    return scored.where(rule).select(F.col("id").alias("doc_id"))
 
 
 def p8_levels(spark: SparkSession, d: str) -> DataFrame:

@@ -25,8 +25,6 @@ from actloom.llm import codes
 
 GRADES = 5
 MAX_LABELLED, MAX_WORDS, MIN_TEXTS = 20_000, 100_000, 3
-#: graded expert texts from which the floor of expert levels is taken; with fewer there is no floor
-MIN_EXPERT = 100
 QUANTILES = (0.25, 0.5, 0.75, 0.9)
 #: abbreviations whose full stop ends no sentence (fixed values)
 ABBREVIATIONS = ("Art", "No", "cf", "p", "para")
@@ -108,8 +106,8 @@ def _arrow(cols: list[np.ndarray]) -> list[pa.Array]:
 class Model:
     """Word grades and the calibration of the quantiles."""
 
-    def __init__(self, keys: np.ndarray, grades: np.ndarray, weights: np.ndarray | None, expert_floor: float | None = None) -> None:
-        self.keys, self.grades, self.weights, self.expert_floor = keys, grades, weights, expert_floor
+    def __init__(self, keys: np.ndarray, grades: np.ndarray, weights: np.ndarray | None) -> None:
+        self.keys, self.grades, self.weights = keys, grades, weights
 
     def level(self, mean: np.ndarray, qs: list[np.ndarray]) -> np.ndarray:
         if self.weights is None:
@@ -170,9 +168,6 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
         x = np.stack([np.ones(len(got)), *[got[c].to_numpy(float) for c in ("grade_mean", *[f"q{i}" for i in range(len(QUANTILES))])]], 1)
         y = got["k0"].to_numpy(float)
         model.weights = np.linalg.solve(x.T @ x + 1e-3 * np.eye(x.shape[1]), x.T @ y)
-        level = model.level(x[:, 1], [x[:, 2 + i] for i in range(len(QUANTILES))])
-        expert = (got["n_words"] >= 28 * got["n_sentences"].clip(lower=1)) & (got["n_letters"] >= 5.5 * got["n_words"])
-        model.expert_floor = float(level[expert.to_numpy()].min()) - 1.0 if expert.sum() >= MIN_EXPERT else None
     return model
 
 

@@ -383,6 +383,18 @@ def test_levels_predict_held_out_grades(spark):
     assert none.where("level is not null").count() == 0
 
 
+def test_expert_rule_alone_decides(spark, tmp_path):
+    from actloom.llm import queries
+
+    easy, hard = ([f"{p}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)] for p in ("simple", "incomprehensib"))
+    rnd = random.Random(4)
+    docs = [(i, " ".join(rnd.choices(hard, k=40) if i % 2 else [*rnd.choices(easy, k=10), "."] * 4), "en", "s") for i in range(300)]
+    docs += [(1000, " ".join(rnd.choices(easy, k=40)) + ".", "en", "s"), (1001, " ".join(rnd.choices(easy, k=40)), "fr", "s"), (1002, None, "en", "s")]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, "r", 5 if i % 2 else 1) for i in range(300)], "doc_id bigint, annotator string, grade int").write.parquet(f"{tmp_path}/reading_labels.parquet")
+    assert {r[0] for r in rows(queries.p8_found(spark, str(tmp_path)))} == {*range(1, 300, 2), 1000}
+
+
 # all queries
 
 
