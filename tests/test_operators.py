@@ -170,6 +170,25 @@ def test_layer(spark, paragraphs):
     checks.gate(proofs, proofs, allow_partial=True)
 
 
+def test_items_meet_all_blocks_of_their_act(spark, tmp_path, monkeypatch):
+    from actloom.functions.compare import ratio
+    from actloom.plans.coverage_queries import best_matches
+
+    monkeypatch.setattr(apply, "CELL_ITEMS", 4)
+    monkeypatch.setattr(apply, "CELL_LINES", 5)
+    rnd = random.Random(6)
+    text = lambda: " ".join(rnd.choices(["Member", "States", "shall", "goods", "of", "kind", "ÉTÉ"], k=rnd.randint(1, 60)))
+    blocks = [(100 - i, i % 3 // 2, rnd.choice(["article_1_block_1", "annex_i_block_2", None]), rnd.choice([text(), "same", "", None])) for i in range(60)]
+    items = [(i, i % 3 // 2, rnd.choice([text(), "same", "", None, "#"]), rnd.choice(["1", "9", None])) for i in range(40)] + [(90, 77, "no blocks", "1")]
+    spark.createDataFrame(blocks, "block_id bigint, act_id bigint, provision_id string, text string").write.parquet(f"{tmp_path}/text_blocks.parquet")
+    spark.createDataFrame(items, "analysis_id bigint, act_id bigint, amending_text string, target_article_number string").write.parquet(f"{tmp_path}/amendment_analysis.parquet")
+    want = set()
+    for i, act, t, _ in items:
+        score, at = max(((ratio(x, t), -b) for b, a, _, x in blocks if a == act), default=(0, 0))
+        want.add((i, -at, round(score, 6)) if score > 0 else (i, -1, 0.0))
+    assert {tuple(r) for r in best_matches(spark, str(tmp_path)).collect()} == want
+
+
 def test_best_match_is_the_first_best():
     from difflib import SequenceMatcher
 
