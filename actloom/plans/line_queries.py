@@ -109,7 +109,7 @@ def tokens_count(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def tokens_with_punctuation(spark: SparkSession, d: str) -> DataFrame:
     p = T.pieces(F.col("text"))
-    return _blocks(spark, d).select("block_id", F.size(p).alias("n"), F.transform(F.slice(p, 1, 20), T.match_key).alias("keys"), (F.array_join(p, "") == F.coalesce("text", F.lit(""))).alias("lossless"))
+    return _blocks(spark, d).select("block_id", F.size(p).alias("n"), F.transform(p, T.match_key).alias("keys"), (F.array_join(p, "") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
 _NOISE = "lambda x: x IN (" + ", ".join(f"'{n}'" for n in T.NOISE) + rf") OR regexp_full_match(x, 'm?\d+|[a-z]|{T.ROMAN}')"

@@ -170,6 +170,16 @@ def test_layer(spark, paragraphs):
     checks.gate(proofs, proofs, allow_partial=True)
 
 
+def test_every_piece_has_its_match_key(spark, tmp_path):
+    from actloom.plans.line_queries import tokens_with_punctuation
+
+    text = " ".join(f"Word{i}," for i in range(30))
+    spark.createDataFrame([(1, text), (2, None)], "block_id bigint, text string").write.parquet(f"{tmp_path}/text_blocks.parquet")
+    got = {r["block_id"]: r for r in tokens_with_punctuation(spark, str(tmp_path)).collect()}
+    assert len(got[1]["keys"]) == got[1]["n"] > 30 and "word29" in got[1]["keys"] and got[1]["lossless"]
+    assert len(got[2]["keys"]) == got[2]["n"]
+
+
 def test_items_meet_all_blocks_of_their_act(spark, tmp_path, monkeypatch):
     from actloom.functions.compare import ratio
     from actloom.plans.coverage_queries import best_matches
