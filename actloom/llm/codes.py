@@ -2,10 +2,13 @@
 
 All hashes are polynomials modulo 2**64 over mixed symbols.  With prefix sums ``P[i] = sum(v[j] * B**j, j < i)`` the
 hash of any stretch ``s..e`` is ``(P[e] - P[s]) * B**-s``, so every run, shingle or field costs one subtraction.
+Structured sequences of some thousand symbols can defeat a polynomial modulo a power of two, so words of ``LONG`` symbols
+and more take a digest instead, and whole texts are always known by 128-bit digests.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,6 +21,8 @@ INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 TOP = 0x110000
 #: characters of a slice that is worked on at once; a longer single text forms a slice of its own
 SLICE_CHARS = 1 << 20
+#: symbols from which on a word is hashed by a digest
+LONG = 1024
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -125,19 +130,34 @@ def stretch(pre: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         return mix((pre[e] - pre[s]) * _INV.upto(len(pre))[s] + (e - s).astype(np.uint64))
 
 
+def digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def digests(arr: pa.Array) -> pa.Array:
+    """128-bit digests of the strings of an array; null stays null."""
+    return pa.array([None if v is None else digest(v) for v in arr.cast(pa.binary()).to_pylist()], pa.binary())
+
+
+def _long(h: np.ndarray, symbols: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    for i in np.flatnonzero(e - s >= LONG):
+        h[i] = int.from_bytes(digest(symbols[s[i] : e[i]].astype("<u4").tobytes())[:8], "little")
+    return h
+
+
 def words(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and rows of all words (maximal runs of letters and digits, lower-cased), in order."""
     cps, off = points(arr)
     folded = word_table()[cps]
     s, e, row = runs(folded > 0, off)
-    return stretch(prefix(mix(folded)), s, e), row
+    return _long(stretch(prefix(mix(folded)), s, e), folded, s, e), row
 
 
 def spaced(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, rows, starts and ends of what stands between whitespace, character for character."""
     cps, off = points(arr)
     s, e, row = runs(~space_table()[cps], off)
-    return stretch(prefix(mix(cps)), s, e), row, s - off[row], e - off[row]
+    return _long(stretch(prefix(mix(cps)), s, e), cps, s, e), row, s - off[row], e - off[row]
 
 
 def bounds(row: np.ndarray, n: int) -> np.ndarray:
@@ -145,5 +165,30 @@ def bounds(row: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(row, np.arange(n + 1))
 
 
+PAIR = np.dtype([("x", "<u8"), ("y", "<u8")])
+
+
+def pairs_of(column: pa.Array) -> np.ndarray:
+    """A binary(16) column as 128-bit numbers (two fields of 64 bits)."""
+    return np.frombuffer(b"".join(column.to_pylist()), PAIR)
+
+
+def binaries(keys: np.ndarray) -> pa.Array:
+    """128-bit numbers as a binary column."""
+    flat = np.ascontiguousarray(keys)
+    return pa.Array.from_buffers(pa.binary(16), len(flat), [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
+
+
+def distinct_pairs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of the first of each distinct number, number of each row among them)."""
+    order = np.lexsort((keys["y"], keys["x"]))
+    k = keys[order]
+    new = np.ones(len(k), bool)
+    new[1:] = k[1:] != k[:-1]
+    which = np.empty(len(k), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)

@@ -6,7 +6,8 @@ against the first row of its group by a two-pointer comparison that skips separa
 collide are grouped again among themselves until none is left, so the result is exact.
 
 Defined cases: a null field equals an empty one; a record without any letter or digit equals every other such record;
-rows without id are left out; an id that occurs twice stands for one record; extra columns are ignored whatever their names.
+rows without id are left out; rows of one id are one record if they are equal, else the id belongs to the set of each of
+them; extra columns are ignored whatever their names.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from itertools import permutations, zip_longest
+from functools import lru_cache
+from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +26,20 @@ from pyspark.sql import functions as F
 from actloom.llm import codes
 from actloom.runtime import written
 
-WORD = re.compile(r"[^\W_]+")
-_NAMED = re.compile(r"(?:^|[|\t])[^\S\t]*(?:note_id|marker|text)[^\S\t]*[=:]", re.IGNORECASE)
 
+@lru_cache(maxsize=8)
+def _named(names: tuple[str, ...]) -> re.Pattern:
+    return re.compile(rf"(?:^|[|\t])[^\S\t]*(?:{'|'.join(map(re.escape, names))})[^\S\t]*[=:]", re.IGNORECASE)
 
-def parse_line(line: str | None, width: int) -> list[str]:
-    """The field values of one raw record: a JSON object, or fields set apart by a bar or a tab, with or without names.
 
-    Text that is none of these is a record of one field; missing fields are empty; fields beyond ``width`` join the last.
+def parse_line(line: str | None, names: tuple[str, ...]) -> list[str]:
+    """The values of the fields ``names`` of one raw record, in any order: a JSON object, or fields set apart by a bar or a
+    tab, with or without names.
+
+    Bar or tab: the one that occurs more often among those that occur no more often than the fields allow, the bar in a tie.
+    Text that is none of these is a record of one field; missing fields are empty; fields beyond the last join it.
     """
-    line = line or ""
+    line, width = line or "", len(names)
     values: list[str] | None = None
     if line.lstrip()[:1] == "{":
         try:
@@ -42,19 +48,21 @@ def parse_line(line: str | None, width: int) -> list[str]:
         except (ValueError, AttributeError):
             pass
     if values is None:
-        names = list(_NAMED.finditer(line))
-        if names:
-            ends = [m.start() for m in names[1:]] + [len(line)]
-            values = [line[m.end() : e] for m, e in zip(names, ends, strict=True)]
+        named = list(_named(names).finditer(line)) if names else []
+        if named:
+            ends = [m.start() for m in named[1:]] + [len(line)]
+            values = [line[m.end() : e] for m, e in zip(named, ends, strict=True)]
         else:
-            values = line.split("|") if "|" in line else line.split("\t")
+            bars, tabs = line.count("|"), line.count("\t")
+            values = line.split("\t" if tabs and (not bars or bars < tabs < width) else "|")
     if len(values) > width:
         values = [*values[: width - 1], " ".join(values[width - 1 :])]
     return values + [""] * (width - len(values))
 
 
-def _fields(batch: pa.RecordBatch, first: int, width: int) -> list[pa.Array]:
+def _fields(batch: pa.RecordBatch, first: int, names: tuple[str, ...]) -> list[pa.Array]:
     """The field columns of a batch; the column after them holds raw lines, null where the fields are given."""
+    width = len(names)
     cols = [batch.column(first + i) for i in range(width)]
     lines = batch.column(first + width)
     if lines.null_count == len(lines):
@@ -62,7 +70,7 @@ def _fields(batch: pa.RecordBatch, first: int, width: int) -> list[pa.Array]:
     given = [c.to_pylist() for c in cols]
     for r, line in enumerate(lines.to_pylist()):
         if line is not None:
-            for i, v in enumerate(parse_line(line, width)):
+            for i, v in enumerate(parse_line(line, names)):
                 given[i][r] = v
     return [pa.array(g, pa.string()) for g in given]
 
@@ -93,10 +101,10 @@ def field_hashes(arr: pa.Array) -> np.ndarray:
     return out
 
 
-def _hash_rows(width: int):
+def _hash_rows(names: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h = np.sort(np.stack([field_hashes(c) for c in _fields(b, 1, width)]), axis=0)
+            h = np.sort(np.stack([field_hashes(c) for c in _fields(b, 1, names)]), axis=0)
             key = np.zeros(len(b), np.uint64)
             with np.errstate(over="ignore"):
                 for x in h:
@@ -106,17 +114,34 @@ def _hash_rows(width: int):
     return run
 
 
+@lru_cache(maxsize=1)
+def _fold() -> list[int]:
+    return codes.word_table().tolist()
+
+
 def same_runs(a: str, b: str) -> bool:
-    """Two pointers over two texts, each skipping what is no letter or digit; ignores case."""
+    """Two pointers over two texts and the fold table, each skipping what is no letter or digit; nothing is copied."""
     if a == b:
         return True
-    for x, y in zip_longest(WORD.finditer(a), WORD.finditer(b)):
-        if x is None or y is None:
+    fold, n, m = _fold(), len(a), len(b)
+    i = j = 0
+    begun = False
+    while True:
+        p, q = i, j
+        while i < n and not fold[ord(a[i])]:
+            i += 1
+        while j < m and not fold[ord(b[j])]:
+            j += 1
+        if i == n or j == m:
+            return i == n and j == m
+        # a run that ends here on one side only
+        if begun and (i > p) != (j > q):
             return False
-        p, q = x[0], y[0]
-        if p != q and p.lower().replace("ς", "σ") != q.lower().replace("ς", "σ"):
+        if fold[ord(a[i])] != fold[ord(b[j])]:
             return False
-    return True
+        begun = True
+        i += 1
+        j += 1
 
 
 def same_record(a: list[str], b: list[str]) -> bool:
@@ -126,11 +151,13 @@ def same_record(a: list[str], b: list[str]) -> bool:
     return any(all(same_runs(x, y) for x, y in zip(a, p, strict=True)) for p in permutations(b))
 
 
-def _verify(width: int):
+def _verify(names: tuple[str, ...]):
+    width = len(names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            left = zip(*(c.to_pylist() for c in _fields(b, 3, width)), strict=True)
-            right = zip(*(c.to_pylist() for c in _fields(b, 4 + width, width)), strict=True)
+            left = zip(*(c.to_pylist() for c in _fields(b, 3, names)), strict=True)
+            right = zip(*(c.to_pylist() for c in _fields(b, 4 + width, names)), strict=True)
             ok = [same_record([v or "" for v in x], [v or "" for v in y]) for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(ok, pa.bool_())], names=["h", "first_id", "id", "ok"])
 
@@ -144,22 +171,26 @@ def as_records(df: DataFrame, id_col: str, fields: list[str], line: str | None =
     return df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), *cols, raw.cast("string").alias("line")).where("id is not null")
 
 
-def format_duplicates(records: DataFrame, width: int) -> DataFrame:
-    """(first_id, copy_id) for each record but the smallest of its set; ``records`` as :func:`as_records` gives them.
+def format_duplicates(records: DataFrame, names: list[str]) -> DataFrame:
+    """(first_id, copy_id) for each record but the smallest of its set; ``records`` as :func:`as_records` gives them, ``names`` the fields' names in raw lines.
 
-    Plan: one scan writes (id, h), narrow; a partial aggregate finds the groups; the members join their group, and only
-    rows of groups of two or more meet their first row's text.  AQE splits the joins of a hot group; no group is collected.
+    Plan: one scan writes (id, h), narrow; a partial aggregate finds the groups; the members join their group.  Only the
+    texts of groups of two or more move: their ids are written, so that Spark sees their size and broadcasts them if they
+    are few, else joins by shuffle, and the texts they select are written once and meet the pairs.  AQE splits the joins of
+    a hot group; no group is collected.
     """
-    hashed = written(records.mapInArrow(_hash_rows(width), "id bigint, h bigint"), "format-hash")
-    todo, found = hashed, None
+    names = tuple(names)
+    todo, found = written(records.mapInArrow(_hash_rows(names), "id bigint, h bigint").distinct(), "format-hash"), None
+    cols = records.columns[1:]
     while True:
         groups = todo.groupBy("h").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").drop("last_id")
-        pairs = todo.join(groups, "h").where("id <> first_id").select("h", "first_id", "id").distinct()
-        left = records.select(F.col("id").alias("first_id"), *[F.col(c).alias(f"a{c}") for c in records.columns[1:]]).dropDuplicates(["first_id"])
-        both = pairs.join(records.dropDuplicates(["id"]), "id").join(left, "first_id")
-        cols = records.columns[1:]
-        checked = both.select("h", "first_id", "id", *[f"a{c}" for c in cols], *cols)
-        checked = written(checked.mapInArrow(_verify(width), "h bigint, first_id bigint, id bigint, ok boolean"), "format-pairs")
+        pairs = written(todo.join(groups, "h").where("id <> first_id").select("h", "first_id", "id"), "format-pairs")
+        ids = written(pairs.select("id").unionByName(pairs.select(F.col("first_id").alias("id"))).distinct(), "format-ids")
+        own = written(records.join(ids, "id", "left_semi").distinct(), "format-texts")
+        both = pairs.join(own, "id").join(own.select(F.col("id").alias("first_id"), *[F.col(c).alias(f"a{c}") for c in cols]), "first_id")
+        checked = both.select("h", "first_id", "id", *[f"a{c}" for c in cols], *cols).mapInArrow(_verify(names), "h bigint, first_id bigint, id bigint, ok boolean")
+        # rows of one id: equal if any of them is
+        checked = written(checked.groupBy("h", "first_id", "id").agg(F.max("ok").alias("ok")), "format-checked")
         good = checked.where("ok").select("first_id", F.col("id").alias("copy_id"))
         found = good if found is None else found.unionByName(good)
         todo = checked.where("not ok").select("id", "h")
@@ -167,8 +198,8 @@ def format_duplicates(records: DataFrame, width: int) -> DataFrame:
             return found
 
 
-def collapse(records: DataFrame, width: int) -> DataFrame:
-    """One row (id, copies) for each distinct record: its smallest id and how many records are equal to it, itself included."""
-    pairs = format_duplicates(records, width)
+def collapse(records: DataFrame, names: list[str]) -> DataFrame:
+    """One row (id, copies) for each distinct record: its smallest id and how many ids are equal to it, itself included."""
+    pairs = format_duplicates(records, names)
     member = records.select("id").distinct().join(pairs, F.col("id") == F.col("copy_id"), "left")
     return member.groupBy(F.coalesce("first_id", "id").alias("id")).agg(F.count(F.lit(1)).alias("copies"))

@@ -13,6 +13,7 @@ Defined cases: null stays null; a text of invisible characters and whitespace be
 
 from __future__ import annotations
 
+import os
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,12 +26,17 @@ from pyspark.sql import functions as F
 from actloom.llm import codes
 from actloom.runtime import written
 
-#: letters of Greek, Cyrillic and Armenian and the Latin letters drawn the same, position by position
+#: letters of other scripts and the Latin letters drawn the same, position by position
 DRAWN_LIKE = {
-    "greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνοϲϳ", "ABEZHIKMNOPTYXvocj"),
-    "cyrillic": ("АВЕЅІЈКМНОРСТУХаеіјорсухѕһԁԛԝ", "ABESIJKMHOPCTYXaeijopcyxshdqw"),
-    "armenian": ("Օօսո", "Ooun"),
+    "greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνοϲϳͿϹ", "ABEZHIKMNOPTYXvocjJC"),
+    "cyrillic": ("АВЕЅІЈКМНОРСТУХҮԚԜӀаеіјорсухѕһԁԛԝӏү", "ABESIJKMHOPCTYXYQWIaeijopcyxshdqwly"),
+    "armenian": ("ՕՍՏօսոհզց", "OUSounhqg"),
+    "coptic": ("ⲎⲒⲔⲘⲚⲞⲢⲤⲦⲬⲟⲣⲥ", "HIKMNOPCTXopc"),
+    "cherokee": ("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏒᏔᏙᏚᏞᏟᏢᏦᏴ", "DRTAJEWMHGZRWVSLCPKB"),
+    "lisu": ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
 }
+#: a table of confusables to add, a path
+CONFUSABLES = os.environ.get("ACTLOOM_CONFUSABLES")
 HYPHENS = "‐‑﹣－"
 #: ranges whose compatibility decomposition is drawn the same: digraphs, ligatures, one-character numerals
 COMPAT = ((0x132, 0x133), (0x1C4, 0x1CC), (0x1F1, 0x1F3), (0x2160, 0x217F), (0x2474, 0x249B), (0xFB00, 0xFB06), (0xFB13, 0xFB17))
@@ -39,10 +45,32 @@ INVISIBLE = ((0x34F, 0x34F), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F
 HANGUL = (0xAC00, 0xD7A3)
 
 
-@lru_cache(maxsize=1)
-def mappings() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[tuple[int, int], int]]:
-    """(start, length, flat targets, combining class, composition pairs) over all code points."""
+def read_confusables(path: str) -> dict[str, str]:
+    """Letters of other scripts to Latin letters from a file in the form of Unicode's public table of confusables
+    (``source ; target ; class # comment``, code points in hexadecimal).
+
+    Only pairs of one letter and one Latin letter of the same case are taken (letters without case stand for capitals):
+    the table also pairs what merely resembles each other, digits, sequences and marks, which must stay apart.
+    """
+    found: dict[str, str] = {}
+    with open(path, encoding="utf-8-sig") as f:
+        for line in f:
+            cells = [c.split() for c in line.split("#")[0].split(";")]
+            if len(cells) < 2 or len(cells[0]) != 1 or len(cells[1]) != 1:
+                continue
+            a, b = (chr(int(c[0], 16)) for c in cells[:2])
+            if a.isalpha() and b.isascii() and b.isalpha() and "LATIN" not in unicodedata.name(a, "LATIN"):
+                if (a.islower() and b.islower()) or (not a.islower() and b.isupper()):
+                    found[a] = b
+    return found
+
+
+@lru_cache(maxsize=4)
+def mappings(table: str | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[tuple[int, int], int]]:
+    """(start, length, flat targets, combining class, composition pairs) over all code points; look-alike letters are those
+    of ``DRAWN_LIKE`` and of the table file, if one is named (``ACTLOOM_CONFUSABLES``, a parameter; read on the driver)."""
     like = {ord(a): ord(b) for left, right in DRAWN_LIKE.values() for a, b in zip(left, right, strict=True)}
+    like = ({ord(a): ord(b) for a, b in read_confusables(table).items()} if table else {}) | like
     like |= {ord(c): ord("-") for c in HYPHENS} | {0xB5: 0x3BC}
     hidden = {i for a, b in INVISIBLE for i in range(a, b + 1)}
     compat = {i for a, b in COMPAT for i in range(a, b + 1)}
@@ -170,7 +198,7 @@ def consistent(arr: pa.Array, maps: tuple | None = None) -> pa.Array:
 
 def _broadcast(spark: SparkSession):
     """The mappings as a broadcast table; its size is fixed by Unicode (about 10 MB)."""
-    return spark.sparkContext.broadcast(mappings())
+    return spark.sparkContext.broadcast(mappings(CONFUSABLES))
 
 
 def consistent_text(df: DataFrame, column: str, output: str) -> DataFrame:
@@ -187,20 +215,11 @@ def consistent_text(df: DataFrame, column: str, output: str) -> DataFrame:
 
 
 def _keys(maps):
-    def whole(arr: pa.Array, salt: int) -> np.ndarray:
-        out = np.zeros(len(arr), np.uint64)
-        for at, part in codes.slices(arr):
-            cps, off = codes.points(part)
-            pre = codes.prefix(codes.mix(cps.astype(np.uint64) + np.uint64(salt)))
-            out[at : at + len(part)] = codes.stretch(pre, off[:-1], off[1:])
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = b.column(2).cast(pa.string())
-            form = consistent(raw, maps.value)
-            cols = [b.column(0), b.column(1), *(pa.array(codes.signed(h)) for h in (whole(form, 0), whole(form, 1 << 40), whole(raw, 0)))]
-            yield pa.RecordBatch.from_arrays(cols, names=["tbl", "id", "k1", "k2", "raw"])
+            cols = [b.column(0), b.column(1), codes.digests(consistent(raw, maps.value)), codes.digests(raw)]
+            yield pa.RecordBatch.from_arrays(cols, names=["tbl", "id", "k", "raw"])
 
     return run
 
@@ -208,11 +227,13 @@ def _keys(maps):
 def lookalike_sets(texts: DataFrame) -> DataFrame:
     """(tbl, first_id, other_id) for the look-alike sets of ``texts`` (tbl, id, text) that hold at least two spellings.
 
-    Plan: one scan writes 128-bit keys of the consistent forms; a partial aggregate keeps min id and min/max spelling of
-    each set (a stock phrase shrinks to one row a task); only sets with two spellings join back.  AQE splits hot sets.
+    Plan: one scan writes 128-bit digests of the consistent forms and the spellings; a partial aggregate keeps min id and
+    min/max spelling of each set (a stock phrase shrinks to one row a task); only sets with two spellings join back, their
+    digests written first, so that Spark sees their size.  AQE splits hot sets.
     Null and empty texts are left out; rows without id too.
     """
     rows = texts.selectExpr("cast(tbl as string) tbl", "cast(id as bigint) id", "cast(text as string) text").where("id is not null and text <> ''")
-    keyed = written(rows.mapInArrow(_keys(_broadcast(texts.sparkSession)), "tbl string, id bigint, k1 bigint, k2 bigint, raw bigint"), "lookalike")
-    sets = keyed.groupBy("tbl", "k1", "k2").agg(F.min("id").alias("first_id"), F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi")
-    return keyed.join(sets.drop("lo", "hi"), ["tbl", "k1", "k2"]).where("id <> first_id").select("tbl", "first_id", F.col("id").alias("other_id"))
+    keyed = written(rows.mapInArrow(_keys(_broadcast(texts.sparkSession)), "tbl string, id bigint, k binary, raw binary"), "lookalike")
+    per = keyed.select("tbl", "id", "k", F.xxhash64("raw").alias("raw")).groupBy("tbl", "k").agg(F.min("id").alias("first_id"), F.min("raw").alias("lo"), F.max("raw").alias("hi"))
+    sets = written(per.where("lo <> hi").select("tbl", "k", "first_id"), "lookalike-sets")
+    return keyed.join(sets, ["tbl", "k"]).where("id <> first_id").select("tbl", "first_id", F.col("id").alias("other_id")).distinct()

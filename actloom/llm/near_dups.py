@@ -4,20 +4,25 @@ Method: signature trees.  A text's words, numbered by occurrence, form a set; te
 one of their rarest elements (prefix bound), so texts are routed by those elements in columnar blocks.  The texts of one
 element form a signature tree: leaves of texts in order of size, nodes with the OR of their word bitmaps, size ranges
 and the largest slack; a dual traversal drops every pair of nodes whose maximum possible overlap is too small, and the
-same bound drops pairs of texts in the leaves.  What is left is verified on the texts themselves.
+same bound drops pairs of texts in the leaves.  What is left is verified on the words themselves.
 
-The result is exact: no link is lost.  An element held by very many texts is cut into blocks whose pairs are spread over
-all tasks.  Only the ``TOP`` most frequent elements are broadcast (they order the prefix; any order gives the same result).
+Rarest means rarest by counts of all elements, kept in a sketch of ``BUCKETS`` counters (any total order gives the same
+result; the sketch only makes it a good one).  An element that counts more than ``HOT_ELEMENT`` texts does not route by
+itself: texts that share it as their first common element share a second one next to it (prefix bound plus one), so they
+are routed by both, which keeps groups small as the collection grows.  Texts of ``LONG_TEXT`` words and more, which have
+too many such pairs, are routed by single elements, as are shorter ones that such a text could still match.
+
+The result is exact: no link is lost.  An element held by more than ``HOT_BUCKET`` texts of a task is cut into blocks whose
+pairs, if their sizes fit, are spread over all tasks.
 
 Defined cases: null and short texts (under ``min_words`` words) have no links; texts with equal word multisets are one
-text with several members; a text may be of any length; rows without id are left out.
+text with several members (two independent 64-bit sums say which are); a text may be of any length; rows without id are
+left out; letters are folded one by one, so a word has the same letters in every step.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +33,17 @@ from pyspark.sql import functions as F
 from actloom.llm import codes
 from actloom.runtime import partitions, written
 
-TOP = 4096
+#: counters of the sketch of element counts; what is broadcast of it is 4 bytes each
+BUCKETS = 1 << 20
 SIG = 3  # 64-bit words of a bitmap
 LEAF, FAN = 64, 8
 FLUSH_TEXTS = 20_000
+#: texts that hold an element beyond which it routes together with a second one only, and words from which on texts do not do that
+HOT_ELEMENT, LONG_TEXT = 20_000, 128
 #: texts that share one element beyond which the element's work is cut into block pairs
 HOT_BUCKET = 20_000
-WORD = re.compile(r"[^\W_]+")
+#: routed elements of one task
+TASK_ELEMENTS = 1_000_000
 
 
 def by_row(row: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -60,8 +69,11 @@ class Sets:
             self.elem = codes.mix(h + nth.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + salt[row])
         self.rows, self.at, self.n = np.unique(row, return_index=True, return_counts=True)
         self.local = np.repeat(np.arange(len(self.rows)), self.n)
-        with np.errstate(over="ignore"):
-            self.key = np.add.reduceat(codes.mix(self.elem), self.at) if len(self.at) else np.zeros(0, np.uint64)
+        self.key = np.zeros(len(self.at), codes.PAIR)
+        if len(self.at):
+            with np.errstate(over="ignore"):
+                self.key["x"] = np.add.reduceat(codes.mix(self.elem), self.at)
+                self.key["y"] = np.add.reduceat(codes.mix(self.elem ^ np.uint64(0xA5A5A5A55A5A5A5A)), self.at)
 
 
 def _salt(b: pa.RecordBatch) -> np.ndarray:
@@ -79,44 +91,33 @@ def _sets(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple[p
             yield b, at, Sets(part, salt[at : at + len(part)], min_words)
 
 
-SURVEY = "grp string, id bigint, k bigint, elem bigint, n bigint"
+SURVEY = "grp string, id bigint, k binary, size bigint, bucket int, n bigint"
 
 
 def _survey(min_words: int):
-    """One pass for the members (grp, id, k) and the element counts (elem, n) of a task."""
+    """One pass for the members (grp, id, k, size) and the sketch of element counts (bucket, n) of a task."""
 
     def table(**cols: pa.Array) -> pa.RecordBatch:
         n = len(next(iter(cols.values())))
-        types = {"grp": pa.string(), "id": pa.int64(), "k": pa.int64(), "elem": pa.int64(), "n": pa.int64()}
+        types = {"grp": pa.string(), "id": pa.int64(), "k": pa.binary(), "size": pa.int64(), "bucket": pa.int32(), "n": pa.int64()}
         return pa.RecordBatch.from_arrays([cols.get(c, pa.nulls(n, t)) for c, t in types.items()], names=list(types))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def counts() -> pa.RecordBatch:
-            u, c = held[0]
-            return table(elem=pa.array(codes.signed(u)), n=pa.array(c))
-
-        def merge() -> None:
-            u, inv = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            held[:] = [(u, np.bincount(inv, np.concatenate([h[1] for h in held])).astype(np.int64))]
-
+        counts = np.zeros(BUCKETS, np.int64)
         for b, at, s in _sets(batches, min_words):
-            held.append(np.unique(s.elem, return_counts=True))
-            if len(held) > 32:
-                merge()
-                if len(held[0][0]) > 2_000_000:
-                    yield counts()
-                    held.clear()
+            counts += np.bincount(_bucket(s.elem), minlength=BUCKETS)
             rows = pa.array(at + s.rows)
-            yield table(grp=b.column(0).take(rows).cast(pa.string()), id=b.column(1).take(rows), k=pa.array(codes.signed(s.key)))
-        if held:
-            merge()
-            yield counts()
+            yield table(grp=b.column(0).take(rows).cast(pa.string()), id=b.column(1).take(rows), k=codes.binaries(s.key), size=pa.array(s.n.astype(np.int64)))
+        some = np.flatnonzero(counts)
+        yield table(bucket=pa.array(some.astype(np.int32)), n=pa.array(counts[some]))
 
     return run
 
 
+def _bucket(elem: np.ndarray) -> np.ndarray:
+    return (elem % np.uint64(BUCKETS)).astype(np.int64)
+
+
 def _pack_block(k: np.ndarray, n: np.ndarray, sig: np.ndarray, bk: np.ndarray, idx: np.ndarray) -> bytes:
     head = np.array([len(k), len(bk)], np.int64)
     return b"".join(x.tobytes() for x in (head, k, n.astype(np.uint32), sig, bk.astype(np.uint32), idx.astype(np.uint16 if len(k) < 65536 else np.uint32)))
@@ -125,7 +126,7 @@ def _pack_block(k: np.ndarray, n: np.ndarray, sig: np.ndarray, bk: np.ndarray, i
 def _unpack_block(raw: bytes) -> tuple[np.ndarray, ...]:
     m, r = (int(x) for x in np.frombuffer(raw, np.int64, 2))
     at, out = 16, []
-    for dtype, count in ((np.uint64, m), (np.uint32, m), (np.uint64, m * SIG), (np.uint32, r), (np.uint16 if m < 65536 else np.uint32, r)):
+    for dtype, count in ((codes.PAIR, m), (np.uint32, m), (np.uint64, m * SIG), (np.uint32, r), (np.uint16 if m < 65536 else np.uint32, r)):
         out.append(np.frombuffer(raw, dtype, count, at))
         at += out[-1].nbytes
     k, n, sig, bk, idx = out
@@ -142,14 +143,46 @@ def index_length(n: np.ndarray, t: float) -> np.ndarray:
     return n - np.ceil(2 * t / (1 + t) * n - 1e-9).astype(np.int64) + 1
 
 
-def _route(top, t: float, min_words: int, parts: int):  # noqa: ANN001
+def in_order(local: np.ndarray, elem: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Order of the elements of each text, the rarest first: by count, then by hash."""
+    level = np.floor(np.log2(1.0 + counts) * 64).astype(np.uint64)
+    key = (level << np.uint64(52)) | (elem >> np.uint64(12))
+    order = by_row(local, key)
+    k = ((local.astype(np.uint64) << np.uint64(44)) | (key >> np.uint64(20)))[order]
+    if (k[1:] == k[:-1]).any():
+        order = np.lexsort((elem, key, local))
+    return order
+
+
+def routes(elem: np.ndarray, local: np.ndarray, place: np.ndarray, n: np.ndarray, hot: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code, text, early) by which texts are routed, from their elements in order; ``n``: sizes of the texts, ``hot``: elements that count too many texts."""
+    head = place < prefix_length(n, t)[local]
+    early = place < index_length(n, t)[local]
+    # by single elements: rare ones; hot ones of long texts, of texts that a long one could match, and of texts that one common element makes similar
+    alone = head & (~hot | (n[local] >= t * LONG_TEXT - 1e-6) | (np.ceil(t * n - 1e-9) < 2)[local])
+    codes_, texts, firsts = [elem[alone]], [local[alone]], [early[alone]]
+    first = np.flatnonzero(head & hot & (n[local] < LONG_TEXT))
+    if len(first):
+        # the second stands behind the first, at most one place beyond the prefix
+        last = np.minimum(prefix_length(n, t), n - 1)[local[first]]
+        many = last - place[first]
+        i = np.repeat(first, many)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
+        with np.errstate(over="ignore"):
+            codes_.append(codes.mix(elem[i] * np.uint64(3) + codes.mix(elem[j])))
+        texts.append(local[i])
+        firsts.append(early[i])
+    return np.concatenate(codes_), np.concatenate(texts), np.concatenate(firsts)
+
+
+def _route(sketch, t: float, min_words: int, parts: int):  # noqa: ANN001
     """Blocks (part, block) of texts with their rarest elements."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, rank = top.value
-        seen: set[int] = set()
+        counts = sketch.value
+        seen: set[tuple[int, int]] = set()
         held: list[tuple] = []
-        texts = 0
+        size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             k, n, sig = (np.concatenate([h[i] for h in held]) for i in range(3))
@@ -164,23 +197,22 @@ def _route(top, t: float, min_words: int, parts: int):  # noqa: ANN001
             code, idx, part = code[order], idx[order], part[order]
             edge = np.searchsorted(part, np.arange(parts + 1))
             ids, blobs = [], []
-            for p in range(parts):
+            for p in np.flatnonzero(np.diff(edge)).tolist():
                 a, b = edge[p], edge[p + 1]
-                if a < b:
-                    own, inv = np.unique(idx[a:b], return_inverse=True)
-                    ids.append(p)
-                    blobs.append(_pack_block(k[own], n[own], sig[own], code[a:b], inv))
+                own, inv = np.unique(idx[a:b], return_inverse=True)
+                ids.append(p)
+                blobs.append(_pack_block(k[own], n[own], sig[own], code[a:b], inv))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "block"])
 
         for _, _, s in _sets(batches, min_words):
-            fresh = np.array([x not in seen for x in s.key.tolist()], bool) if seen else np.ones(len(s.key), bool)
-            _, once = np.unique(s.key, return_index=True)
-            only = np.zeros(len(s.key), bool)
-            only[once] = True
-            fresh &= only
+            fresh = np.zeros(len(s.key), bool)
+            fresh[codes.distinct_pairs(s.key)[0]] = True
+            keys = s.key.tolist()
+            if seen:
+                fresh &= np.array([x not in seen for x in keys], bool)
             if len(seen) > 1_000_000:
                 seen.clear()
-            seen.update(s.key[fresh].tolist())
+            seen.update(x for x, f in zip(keys, fresh.tolist(), strict=True) if f)
             if not fresh.any():
                 continue
             new = np.cumsum(fresh) - 1
@@ -190,22 +222,15 @@ def _route(top, t: float, min_words: int, parts: int):  # noqa: ANN001
             bits = np.zeros((len(n), SIG * 64), np.uint8)
             bits[local, (elem >> np.uint64(7)) % np.uint64(SIG * 64)] = 1
             sig = np.packbits(bits, axis=1).view(np.uint64)
-            # rare elements first, in order of hash; then the most frequent by frequency
-            at = np.minimum(np.searchsorted(keys, elem), max(0, len(keys) - 1))
-            hit = keys[at] == elem if len(keys) else np.zeros(len(elem), bool)
-            key = elem >> np.uint64(1)
-            key[hit] = np.uint64(1 << 63) + (rank[at[hit]] << np.uint64(32))
-            order = by_row(local, key)
-            elem, local = elem[order], local[order]
-            start = np.concatenate([[0], np.cumsum(n)[:-1]])
-            place = np.arange(len(elem)) - start[local]
-            head = place < prefix_length(n, t)[local]
-            early = (place < index_length(n, t)[local])[head]
-            held.append((s.key[fresh], n, sig, elem[head], local[head], early))
-            texts += len(n)
-            if texts >= FLUSH_TEXTS:
+            count = counts[_bucket(elem)]
+            order = in_order(local, elem, count)
+            elem, local, hot = elem[order], local[order], count[order] > HOT_ELEMENT
+            place = np.arange(len(elem)) - np.concatenate([[0], np.cumsum(n)[:-1]])[local]
+            held.append((s.key[fresh], n, sig, *routes(elem, local, place, n, hot, t)))
+            size += len(n) + len(held[-1][3]) // 64
+            if size >= FLUSH_TEXTS:
                 yield from flush()
-                held, texts = [], 0
+                held, size = [], 0
         if held:
             yield from flush()
 
@@ -219,7 +244,7 @@ class Tree:
         order = np.lexsort((sig[:, 0], n))
         leaves = -(-len(n) // LEAF)
         pad = leaves * LEAF - len(n)
-        self.k = np.concatenate([k[order], np.zeros(pad, np.uint64)])
+        self.k = np.concatenate([k[order], np.zeros(pad, np.int64)])
         sig = np.concatenate([sig[order], np.zeros((pad, SIG), np.uint64)])
         slack = n[order] - np.bitwise_count(sig[: len(n)]).sum(1).astype(np.int64)
         self.n = np.concatenate([n[order], np.full(pad, n.max(initial=0))]).astype(np.int32).reshape(leaves, LEAF)
@@ -241,7 +266,7 @@ def _possible(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray, t: float) -> np.
 
 
 def dual_traversal(a: Tree, b: Tree | None, t: float, ordered: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the pairs of texts of two trees (of one tree, if b is None) that pass the bound; ``ordered``: the first no larger than the second."""
+    """Numbers of the pairs of texts of two trees (of one tree, if b is None) that pass the bound; ``ordered``: the first no larger than the second."""
     same = b is None
     b = a if same else b
     depth = max(len(a.levels), len(b.levels)) - 1
@@ -289,14 +314,14 @@ def dual_traversal(a: Tree, b: Tree | None, t: float, ordered: bool = False) ->
             left.append(a.k[x[fit] * LEAF + y[fit]])
             right.append(b.k[v[fit] * LEAF + z[fit]])
     if not left:
-        e = np.zeros(0, np.uint64)
+        e = np.zeros(0, np.int64)
         return e, e
     left, right = np.concatenate(left), np.concatenate(right)
     keep = left != right
     return np.minimum(left, right)[keep], np.maximum(left, right)[keep]
 
 
-Texts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # key, size, bitmap, whether the element is early
+Texts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # number, size, bitmap, whether the element is early
 
 
 def bucket_pairs(x: Texts, y: Texts | None, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -310,15 +335,21 @@ def bucket_pairs(x: Texts, y: Texts | None, t: float) -> Iterator[tuple[np.ndarr
         yield dual_traversal(ya, xc, t, ordered=True)
 
 
-PAIRS = "a bigint, b bigint, x binary, y binary"
+PAIRS = "a binary, b binary, x binary, y binary"
 
 
-def _batch(a: np.ndarray, b: np.ndarray, units: list[tuple[bytes, bytes]] = ()) -> pa.RecordBatch:
+def _pairs(k: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    """The pairs of numbers as pairs of keys, the smaller key first."""
+    a, b = k[left], k[right]
+    swap = (a["x"] > b["x"]) | ((a["x"] == b["x"]) & (a["y"] > b["y"]))
+    a, b = np.where(swap, b, a), np.where(swap, a, b)
     void = pa.nulls(len(a), pa.binary())
-    if units:
-        none = pa.nulls(len(units), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, pa.array([u[0] for u in units], pa.binary()), pa.array([u[1] for u in units], pa.binary())], names=["a", "b", "x", "y"])
-    return pa.RecordBatch.from_arrays([pa.array(codes.signed(a)), pa.array(codes.signed(b)), void, void], names=["a", "b", "x", "y"])
+    return pa.RecordBatch.from_arrays([codes.binaries(a), codes.binaries(b), void, void], names=["a", "b", "x", "y"])
+
+
+def _unit(x: bytes, y: bytes) -> pa.RecordBatch:
+    void = pa.nulls(1, pa.binary())
+    return pa.RecordBatch.from_arrays([void, void, pa.array([x], pa.binary()), pa.array([y], pa.binary())], names=["a", "b", "x", "y"])
 
 
 def _join(t: float):
@@ -333,7 +364,7 @@ def _join(t: float):
         bk = np.concatenate([g[3] for g in got])
         idx = np.concatenate([g[4] + o for g, o in zip(got, shift, strict=False)])
         del got
-        _, first, inv = np.unique(k, return_index=True, return_inverse=True)
+        first, inv = codes.distinct_pairs(k)
         k, n, sig, idx = k[first], n[first], sig[first], inv[idx]
         # a text may hold two elements of one code; early in one is early
         order = np.lexsort((~bk & 1, idx, bk >> 1))
@@ -345,8 +376,8 @@ def _join(t: float):
         held, size = [], 0
 
         def table() -> pa.RecordBatch:
-            both = np.unique(np.stack([np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])], 1), axis=0)
-            return _batch(both[:, 0], both[:, 1])
+            both = np.unique(np.concatenate([h[0] * len(k) + h[1] for h in held]))
+            return _pairs(k, both // len(k), both % len(k))
 
         for s, e in zip(edge[:-1], edge[1:], strict=True):
             if e - s < 2:
@@ -359,13 +390,12 @@ def _join(t: float):
                 own, on = own[by], on[by]
                 cut = [slice(c, c + HOT_BUCKET // 2) for c in range(0, len(own), HOT_BUCKET // 2)]
                 packed = [_pack_block(k[own[c]], n[own[c]], sig[own[c]], on[c], np.arange(len(own[c]))) for c in cut]
-                none = np.zeros(0, np.uint64)
                 for i, x in enumerate(cut):
                     for j, y in enumerate(cut[i:], i):
                         if n[own[x][-1]] >= t * n[own[y][0]] - 1e-6:
-                            yield _batch(none, none, [(packed[i], b"" if i == j else packed[j])])
+                            yield _unit(packed[i], b"" if i == j else packed[j])
                 continue
-            for a, b in bucket_pairs((k[own], n[own], sig[own], on), None, t):
+            for a, b in bucket_pairs((own, n[own], sig[own], on), None, t):
                 if len(a):
                     held.append((a, b))
                     size += len(a)
@@ -379,60 +409,67 @@ def _join(t: float):
 
 
 def _join_units(t: float):
-    def texts(raw: bytes) -> Texts:
-        k, n, sig, on, idx = _unpack_block(raw)
-        return k[idx], n[idx], sig[idx], on.astype(bool)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for a, c in bucket_pairs(texts(x), texts(y) if y else None, t):
-                    yield pa.RecordBatch.from_arrays([pa.array(codes.signed(a)), pa.array(codes.signed(c))], names=["a", "b"])
+                k, n, sig, on, idx = _unpack_block(x)
+                left, right = (idx, n[idx], sig[idx], on.astype(bool)), None
+                if y:
+                    k2, n, sig, on, idx = _unpack_block(y)
+                    right = (idx + len(k), n[idx], sig[idx], on.astype(bool))
+                    k = np.concatenate([k, k2])
+                for a, c in bucket_pairs(left, right, t):
+                    yield _pairs(k, a, c).select([0, 1])
 
     return run
 
 
-def similarity(a: str, b: str) -> float:
-    """Sum of the smaller word counts over sum of the larger."""
-    x, y = (Counter(WORD.findall(s.lower())) for s in (a, b))
-    low = sum((x & y).values())
-    high = sum(x.values()) + sum(y.values()) - low
-    return low / high if high else 1.0
+def similarities(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Sum of the smaller word counts over sum of the larger, for each pair of texts; texts without a word count as equal to each other."""
+    x, y = (Sets(t, np.zeros(len(t), np.uint64), 1) for t in (a, b))
+    row = np.concatenate([x.rows[x.local], y.rows[y.local]])
+    elem = np.concatenate([x.elem, y.elem])
+    order = np.lexsort((elem, row))
+    row, elem = row[order], elem[order]
+    low = np.bincount(row[1:][(row[1:] == row[:-1]) & (elem[1:] == elem[:-1])], minlength=len(a))
+    high = np.bincount(row, minlength=len(a)) - low
+    return np.where(high > 0, low / np.maximum(1, high), 1.0)
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        s = [similarity(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], names=["a", "b", "score"])
+        left, right = (b.column(i).cast(pa.string()) for i in (2, 3))
+        for at, part in codes.slices(left):
+            s = similarities(part, right.slice(at, len(part)))
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(part)), b.column(1).slice(at, len(part)), pa.array(s, pa.float64())], names=["a", "b", "score"])
 
 
 def near_links(texts: DataFrame, threshold: float = 0.8, min_words: int = 1) -> tuple[DataFrame, DataFrame]:
     """(links, members) of ``texts`` (grp, id, text): links (a, b, score) between keys of different word multisets of one
     group, members (grp, id, k) of every text that is long enough.
 
-    Shuffles: the element counts (partial sums), the columnar blocks, the surviving pairs, and the texts of those pairs.
+    Shuffles: the sketch (partial sums), the columnar blocks, the surviving pairs, and the texts of those pairs, which are
+    fetched by their ids (written first, so that Spark broadcasts them if they are few).
     """
     spark = texts.sparkSession
     rows = texts.selectExpr("cast(grp as string) grp", "cast(id as bigint) id", "cast(text as string) text").where("id is not null and text is not null")
     survey = written(rows.mapInArrow(_survey(min_words), SURVEY), "near-survey")
-    counts = survey.where("elem is not null").groupBy("elem").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "elem").limit(TOP).collect()
-    keys = np.array([r.elem for r in top], np.int64).view(np.uint64)
-    rank = np.arange(len(top), 0, -1).astype(np.uint64)
-    order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((keys[order], rank[order]))
+    counted = survey.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(BUCKETS, np.float32)
+    counts[counted["bucket"].to_numpy(np.int64)] = counted["n"].to_numpy(np.float32)
     members = survey.where("k is not null").select("grp", "id", "k").distinct()
-    parts = partitions(spark)
-    blocks = rows.mapInArrow(_route(shared, threshold, min_words, parts), "part int, block binary").repartitionById(parts, F.col("part"))
+    total = survey.where("k is not null").agg(F.sum("size")).first()[0] or 0
+    parts = max(partitions(spark), int(total * (1 - threshold)) // TASK_ELEMENTS + 1)
+    blocks = rows.mapInArrow(_route(spark.sparkContext.broadcast(counts), threshold, min_words, parts), "part int, block binary").repartitionById(parts, F.col("part"))
     joined = written(blocks.mapInArrow(_join(threshold), PAIRS), "near-pairs")
-    more = joined.where("x is not null").select("x", "y").repartition(parts).mapInArrow(_join_units(threshold), "a bigint, b bigint")
-    pairs = joined.where("a is not null").select("a", "b").unionByName(more).distinct()
+    more = joined.where("x is not null").select("x", "y").repartition(parts).mapInArrow(_join_units(threshold), "a binary, b binary")
+    pairs = written(joined.where("a is not null").select("a", "b").unionByName(more).distinct(), "near-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-    holder = members.groupBy("k").agg(F.min(F.struct("id", "grp")).alias("m")).join(ends, "k", "left_semi").select("k", "m.id", "m.grp")
-    own = written(rows.join(holder, ["grp", "id"]).select("k", "text"), "near-texts")
+    holder = written(members.groupBy("k").agg(F.min(F.struct("id", "grp")).alias("m")).join(ends, "k", "left_semi").select("k", "m.id", "m.grp"), "near-holders")
+    own = written(rows.join(holder, ["grp", "id"]).select("k", "text").dropDuplicates(["k"]), "near-texts")
     both = pairs.join(own.withColumnsRenamed({"k": "a", "text": "ta"}), "a").join(own.withColumnsRenamed({"k": "b", "text": "tb"}), "b")
-    links = both.select("a", "b", "ta", "tb").mapInArrow(_exact, "a bigint, b bigint, score double").where(F.col("score") >= threshold - 1e-12)
-    return written(links.dropDuplicates(["a", "b"]), "near-links"), members
+    links = both.select("a", "b", "ta", "tb").mapInArrow(_exact, "a binary, b binary, score double").where(F.col("score") >= threshold - 1e-12)
+    return written(links, "near-links"), members
 
 
 def expanded(links: DataFrame, members: DataFrame) -> DataFrame:
@@ -444,18 +481,29 @@ def expanded(links: DataFrame, members: DataFrame) -> DataFrame:
     return across.unionByName(copies).select("grp", F.least("x", "y").alias("a_id"), F.greatest("x", "y").alias("b_id"))
 
 
+def components(links: DataFrame) -> DataFrame:
+    """(k, root) of every linked key, the root the smallest key reachable: large stars and small stars in turn, so that the
+    rounds, each written, grow with the logarithm of the longest chain and not with its length."""
+    stars = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "stars")
+    mark = lambda df: df.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first()
+    before = mark(stars)
+    while True:
+        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
+        large = written(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "stars")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").unionByName(least.select("u", F.col("m").alias("v")))
+        stars = written(small.distinct(), "stars")
+        now = mark(stars)
+        if now == before:
+            return stars.select(F.col("u").alias("k"), F.col("v").alias("root"))
+        before = now
+
+
 def classes(links: DataFrame, members: DataFrame) -> DataFrame:
     """(grp, id, class_id, n_links): one row a text; the class is the smallest id reachable over links, n_links the
-    linked texts of other wording.  Labels spread over links between wordings only, written after each round."""
-    nodes = members.groupBy("k").agg(F.min("id").alias("label"))
-    edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "near-edges")
-    labels = written(nodes, "near-labels")
-    while True:
-        best = edges.join(labels.select(F.col("k").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("other"))
-        step = labels.join(best, F.col("k") == F.col("a"), "left").select("k", "label", F.least("label", F.coalesce("other", "label")).alias("now"))
-        step = written(step, "near-labels")
-        if step.where("now < label").isEmpty():
-            break
-        labels = step.select("k", F.col("now").alias("label"))
-    degree = edges.groupBy(F.col("a").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    return members.join(labels.withColumnRenamed("label", "class_id"), "k").join(degree, "k", "left").select("grp", "id", "class_id", F.coalesce("n", F.lit(0)).alias("n_links"))
+    linked texts of other wording."""
+    rooted = members.join(components(links), "k", "left").withColumn("root", F.coalesce("root", "k"))
+    first = rooted.groupBy("grp", "root").agg(F.min("id").alias("class_id"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    return rooted.join(first, ["grp", "root"]).join(degree, "k", "left").select("grp", "id", "class_id", F.coalesce("n", F.lit(0)).alias("n_links"))

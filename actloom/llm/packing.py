@@ -2,7 +2,9 @@
 
 Method: bounded-space online packing.  Every partition keeps a fixed number of open windows for each capacity and places
 items best-fit; when no window has room the fullest is emitted and a new one opened.  Windows still open at the end of
-a partition are merged as items of their own, over ever fewer partitions, each round with the same bounded windows.
+a partition are merged as items of their own, over ever fewer partitions.  Every merging round works alike: a task takes
+the leftovers of ``FAN_IN`` partitions, so at most ``FAN_IN * windows`` a capacity, packs them largest first with as many
+windows, and emits the fullest until no more than ``windows`` are left open.
 
 Defined cases: an item above the capacity is cut into full pieces and one rest, and only then; items of no length need
 no container and are left out; equal ids are packed as separate items; an empty table gives no container.
@@ -54,7 +56,10 @@ class Windows:
         free, b = window
         self.emit(b, self.items.pop(b), self.capacity - free, is_open)
 
-    def end(self) -> None:
+    def end(self, keep: int) -> None:
+        """Emit the fullest until ``keep`` are left, which go on as open."""
+        while len(self.open) > keep:
+            self._close(self.open.pop(0))
         while self.open:
             self._close(self.open.pop(0), True)
 
@@ -84,26 +89,24 @@ def _pack(capacities: list[int], windows: int):
                         p.put(size, (i, j, pieces, j * p.capacity, size))
             yield table()
         for p in packs:
-            p.end()
+            p.end(windows)
         yield table()
 
     return run
 
 
-def _merge(capacities: list[int], windows: int, level: int, level_is_last: bool):
-    """Leftover windows packed as items; in the last round, of at most FAN_IN partitions' leftovers, without a bound and largest first."""
+def _merge(capacities: list[int], windows: int, level: int):
+    """Leftover windows packed as items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(n, k, b) for x in batches for k, b, n in zip(*(c.to_pylist() for c in x.columns), strict=True)]
-        if level_is_last:
-            rows.sort(reverse=True)
+        rows = sorted(((n, k, b) for x in batches for k, b, n in zip(*(c.to_pylist() for c in x.columns), strict=True)), reverse=True)
         out: list[tuple] = []
         base = (level << 58) | (TaskContext.get().partitionId() << 32)
-        packs = [Windows(c, windows, base, lambda b, items, fill, is_open, k=k: out.extend((k, i, b, fill, is_open) for i in items)) for k, c in enumerate(capacities)]
+        packs = [Windows(c, FAN_IN * windows, base, lambda b, items, fill, is_open, k=k: out.extend((k, i, b, fill, is_open) for i in items)) for k, c in enumerate(capacities)]
         for n, k, b in rows:
             packs[k].put(n, b)
         for p in packs:
-            p.end()
+            p.end(windows)
         cols = list(zip(*out, strict=True)) if out else [[]] * 5
         types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["pack", "bin", "into", "fill", "is_open"])
@@ -129,7 +132,7 @@ def pack(lengths: DataFrame, sizes: list[tuple[str, int]], windows: int = WINDOW
     while True:
         last = parts <= 1
         parts = max(1, -(-parts // FAN_IN))
-        step = written(left.repartition(parts).sortWithinPartitions("pack", "bin").mapInArrow(_merge(caps, windows if parts > 1 else 1 << 30, level, parts == 1), "pack int, bin bigint, into bigint, fill bigint, is_open boolean"), "merged")
+        step = written(left.repartition(parts).sortWithinPartitions("pack", "bin").mapInArrow(_merge(caps, windows, level), "pack int, bin bigint, into bigint, fill bigint, is_open boolean"), "merged")
         now = step.select("pack", "bin", "into")
         moves = now if moves is None else moves.join(now.select("pack", F.col("bin").alias("into"), F.col("into").alias("next")), ["pack", "into"], "left").select("pack", "bin", F.coalesce("next", "into").alias("into"))
         if parts == 1 or last:

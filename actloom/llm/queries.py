@@ -20,19 +20,21 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 # 1 -------------------------------------------------------------------------------------------------------------------
 
 
+NOTE = ["note_id", "marker", "text"]
+
+
 def _notes(spark: SparkSession, d: str) -> DataFrame:
-    fields = ["note_id", "marker", "text"]
-    parsed = format_dups.as_records(_t(spark, d, "footnotes"), "fn_id", fields)
-    lines = format_dups.as_records(_t(spark, d, "footnote_lines").select("fn_id", *[F.lit(None).alias(f) for f in fields], "line"), "fn_id", fields, "line")
+    parsed = format_dups.as_records(_t(spark, d, "footnotes"), "fn_id", NOTE)
+    lines = format_dups.as_records(_t(spark, d, "footnote_lines").select("fn_id", *[F.lit(None).alias(f) for f in NOTE], "line"), "fn_id", NOTE, "line")
     return parsed.unionByName(lines)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return format_dups.format_duplicates(_notes(spark, d), 3)
+    return format_dups.format_duplicates(_notes(spark, d), NOTE)
 
 
 def p1_collapsed(spark: SparkSession, d: str) -> DataFrame:
-    return format_dups.collapse(_notes(spark, d), 3).withColumnRenamed("id", "fn_id")
+    return format_dups.collapse(_notes(spark, d), NOTE).withColumnRenamed("id", "fn_id")
 
 
 # 2 -------------------------------------------------------------------------------------------------------------------
@@ -84,6 +86,11 @@ def p4_shares(spark: SparkSession, d: str) -> DataFrame:
     return shared_spans.shared_words(*shared_spans.occurrences(_item_texts(spark, d))).withColumnsRenamed({"grp": "field", "id": "analysis_id"})
 
 
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Classes of passages and their members: what p4_found expands into pairs."""
+    return shared_spans.classes(*shared_spans.occurrences(_item_texts(spark, d))).withColumnsRenamed({"grp": "field", "id": "analysis_id"})
+
+
 def p4_passages(spark: SparkSession, d: str) -> DataFrame:
     texts = _item_texts(spark, d)
     return shared_spans.passages(*shared_spans.occurrences(texts), texts).withColumnsRenamed({"grp": "field", "id": "analysis_id"})
@@ -93,29 +100,33 @@ def p4_passages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _reports(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """Each report once, the earliest delivery."""
-    t = _t(spark, d, name)
+    """Each report once, the earliest delivery; only the rows of reports that came again are sorted by report."""
+    t = _t(spark, d, name).where("report_id is not null")
     cols = [c for c in ("top_missing", "top_extra", "excluded_source_tokens") if c in t.columns]
-    return t.where("report_id is not null").groupBy("report_id").agg(F.min_by(F.struct(*cols), F.struct(F.col("loaded_at").isNull(), "loaded_at")).alias("r")).select("report_id", "r.*")
+    again = written(t.groupBy("report_id").count().where("count > 1").select("report_id"), "again")
+    several = t.join(again, "report_id", "left_semi").groupBy("report_id").agg(F.min_by(F.struct(*cols), F.struct(F.col("loaded_at").isNull(), "loaded_at", F.xxhash64(*cols))).alias("r"))
+    return t.join(again, "report_id", "left_anti").select("report_id", *cols).unionByName(several.select("report_id", "r.*"))
 
 
 def _terms(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     compared, practical = _reports(spark, d, "comparison_results"), _reports(spark, d, "practical_coverage")
     clean = lambda c: F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
 
-    def listed(c: str) -> DataFrame:
+    def listed(c: str) -> F.Column:
         real = F.filter(c, lambda e: e.isNotNull())
-        return compared.select(F.lit(c).alias("field"), F.col("report_id").alias("record"), F.transform(real, lambda e: clean(F.get(e, 0))).alias("terms"), F.transform(real, lambda e: F.coalesce(F.get(e, 1).try_cast("bigint"), F.lit(0))).alias("weights"))
+        return F.struct(F.lit(c).alias("field"), F.transform(real, lambda e: clean(F.get(e, 0))).alias("terms"), F.transform(real, lambda e: F.coalesce(F.get(e, 1).try_cast("bigint"), F.lit(0))).alias("weights"))
 
-    value = practical.where("excluded_source_tokens is not null").select(F.lit("excluded_source_tokens").alias("field"), F.col("report_id").alias("record"), F.array(F.col("excluded_source_tokens").cast("bigint").cast("string")).alias("terms"), F.array(F.lit(1).cast("bigint")).alias("weights"))
-    count = lambda t, fields: t.agg(F.count(F.lit(1)).alias("n_records")).select(F.explode(F.array(*map(F.lit, fields))).alias("field"), "n_records")
-    sizes = count(compared, ["top_missing", "top_extra"]).unionByName(count(practical, ["excluded_source_tokens"]))
-    return listed("top_missing").unionByName(listed("top_extra")).unionByName(value), sizes
+    lists = compared.select(F.col("report_id").alias("record"), F.explode(F.array(listed("top_missing"), listed("top_extra"))).alias("l")).select("l.field", "record", "l.terms", "l.weights")
+    value = F.col("excluded_source_tokens").cast("bigint").cast("string")
+    values = practical.select(F.lit("excluded_source_tokens").alias("field"), F.col("report_id").alias("record"), F.array(value).alias("terms"), F.array(F.lit(1).cast("bigint")).alias("weights"))
+    seqs = written(lists.unionByName(values), "terms")
+    return seqs, seqs.groupBy("field").agg(F.count(F.lit(1)).alias("n_records"))
 
 
 def p5_terms(spark: SparkSession, d: str) -> DataFrame:
+    """Every term, as the prefixes of one term among the suffixes of two; the pairs are p5_phrases'."""
     seqs, sizes = _terms(spark, d)
-    got = term_counts.marked(term_counts.term_counts(seqs, 1), sizes)
+    got = term_counts.marked(term_counts.term_counts(seqs, 2).where("n = 1"), sizes)
     return got.select("field", F.col("gram").alias("term"), "total", F.col("records").alias("reports"), F.coalesce("mark", F.lit("useful")).alias("mark"))
 
 
@@ -127,7 +138,7 @@ def p5_phrases(spark: SparkSession, d: str) -> DataFrame:
     """Runs of up to three neighbouring terms of the lists."""
     seqs, _ = _terms(spark, d)
     got = term_counts.term_counts(seqs.where("field <> 'excluded_source_tokens'"), 3)
-    return got.select("field", F.regexp_replace("gram", term_counts.SEP, " ").alias("phrase"), "n", "total", F.col("records").alias("reports"))
+    return got.select("field", F.replace("gram", F.lit(term_counts.SEP), F.lit(" ")).alias("phrase"), "n", "total", F.col("records").alias("reports"))
 
 
 # 6 and 7 -------------------------------------------------------------------------------------------------------------
@@ -160,10 +171,10 @@ def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
-    """The chosen documents with their repeats, and the shares they give."""
+    """The chosen documents with their repeats, the slot of the schedule at which each first begins, and the shares they give."""
     chosen, _ = _mixed(spark, d)
     share = mixing.shares(chosen).select("mix_name", "source", "actual_share")
-    rows = chosen.select("mix_name", "source", F.col("id").alias("doc_id"), "n_tokens", "repeats", "max_repeats", "target_share")
+    rows = chosen.select("mix_name", "source", F.col("id").alias("doc_id"), "n_tokens", "repeats", "first_slot", "max_repeats", "target_share")
     return rows.join(F.broadcast(share), ["mix_name", "source"])
 
 
@@ -183,10 +194,11 @@ def _levels(spark: SparkSession, d: str) -> tuple[DataFrame, reading.Model]:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    """Documents of which the exact rule holds; the level decides nothing."""
+    """Documents whose level may be an expert reader's (or is unknown), checked by the exact rule."""
     scored, _ = _levels(spark, d)
-    rule = "k0 = 'en' and n_words > 0 and n_words >= 28 * greatest(n_sentences, 1) and n_letters >= 5.5 * n_words"
-    return scored.where(rule).select(F.col("id").alias("doc_id"))
+    expert = scored.where("k0 = 'en'").where(F.coalesce("level", F.lit(float(reading.GRADES))) >= reading.EXPERT_FROM)
+    rule = "n_words > 0 and n_words >= 28 * greatest(n_sentences, 1) and n_letters >= 5.5 * n_words"
+    return expert.where(rule).select(F.col("id").alias("doc_id"))
 
 
 def p8_levels(spark: SparkSession, d: str) -> DataFrame:
@@ -202,7 +214,7 @@ def p8_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (p1_found, p1_collapsed, p2_found, p2_text_blocks, p2_footnotes, p3_found, p3_groups, p4_found, p4_shares, p4_passages, p5_found, p5_terms, p5_phrases, p6_found, p6_assigned, p6_room, p7_mix, p7_shares, p7_schedule, p8_found, p8_levels, p8_profile)
+    own = (p1_found, p1_collapsed, p2_found, p2_text_blocks, p2_footnotes, p3_found, p3_groups, p4_found, p4_shares, p4_classes, p4_passages, p5_found, p5_terms, p5_phrases, p6_found, p6_assigned, p6_room, p7_mix, p7_shares, p7_schedule, p8_found, p8_levels, p8_profile)
     return {q.__name__: q for q in own}
 
 
@@ -226,7 +238,7 @@ _ITEMS = """
 def oracle_sql() -> dict[str, str]:
     return {
         "p3_found": _ITEMS + r"""
-  w AS (SELECT field, id, unnest(regexp_extract_all(lower(t), '[\p{L}\p{N}]+')) x FROM i),
+  w AS (SELECT field, id, lower(unnest(regexp_extract_all(t, '[\p{L}\p{N}]+'))) x FROM i),
   n AS (SELECT field, id, count(*) n FROM w GROUP BY ALL HAVING count(*) >= 20),
   c AS (SELECT field, id, x, count(*) k FROM w JOIN n USING (field, id) GROUP BY ALL),
   o AS (SELECT a.field, a.id a_id, b.id b_id, sum(least(a.k, b.k)) s FROM c a JOIN c b ON a.field = b.field AND a.x = b.x AND a.id < b.id GROUP BY ALL)

@@ -4,11 +4,13 @@ Method: every word gets an acquisition grade, the grade at which half of its rat
 met; a document's level comes from quantiles of the grades of its known words, calibrated on the graded documents by
 least squares.
 
-The model is fitted on at most ``MAX_LABELLED`` graded documents (those of the smallest id hash, so the sample is
-stable) and keeps at most ``MAX_WORDS`` words, which bounds what is broadcast; every document is scored whole.
+The model is fitted on a bounded sample of the graded documents, those of the smallest id hash (so the sample is stable):
+at most ``MAX_LABELLED`` of them, none above ``MAX_TEXT`` characters and ``MAX_SAMPLE`` characters together.  All words of
+the sample are kept, a word of few texts with a grade drawn to the middle by ``PRIOR`` even texts; the bound of the sample
+bounds the words that are broadcast.  Every document is scored whole.
 
 Defined cases: several grades of a document are averaged; null text, or text without a known word, has a null level;
-without any graded document all levels are null; extra columns are ignored.
+without any graded document all levels are null; extra columns are ignored; rows of one id are scored each.
 """
 
 from __future__ import annotations
@@ -18,17 +20,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from actloom.llm import codes
+from actloom.runtime import partitions, written
 
 GRADES = 5
-MAX_LABELLED, MAX_WORDS, MIN_TEXTS = 20_000, 100_000, 3
+#: bounds of the sample of graded documents: documents, characters of one, characters in all
+MAX_LABELLED, MAX_TEXT, MAX_SAMPLE = 20_000, 200_000, 40_000_000
+#: texts, spread evenly over the grades, that each word is taken to stand in besides those of the sample
+PRIOR = 3
 QUANTILES = (0.25, 0.5, 0.75, 0.9)
 #: abbreviations whose full stop ends no sentence (fixed values)
 ABBREVIATIONS = ("Art", "No", "cf", "p", "para")
-FEATURES = "n_words bigint, n_letters bigint, n_sentences bigint, n_known bigint, grade_mean double, " + ", ".join(f"q{i} double" for i in range(len(QUANTILES)))
+#: levels from here on, the ones nearest to grade 3 or more, may be an expert reader's
+EXPERT_FROM = 2.5
+FEATURES = "n_words bigint, n_letters bigint, n_sentences bigint, n_known bigint, " + ", ".join(f"q{i} double" for i in range(len(QUANTILES)))
 
 
 @lru_cache(maxsize=1)
@@ -71,7 +79,7 @@ def sentence_ends(cps: np.ndarray, off: np.ndarray, s: np.ndarray, e: np.ndarray
 
 def features(arr: pa.Array, keys: np.ndarray, grades: np.ndarray) -> list[np.ndarray]:
     """The columns of ``FEATURES`` for the texts; ``keys`` are sorted word hashes."""
-    cols: list[list[np.ndarray]] = [[] for _ in range(5 + len(QUANTILES))]
+    cols: list[list[np.ndarray]] = [[] for _ in range(4 + len(QUANTILES))]
     for _, part in codes.slices(arr):
         cps, off = codes.points(part)
         n = len(part)
@@ -85,16 +93,13 @@ def features(arr: pa.Array, keys: np.ndarray, grades: np.ndarray) -> list[np.nda
         g = g[np.lexsort((g, r))]
         known = np.bincount(r, minlength=n)
         first = np.concatenate([[0], np.cumsum(known)])
-        mean = np.full(n, np.nan)
         some = known > 0
-        total = np.concatenate([[0.0], np.cumsum(g)])
-        mean[some] = (total[first[1:]] - total[first[:-1]])[some] / known[some]
         qs = []
         for q in QUANTILES:
             x = np.full(n, np.nan)
             x[some] = g[(first[:-1] + np.floor(q * (known - 1)).astype(np.int64))[some]]
             qs.append(x)
-        for c, v in zip(cols, [words, chars, sentences, known, mean, *qs], strict=True):
+        for c, v in zip(cols, [words, chars, sentences, known, *qs], strict=True):
             c.append(v)
     return [np.concatenate(c) if c else np.zeros(0) for c in cols]
 
@@ -109,11 +114,16 @@ class Model:
     def __init__(self, keys: np.ndarray, grades: np.ndarray, weights: np.ndarray | None) -> None:
         self.keys, self.grades, self.weights = keys, grades, weights
 
-    def level(self, mean: np.ndarray, qs: list[np.ndarray]) -> np.ndarray:
+    def level(self, qs: list[np.ndarray]) -> np.ndarray:
         if self.weights is None:
-            return np.full(len(mean), np.nan)
-        x = np.stack([np.ones(len(mean)), mean, *qs], 1)
-        return np.clip(x @ self.weights, 1, GRADES)
+            return np.full(len(qs[0]), np.nan)
+        return np.clip(np.stack([np.ones(len(qs[0])), *qs], 1) @ self.weights, 1, GRADES)
+
+    def calibrate(self, qs: list[np.ndarray], grade: np.ndarray) -> None:
+        """Least squares of the grades on the quantiles; a slight ridge on the slopes, none on the constant."""
+        x = np.stack([np.ones(len(grade)), *qs], 1)
+        ridge = np.diag([0.0] + [1e-2] * len(qs))
+        self.weights = np.linalg.solve(x.T @ x + ridge, x.T @ grade)
 
 
 def _word_rates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,9 +143,14 @@ def _word_rates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def acquisition_grades(rates: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Grade at which half of a word's use is reached, interpolated; rows are words, columns the grades' mean rates."""
-    p = rates / np.maximum(1, texts)[None, :]
+def acquisition_grades(rates: np.ndarray, held: np.ndarray, texts: np.ndarray, prior: float = PRIOR) -> np.ndarray:
+    """Grade at which half of a word's use is reached, interpolated.
+
+    ``rates``: rows are words, columns the sums of their shares in the texts of a grade; ``held``: texts that hold the word;
+    ``texts``: texts of each grade.
+    """
+    even = (rates.sum(1) / np.maximum(1, held) * prior)[:, None] * (texts / max(1, texts.sum()))[None, :]
+    p = (rates + even) / np.maximum(1, texts)[None, :]
     c = np.cumsum(p, 1) / np.maximum(p.sum(1, keepdims=True), 1e-300)
     k = np.argmax(c >= 0.5, 1)
     i = np.arange(len(c))
@@ -143,31 +158,36 @@ def acquisition_grades(rates: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return k + 0.5 + (0.5 - low) / np.maximum(c[i, k] - low, 1e-12)
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_words: int = MAX_WORDS) -> Model:
+def graded_sample(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_text: int = MAX_TEXT, max_sample: int = MAX_SAMPLE) -> DataFrame:
+    """(doc_id, grade, text) of the graded documents the model is fitted on; the grades are broadcast, the texts never shuffled."""
+    graded = labels.where(F.col("grade").between(1, GRADES)).groupBy("doc_id").agg(F.avg("grade").alias("grade"))
+    some = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    texts = written(documents.select("doc_id", "text").where(F.length("text") <= max_text).join(F.broadcast(some), "doc_id").select("doc_id", "grade", "text"), "graded")
+    size = texts.groupBy("doc_id").agg(F.sum(F.length("text")).alias("size"))  # one narrow row a graded document
+    upto = F.sum("size").over(Window.partitionBy(F.lit(0)).orderBy(F.xxhash64("doc_id"), "doc_id"))
+    kept = size.withColumn("upto", upto).where(F.col("upto") <= max_sample).select("doc_id")
+    return texts.join(F.broadcast(kept), "doc_id", "left_semi")
+
+
+def fit(documents: DataFrame, labels: DataFrame) -> Model:
     """The model of graded documents: ``documents`` (doc_id, text), ``labels`` (doc_id, grade)."""
     spark = documents.sparkSession
-    graded = labels.where(F.col("grade").between(1, GRADES)).groupBy("doc_id").agg(F.avg("grade").alias("grade"))
-    sample = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    texts = documents.select("doc_id", "text").where("text is not null").join(sample, "doc_id").select("doc_id", "grade", "text").persist()
-    try:
-        rate = texts.mapInArrow(_word_rates, "word bigint, grade int, rate double, texts bigint").groupBy("word").agg(
-            *[F.sum(F.when(F.col("grade") == g, F.col("rate")).otherwise(0.0)).alias(f"g{g}") for g in range(1, GRADES + 1)], F.sum("texts").alias("texts")
-        )
-        words = rate.where(F.col("texts") >= MIN_TEXTS).orderBy(F.desc("texts"), "word").limit(max_words).toPandas()
-        per = {int(r["g"]): int(r["n"]) for r in texts.groupBy(F.rint("grade").alias("g")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        keys = words["word"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        count = np.array([per.get(g, 0) for g in range(1, GRADES + 1)])
-        grade = acquisition_grades(words[[f"g{g}" for g in range(1, GRADES + 1)]].to_numpy(float), count) if len(words) else np.zeros(0)
-        model = Model(keys[order], grade[order], None)
-        got = score_features(texts.select("doc_id", "text", "grade"), spark.sparkContext.broadcast(model), "doc_id", "text", ("grade",)).toPandas()
-    finally:
-        texts.unpersist()
+    texts = graded_sample(documents, labels)
+    texts = written(texts.repartition(partitions(spark)), "graded")
+    rate = texts.mapInArrow(_word_rates, "word bigint, grade int, rate double, texts bigint").groupBy("word").agg(
+        *[F.sum(F.when(F.col("grade") == g, F.col("rate")).otherwise(0.0)).alias(f"g{g}") for g in range(1, GRADES + 1)], F.sum("texts").alias("texts")
+    )
+    words = rate.toPandas()
+    per = {int(r["g"]): int(r["n"]) for r in texts.groupBy(F.rint("grade").alias("g")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    keys = words["word"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    count = np.array([per.get(g, 0) for g in range(1, GRADES + 1)])
+    grade = acquisition_grades(words[[f"g{g}" for g in range(1, GRADES + 1)]].to_numpy(float), words["texts"].to_numpy(float), count) if len(words) else np.zeros(0)
+    model = Model(keys[order], grade[order].astype(np.float32), None)
+    got = score_features(texts.select("doc_id", "text", "grade"), spark.sparkContext.broadcast(model), "doc_id", "text", ("grade",)).toPandas()
     got = got[got["n_known"] > 0]
     if len(got):
-        x = np.stack([np.ones(len(got)), *[got[c].to_numpy(float) for c in ("grade_mean", *[f"q{i}" for i in range(len(QUANTILES))])]], 1)
-        y = got["k0"].to_numpy(float)
-        model.weights = np.linalg.solve(x.T @ x + 1e-3 * np.eye(x.shape[1]), x.T @ y)
+        model.calibrate([got[f"q{i}"].to_numpy(float) for i in range(len(QUANTILES))], got["k0"].to_numpy(float))
     return model
 
 
@@ -178,7 +198,7 @@ def score_features(df: DataFrame, model, id_col: str, text_col: str, keep: tuple
         m = model.value
         for b in batches:
             cols = features(b.column(b.num_columns - 1).cast(pa.string()), m.keys, m.grades)
-            level = m.level(cols[4].astype(float), [c.astype(float) for c in cols[5:]])
+            level = m.level([c.astype(float) for c in cols[4:]])
             names = [*b.schema.names[:-1], *[x.split()[0] for x in FEATURES.split(", ")], "level"]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *_arrow(cols), pa.array(level, pa.float64(), from_pandas=True)], names=names)
 

@@ -51,7 +51,8 @@ def token_lengths(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ..
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(ranks.value)
         for b in batches:
-            n = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column(b.num_columns - 1).to_pylist()]
+            texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
+            n = [len(x) for x in enc.encode_ordinary_batch(texts, num_threads=1)]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], names=[*b.schema.names[:-1], "n_tokens"])
 
     cols = [F.col(f"`{id_col}`").cast("bigint").alias("id"), *[F.col(f"`{c}`").cast("string").alias(f"k{i}") for i, c in enumerate(keep)]]

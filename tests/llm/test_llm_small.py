@@ -14,6 +14,7 @@ import pytest
 from actloom.llm import codes, format_dups, lookalike, mixing, near_dups, packing, reading, shared_spans, term_counts, tokens
 
 WORD = re.compile(r"[^\W_]+")
+NOTE = ("note_id", "marker", "text")
 
 
 def rows(df):
@@ -65,9 +66,9 @@ def test_format_duplicates_match_brute_force(spark):
         recs.append((i, [x if x or rnd.random() < 0.5 else None for x in f]))
     recs += [(1000, ["a" * 5000 + " b", None, ""]), (1001, ["", "A" * 5000 + "-B", ""]), (1002, ["ab c", "d", ""]), (1003, ["a bc", "d", ""])]
     df = spark.createDataFrame([(i, *f, "clash", "clash") for i, f in recs] + [(None, "a", "b", "c", "", "")], "fn bigint, a string, b string, c string, h string, id string")
-    got = format_dups.format_duplicates(format_dups.as_records(df, "fn", ["a", "b", "c"]), 3)
+    got = format_dups.format_duplicates(format_dups.as_records(df, "fn", ["a", "b", "c"]), ["a", "b", "c"])
     assert set(rows(got)) == brute_dups(recs)
-    copies = dict(rows(format_dups.collapse(format_dups.as_records(df, "fn", ["a", "b", "c"]), 3)))
+    copies = dict(rows(format_dups.collapse(format_dups.as_records(df, "fn", ["a", "b", "c"]), ["a", "b", "c"])))
     assert sum(copies.values()) == len(recs) and len(copies) == len(recs) - len(brute_dups(recs))
 
 
@@ -77,7 +78,7 @@ def test_hash_collisions_are_resolved(spark, monkeypatch):
     recs = [(1, ["a", "", ""]), (2, ["b", "", ""]), (3, ["A", "", ""]), (4, ["B!", "", ""])]
     df = format_dups.as_records(spark.createDataFrame([(i, *f) for i, f in recs], "id bigint, a string, b string, c string"), "id", ["a", "b", "c"])
 
-    def collide(width):
+    def collide(names):
         def run(batches):
             for b in batches:
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([7] * len(b), pa.int64())], names=["id", "h"])
@@ -85,7 +86,7 @@ def test_hash_collisions_are_resolved(spark, monkeypatch):
         return run
 
     monkeypatch.setattr(format_dups, "_hash_rows", collide)
-    assert set(rows(format_dups.format_duplicates(df, 3))) == {(1, 3), (2, 4)}
+    assert set(rows(format_dups.format_duplicates(df, ["a", "b", "c"]))) == {(1, 3), (2, 4)}
 
 
 @pytest.mark.parametrize(
@@ -93,14 +94,27 @@ def test_hash_collisions_are_resolved(spark, monkeypatch):
     ['{"Marker": "(1)", "note_id": null, "TEXT": "a|b"}', "marker: (1)\ttext: a|b\tnote_id: ", "text=a|b|marker=(1)", "(1)\ta b", "(1) | a b | ", '{\n "text": "a\\tb",\n "marker": "1"}'],
 )
 def test_lines_parse_to_the_same_record(line):
-    assert format_dups.same_record(format_dups.parse_line(line, 3), ["", "(1)", "A B"])
+    assert format_dups.same_record(format_dups.parse_line(line, NOTE), ["", "(1)", "A B"])
 
 
 def test_lines_that_are_odd_do_not_fail():
-    assert format_dups.parse_line(None, 3) == ["", "", ""]
-    assert format_dups.parse_line("{broken", 3) == ["{broken", "", ""]
-    assert format_dups.parse_line("[1]", 2) == ["[1]", ""]
-    assert len(format_dups.parse_line("a|b|c|d|e", 3)) == 3
+    assert format_dups.parse_line(None, NOTE) == ["", "", ""]
+    assert format_dups.parse_line("{broken", NOTE) == ["{broken", "", ""]
+    assert format_dups.parse_line("[1]", NOTE[:2]) == ["[1]", ""]
+    assert len(format_dups.parse_line("a|b|c|d|e", NOTE)) == 3
+    assert format_dups.parse_line("1\t(2)\ta | b", NOTE) == ["1", "(2)", "a | b"]
+    assert format_dups.parse_line("1|(2)|a\tb", NOTE) == ["1", "(2)", "a\tb"]
+    assert format_dups.parse_line("Kind=x|size: 2", ("size", "kind")) == ["x", " 2"]
+
+
+@pytest.mark.parametrize(("a", "b", "same"), [("", " -", True), ("ab c", "a bc", False), ("AB_c", "ab  C", True), ("ab", "ab c", False), ("σας", "ΣΑΣ", True), ("a", "", False), ("(a)b", "a b.", True)])
+def test_two_pointers_skip_and_fold(a, b, same):
+    assert format_dups.same_runs(a, b) is same and format_dups.same_runs(b, a) is same
+
+
+def test_rows_of_one_id(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "A"), (2, "b"), (3, "B."), (4, "c"), (4, "C")], "id bigint, f string")
+    assert set(rows(format_dups.format_duplicates(format_dups.as_records(df, "id", ["f"]), ["f"]))) == {(1, 2), (2, 3)}
 
 
 # 2
@@ -131,6 +145,14 @@ def test_consistent_form_keeps_what_matters():
     assert lookalike.consistent(pa.array([None, "", "​ \t"])).to_pylist()[1:] == ["", ""]
 
 
+def test_table_of_confusables(tmp_path):
+    f = tmp_path / "confusables.txt"
+    f.write_text("\ufeff# comment\n0430 ;\t0061 ;\tMA\t# a\n0417 ;\t0033 ;\tMA\n03B1 ; 0061 ; MA\n0406 ; 006C ; MA\n13A0 ; 0044 ; MA\n0132 ; 0049 004A ; MA\n")
+    assert lookalike.read_confusables(str(f)) == {"\u0430": "a", "\u03b1": "a", "\u13a0": "D"}
+    maps = lookalike.mappings(str(f))
+    assert lookalike.consistent(pa.array(["\u03b1\u0417\u0406\u13a0"]), maps).to_pylist() == ["a\u0417ID"]
+
+
 def test_lookalike_sets(spark):
     df = spark.createDataFrame(
         [("t", 3, "café", "x"), ("t", 1, "café", "x"), ("t", 9, "café", "x"), ("t", 4, "cafe", "x"), ("t", 5, "same", "x"), ("t", 6, "same", "x"), ("u", 2, "café", "x"), ("t", 7, None, "x"), ("t", 8, "", "x"), ("t", None, "café", "x")],
@@ -148,15 +170,16 @@ def brute_near(items, t, least):
     out = set()
     for (g, a, x), (h, b, y) in itertools.combinations(items, 2):
         if g == h and x and y and a is not None and b is not None and a != b:
-            p, q = Counter(WORD.findall(x.lower())), Counter(WORD.findall(y.lower()))
+            p, q = (Counter(w.replace("İ", "i").lower() for w in WORD.findall(s)) for s in (x, y))
             low, high = sum((p & q).values()), sum((p | q).values())
             if min(sum(p.values()), sum(q.values())) >= least and high and low >= t * high - 1e-12:
                 out.add((g, min(a, b), max(a, b)))
     return out
 
 
-@pytest.mark.parametrize(("t", "least"), [(0.7, 5), (0.8, 1)])
-def test_near_duplicates_match_brute_force(spark, t, least):
+@pytest.mark.parametrize(("t", "least", "hot", "long"), [(0.7, 5, 10**9, 128), (0.8, 1, 10**9, 128), (0.7, 1, 2, 128), (0.4, 1, 0, 20), (0.8, 5, 8, 12)])
+def test_near_duplicates_match_brute_force(spark, monkeypatch, t, least, hot, long):
+    monkeypatch.setattr(near_dups, "_route", limited(hot, long))
     rnd = random.Random(3)
     vocabulary = [f"w{i}" for i in range(60)] + ["the"] * 20
     items = []
@@ -169,6 +192,7 @@ def test_near_duplicates_match_brute_force(spark, t, least):
             if rnd.random() < 0.3:
                 rnd.shuffle(s)
             items.append((rnd.choice(["a", "b"]), len(items), " ".join(s)))
+    items += [("a", 800, "İstanbul one two three four five"), ("a", 801, "istanbul one two three four five")]
     items += [("a", 900, None), ("a", 901, ""), ("b", 902, "the " * 3000), ("b", 903, "the " * 2800), ("a", 904, None)]
     df = spark.createDataFrame([(*i, 1) for i in items] + [("a", None, "w1 w2 w3 w4 w5 w6", 1)], "grp string, id bigint, text string, k int")
     links, members = near_dups.near_links(df, t, least)
@@ -176,6 +200,34 @@ def test_near_duplicates_match_brute_force(spark, t, least):
     assert len(got) == len(set(got)) and set(got) == brute_near(items, t, least)
 
 
+def limited(hot, long, real=near_dups._route):
+    """The routing with other limits, which workers set for themselves."""
+
+    def route(*args):
+        run = real(*args)
+
+        def limit(batches):
+            from actloom.llm import near_dups as own
+
+            own.HOT_ELEMENT, own.LONG_TEXT = hot, long
+            try:
+                yield from run(batches)
+            finally:
+                own.HOT_ELEMENT, own.LONG_TEXT = 20_000, 128
+
+        return limit
+
+    return route
+
+
+def test_chains_of_links_form_one_class(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 1001), (1001, 1002), (1000, 1002)] + [(2000, 2000 + i) for i in range(1, 50)]
+    df = spark.createDataFrame([(b"%05d" % a, b"%05d" % b) for a, b in edges], "a binary, b binary")
+    got = {bytes(r.k): bytes(r.root) for r in near_dups.components(df).collect()}
+    assert got == {b"%05d" % i: b"00000" for i in range(1, 201)} | {b"01001": b"01000", b"01002": b"01000"} | {b"%05d" % (2000 + i): b"02000" for i in range(1, 50)}
+    assert near_dups.components(df.where("false")).count() == 0
+
+
 def test_hot_element_is_cut_into_block_pairs(spark, monkeypatch):
     rnd = random.Random(4)
     sets = [[f"k{rnd.randrange(40)}" for _ in range(rnd.randint(8, 14))] for _ in range(300)]
@@ -219,9 +271,10 @@ def brute_spans(items, n):
     return {p for ids in by.values() for p in itertools.combinations(sorted(x for x in ids if x is not None), 2)}
 
 
-@pytest.mark.parametrize("hot", [10**9, 1])
+@pytest.mark.parametrize("hot", [10**9, 6, 1])
 def test_shared_spans_match_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(shared_spans, "HOT_ANCHOR", hot)
+    monkeypatch.setattr(shared_spans, "TASK_ANCHORS", 50)
     rnd = random.Random(5)
     pool = [" ".join(rnd.choices([f"w{i}" for i in range(30)], k=rnd.randint(4, 30))) for _ in range(12)]
     items = []
@@ -244,6 +297,10 @@ def test_shared_spans_match_brute_force(spark, monkeypatch, hot):
         if len(w) >= 10:
             on = {j for k in range(len(w) - 9) if len(holders[tuple(w[k : k + 10])]) > 1 for j in range(k, k + 10)}
             assert share[g, i] == len(on)
+    for r in shared_spans.passages(found, members, df, 10).collect():
+        w = next(t for g, i, t in kept if (g, i) == (r.grp, r.id)).split()
+        assert r.passage == " ".join(w[r.first_word : r.first_word + r.n_words]) and len(r.passage.split()) == r.n_words
+    assert {p for v in grouped(shared_spans.classes(found, members, 10).collect(), "class").values() for p in itertools.combinations(sorted({r.id for r in v}), 2)} == brute_spans(kept, 10)
     assert shared_spans.passages(found, members, df, 10).where("n_words < 10").count() == 0
 
 
@@ -320,8 +377,13 @@ def test_token_lengths(spark):
 
 
 def test_schedule_stays_within_a_block_of_the_shares():
+    assert mixing.weights({"a": 0.5, "b": 0.3, "c": 0.2}, 64) == {"a": (5, 64), "b": (3, 64), "c": (2, 64)}
+    odd = mixing.weights({"a": 0.99997, "b": 0.00002, "c": 1e-5, "d": 1 / 3}, 4096)
+    assert min(n for n, _ in odd.values()) > 0 and max(t for _, t in odd.values()) <= 4096
+    size = sum(n * t for n, t in odd.values())
+    assert all(abs(odd[s][0] * odd[s][1] / size - w / (4 / 3)) < 0.002 * w for s, w in {"a": 0.99997, "b": 0.00002, "d": 1 / 3}.items())
     for shares in ({"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 0.97, "b": 0.03}, {s: 1 / 3 for s in "abc"}, {"a": 0.15, "b": 0.15, "c": 0.2, "d": 0.15, "e": 0.15, "f": 0.12, "g": 0.05, "h": 0.03}):
-        slots = mixing.whole_weights(shares)
+        slots = {s: n for s, (n, _) in mixing.weights(shares).items()}
         order = mixing.earliest_deadline_first(slots)
         assert Counter(order) == slots
         done = Counter()
@@ -330,6 +392,42 @@ def test_schedule_stays_within_a_block_of_the_shares():
             assert all(abs(done[x] - t * n / len(order)) < 1 for x, n in slots.items())
 
 
+def grouped(items, *names):
+    by = defaultdict(list)
+    for r in items:
+        by[tuple(getattr(r, n) for n in names)].append(r)
+    return by
+
+
+def stays_within_a_block(pieces, shares, block):
+    """The tokens handed out at every full slot differ by less than a block from the shares, up to the end, where streams run out."""
+    slots = grouped(pieces, "slot")
+    last = min(max(u.slot for u in v) for v in grouped(pieces, "source").values())
+    done = Counter()
+    for at in sorted(slots):
+        if at[0] >= last:
+            break
+        for u in slots[at]:
+            done[u.source] += u.n_tokens
+        total = sum(done.values())
+        assert all(abs(done[s] - w * total) < block for s, w in shares.items()), at
+
+
+def test_documents_longer_than_a_block_and_very_small_shares(spark):
+    rnd = random.Random(12)
+    docs = [(i, "big", rnd.choice([5, 60, 900])) for i in range(3000)] + [(5000 + i, "tiny", 7) for i in range(40)]
+    targets = [("m", "big", 0.99997, 1), ("m", "tiny", 0.00003, 1), ("m", "big", 0.99997, 1)]
+    make = lambda t: mixing.mix(spark.createDataFrame(docs, "id bigint, source string, n_tokens bigint"), spark.createDataFrame(t, "mix_name string, source string, target_share double, max_repeats int"), block=64)
+    chosen, slots = make(targets)
+    got = {r.source: r for r in mixing.shares(chosen).collect()}
+    assert abs(got["tiny"].actual_share - 0.00003) < 0.00001 and got["big"].actual_share > 0.9999
+    assert mixing.schedule(chosen, slots).where("source = 'tiny'").count() >= got["tiny"].documents
+    chosen, slots = make([("m", "big", 0.9, 1), ("m", "tiny", 0.1, 500)])
+    pieces = mixing.schedule(chosen, slots).collect()
+    assert max(u.n_tokens for u in pieces) <= 64
+    stays_within_a_block(pieces, {"big": 0.9, "tiny": 0.1}, 64)
+
+
 def test_mix_reaches_shares_within_caps(spark):
     rnd = random.Random(8)
     docs = [(i, rnd.choice("aaaaaabbc"), rnd.randint(1, 50)) for i in range(4000)] + [(9000, None, 5), (9001, "z", 5), (9002, "a", 0)]
@@ -345,8 +443,12 @@ def test_mix_reaches_shares_within_caps(spark):
         total[s] += n
     best = min(total["a"] / 0.4, 3 * total["b"] / 0.4, 2 * total["c"] / 0.2)
     assert 0.98 * best <= got["m", "a"].total_tokens <= best
-    uses = mixing.schedule(chosen, slots, block=64).collect()
-    assert Counter((u.mix_name, u.source, u.doc_id) for u in uses) == {(r.mix_name, r.source, r.id): r.repeats for r in chosen.collect()}
+    pieces = mixing.schedule(chosen, slots).collect()
+    assert {k: len({u.use for u in v}) for k, v in grouped(pieces, "mix_name", "source", "doc_id").items()} == {(r.mix_name, r.source, r.id): r.repeats for r in chosen.collect()}
+    assert all(sum(u.n_tokens for u in v) == dict((i, n) for i, _, n in docs)[k[1]] for k, v in grouped(pieces, "mix_name", "doc_id", "use").items())
+    stays_within_a_block([u for u in pieces if u.mix_name == "m"], {"a": 0.4, "b": 0.4, "c": 0.2}, 64)
+    firsts = {(u.mix_name, u.doc_id): u.slot for u in pieces if u.use == 0 and u.start == 0}
+    assert {(r.mix_name, r.id): r.first_slot for r in chosen.collect()} == firsts
     empty, _ = mixing.mix(spark.createDataFrame([], "id bigint, source string, n_tokens bigint"), spark.createDataFrame(targets, "mix_name string, source string, target_share double, max_repeats int"))
     assert empty.count() == 0
 
@@ -383,13 +485,13 @@ def test_levels_predict_held_out_grades(spark):
     assert none.where("level is not null").count() == 0
 
 
-def test_expert_rule_alone_decides(spark, tmp_path):
+def test_expert_levels_are_checked_by_the_exact_rule(spark, tmp_path):
     from actloom.llm import queries
 
     easy, hard = ([f"{p}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)] for p in ("simple", "incomprehensib"))
     rnd = random.Random(4)
     docs = [(i, " ".join(rnd.choices(hard, k=40) if i % 2 else [*rnd.choices(easy, k=10), "."] * 4), "en", "s") for i in range(300)]
-    docs += [(1000, " ".join(rnd.choices(easy, k=40)) + ".", "en", "s"), (1001, " ".join(rnd.choices(easy, k=40)), "fr", "s"), (1002, None, "en", "s")]
+    docs += [(1000, "unheardofly".join("  ") + " otherwise" * 40, "en", "s"), (1003, " ".join(rnd.choices(easy, k=40)) + ".", "en", "s"), (1001, " ".join(rnd.choices(easy, k=40)), "fr", "s"), (1002, None, "en", "s")]
     spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i, "r", 5 if i % 2 else 1) for i in range(300)], "doc_id bigint, annotator string, grade int").write.parquet(f"{tmp_path}/reading_labels.parquet")
     assert {r[0] for r in rows(queries.p8_found(spark, str(tmp_path)))} == {*range(1, 300, 2), 1000}
