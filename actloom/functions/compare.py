@@ -12,7 +12,9 @@ from pyspark.sql import types as Y
 from actloom.functions import tokens as T
 from actloom.functions.text import normalized
 
+#: longest texts and token lists whose distance is computed and not estimated, and what reports call the two ways (fixed values)
 CHARS_EXACT, TOKENS_EXACT = 12_000, 3_000
+EXACT, ESTIMATE = "exact_dynamic_programming", "estimated_from_sequence_matcher"
 # types are built, not parsed: workers import this module without a session
 DIFF = Y.StructType([Y.StructField(c, Y.IntegerType()) for c in ("inserted_words", "deleted_words", "replaced_from_words", "replaced_to_words")])
 CODED = Y.StructType([Y.StructField(c, Y.StringType()) for c in ("x", "y")])
@@ -59,7 +61,7 @@ def word_diff(a: pd.Series, b: pd.Series) -> pd.DataFrame:
 def _distance(distance: Column, longest: Column, estimate: Column, exact: Column) -> Column:
     d = F.when(exact, distance).otherwise(F.round((1 - estimate) * longest).cast("int"))
     similar = F.when(longest == 0, 1.0).otherwise(F.when(exact, 1 - d / longest).otherwise(estimate))
-    return F.struct(d.alias("distance"), similar.alias("normalized_similarity"), F.when(exact, "exact").otherwise("estimate").alias("method"), (~exact).alias("is_estimate"))
+    return F.struct(d.alias("distance"), similar.alias("normalized_similarity"), F.when(exact, EXACT).otherwise(ESTIMATE).alias("method"), (~exact).alias("is_estimate"))
 
 
 def char_distance(a: Column, b: Column, most: int = CHARS_EXACT) -> Column:

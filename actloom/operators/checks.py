@@ -19,6 +19,16 @@ def _key(*cols: str) -> list[Column]:
     return [X.clean(F.col(c)).alias(c) for c in cols]
 
 
+#: cases a report shows of each finding (fixed values)
+SHOWN, SHOWN_ORDER = 25, 20
+
+
+def examples(cases: DataFrame, n: int = SHOWN, by: str = "item_idx") -> DataFrame:
+    """(doc_id, examples): the first n cases of a document; ranked first, so that no list grows with the cases."""
+    first = cases.withColumn("r", F.row_number().over(Window.partitionBy("doc_id").orderBy(by))).where(F.col("r") <= n)
+    return first.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", F.col(by).alias("x")))), lambda e: e["x"]).alias("examples"))
+
+
 def output_tokens(paragraphs: DataFrame) -> DataFrame:
     """(doc_id, tokens) of the visible text, struck text included, in order.  One document's text is one row."""
     lines = paragraphs.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("ord", X.normalized(F.col("text")).alias("t")))).alias("l"))
@@ -29,27 +39,31 @@ KEY = 6  # tokens by which a probe finds its places; shorter probes use all they
 
 
 def places(paragraphs: DataFrame, longest: int = 24) -> DataFrame:
-    """(doc_id, k, key, window): for every token of a document (doc_id, ord, text) the next 1..KEY tokens as key and ``longest`` as window.
+    """(doc_id, window): for every token of a document (doc_id, ord, text) the ``longest`` tokens from it on.
 
     A line sees the first tokens of the lines after it, so a document is never one row.
     """
     lines = paragraphs.select("doc_id", "ord", T.words(X.normalized(F.col("text"))).alias("own")).where(F.size("own") > 0)
     after = Window.partitionBy("doc_id").orderBy("ord").rowsBetween(1, longest)
     lines = lines.withColumn("line", F.concat("own", F.slice(F.flatten(F.collect_list(F.slice("own", 1, longest)).over(after)), 1, longest)))
-    window = lines.select("doc_id", "line", F.explode(F.sequence(F.lit(1), F.size("own"))).alias("i")).select("doc_id", F.slice("line", F.col("i"), longest).alias("window"))
-    each = window.select("doc_id", "window", F.explode(F.sequence(F.lit(1), F.least(F.lit(KEY), F.size("window")))).alias("k"))
-    return each.select("doc_id", "k", F.array_join(F.slice("window", 1, F.col("k")), " ").alias("key"), "window")
+    return lines.select("doc_id", "line", F.explode(F.sequence(F.lit(1), F.size("own"))).alias("i")).select("doc_id", F.slice("line", F.col("i"), longest).alias("window"))
 
 
 def probe_matches(probes: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """(doc_id, item_idx, matched): how many leading tokens of each probe stand together in its document's output, at most.
 
     ``probes``: doc_id, item_idx, probe.  An equi join on document and leading tokens, so neither a hot document nor a
-    long output meets all of its items.
+    long output meets all of its items.  Most probes have ``KEY`` tokens or more and one key of the output; the few shorter
+    ones meet the keys of their own length, of which the output gives only those that such probes have.
     """
-    p = probes.where(F.size("probe") > 0).withColumn("k", F.least(F.lit(KEY), F.size("probe"))).withColumn("key", F.array_join(F.slice("probe", 1, F.col("k")), " "))
+    p = probes.where(F.size("probe") > 0).withColumn("k", F.least(F.lit(KEY), F.size("probe"))).withColumn("key", F.array_join(F.slice("probe", 1, F.col("k")), " ")).select("doc_id", "item_idx", "probe", "k", "key")
+    at = places(paragraphs)
+    full = at.where(F.size("window") >= KEY).select("doc_id", F.lit(KEY).alias("k"), F.array_join(F.slice("window", 1, KEY), " ").alias("key"), "window")
+    lengths = p.where(F.col("k") < KEY).select("doc_id", "k").distinct()
+    short = at.join(lengths, "doc_id").where(F.size("window") >= F.col("k")).select("doc_id", "k", F.array_join(F.slice("window", 1, F.col("k")), " ").alias("key"), F.slice("window", 1, F.col("k")).alias("window"))
+    short = short.join(p.where(F.col("k") < KEY).select("doc_id", "k", "key").distinct(), ["doc_id", "k", "key"], "left_semi").distinct()
     same = F.aggregate(F.zip_with("probe", "window", lambda a, b: F.coalesce(a == b, F.lit(False))), F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, e: F.struct((s["n"] + (s["on"] & e).cast("int")).alias("n"), (s["on"] & e).alias("on")), lambda s: s["n"])
-    hit = p.join(places(paragraphs), ["doc_id", "k", "key"]).select("doc_id", "item_idx", same.alias("n"))
+    hit = p.join(full.unionByName(short), ["doc_id", "k", "key"]).select("doc_id", "item_idx", same.alias("n"))
     return hit.groupBy("doc_id", "item_idx").agg(F.max("n").alias("matched"))
 
 
@@ -83,6 +97,13 @@ def application(items: DataFrame, paragraphs: DataFrame) -> DataFrame:
     return got.join(bad, "doc_id", "left").fillna(0, ["replacement_instruction_items_not_properly_applied"])
 
 
+def application_examples(items: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """(doc_id, examples): the first items that are told as inserted and whose text the output lacks."""
+    rows = items.where(X.clean(F.col("applied_mode")) == "inserted").withColumn("probe", T.probe(F.col("amending_text"), 24)).where(F.size("probe") > 0)
+    rows = rows.join(probe_matches(rows, paragraphs), ["doc_id", "item_idx"], "left")
+    return examples(rows.where(~_found(F.col("matched"), F.size("probe"), (18, 12, 8))))
+
+
 def one_go(items: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """One row a document: whether every group of substantive items was applied or stands in the output.
 
@@ -96,8 +117,10 @@ def one_go(items: DataFrame, paragraphs: DataFrame) -> DataFrame:
     # eight in order follow from twelve in order
     loose = left.where(T.contains_in_order(F.col("tokens"), F.slice("probe", 1, 8))).select("doc_id", "item_idx", F.lit(True).alias("loose")).distinct()
     rows = rows.join(loose, ["doc_id", "item_idx"], "left").withColumn("ok", F.col("ok") | F.coalesce("loose", F.lit(False)))
-    groups = rows.groupBy("doc_id", *_key("article_number", *TARGETS, "source_instruction")).agg(F.bool_or("ok").alias("ok"), F.count(F.lit(1)).alias("n"))
-    return groups.groupBy("doc_id").agg(F.bool_and("ok").alias("passed"), F.sum("n").alias("substantive_items_total"), F.sum(F.when(F.col("ok"), 0).otherwise(F.col("n"))).alias("substantive_items_not_fully_applied"))
+    group = Window.partitionBy("doc_id", *_key("article_number", *TARGETS, "source_instruction"))
+    rows = rows.withColumn("ok", F.max("ok").over(group)).select("doc_id", "item_idx", "ok")
+    got = rows.groupBy("doc_id").agg(F.bool_and("ok").alias("passed"), F.count(F.lit(1)).alias("substantive_items_total"), F.sum((~F.col("ok")).cast("bigint")).alias("substantive_items_not_fully_applied"))
+    return got.join(examples(rows.where("not ok")), "doc_id", "left").withColumn("examples", F.coalesce("examples", F.array().cast("array<bigint>")))
 
 
 def operation_proofs(items: DataFrame) -> DataFrame:
@@ -124,8 +147,11 @@ def order(paragraphs: DataFrame) -> DataFrame:
     """One row a document: sections with markers, markers, inversions."""
     inside = ranges.sectioned(paragraphs).where("article is not null and ord > start").where(C.spaced_paragraph_marker(F.col("text")).isNotNull())
     seen = inside.groupBy("doc_id").agg(F.countDistinct("start").alias("article_sections_checked"), F.count(F.lit(1)).alias("paragraph_markers_checked"))
-    bad = ranges.marker_inversions(paragraphs).groupBy("doc_id").agg(F.count(F.lit(1)).alias("marker_order_inversions"))
-    return seen.join(bad, "doc_id", "left").fillna(0, ["marker_order_inversions"])
+    wrong = ranges.marker_inversions(paragraphs)
+    bad = wrong.groupBy("doc_id").agg(F.count(F.lit(1)).alias("marker_order_inversions"))
+    shown = examples(wrong.withColumn("ord", F.col("ord").cast("bigint")), SHOWN_ORDER, "ord")
+    got = seen.join(bad, "doc_id", "left").fillna(0, ["marker_order_inversions"]).join(shown, "doc_id", "left")
+    return got.withColumn("examples", F.coalesce("examples", F.array().cast("array<bigint>")))
 
 
 def placement(items: DataFrame, paragraphs: DataFrame) -> DataFrame:

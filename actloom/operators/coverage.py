@@ -16,12 +16,17 @@ def token_counts(texts: DataFrame, key: str, tokens: Column, kept: bool = False)
     return each.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
 
 
-def compare(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """One row (key, token, s, d, first_s, first_d) for every token of either side, from :func:`token_counts` of both."""
-    a = source.select(key, "token", F.col("n").alias("s"), F.col("first").alias("first_s"))
-    b = target.select(key, "token", F.col("n").alias("d"), F.col("first").alias("first_d"))
-    both = a.join(b, [key, "token"], "full_outer")
-    return both.withColumn("s", F.coalesce("s", F.lit(0))).withColumn("d", F.coalesce("d", F.lit(0)))
+def compare(source: DataFrame, target: DataFrame, key: str, tokens: Column, kept: bool = False) -> DataFrame:
+    """One row (key, token, s, d, first_s, first_d) for every token of either side; ``source`` and ``target`` hold the key and what ``tokens`` is made of.
+
+    Both sides go into one aggregate with a sign of their own: one shuffle, combined map-side.
+    """
+    side = lambda df, is_source: df.select(key, F.lit(is_source).alias("is_source"), F.posexplode(tokens).alias("pos", "token"))
+    each = side(source, True).unionByName(side(target, False))
+    if kept:
+        each = each.where(~T.is_noise(F.col("token")))
+    of = lambda f, on, value: f(F.when(F.col("is_source") == on, value))
+    return each.groupBy(key, "token").agg(of(F.count, True, F.lit(1)).alias("s"), of(F.count, False, F.lit(1)).alias("d"), of(F.min, True, F.col("pos")).alias("first_s"), of(F.min, False, F.col("pos")).alias("first_d"))
 
 
 def summary(pairs: DataFrame, key: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from actloom.functions import classify as C
 from actloom.functions import text as X
 from actloom.operators.amendments import item_text
+from actloom.operators.revise import RUNS
 from actloom.operators.structure import has
 
 T = "text_fn"
@@ -182,30 +183,58 @@ def inserted_article_markers(elements: DataFrame, instructions: DataFrame) -> Da
     return got.select("doc_id", "pos", F.coalesce("d.m", "m").alias("marker")).where("marker is not null")
 
 
-def with_title_and_recitals(paragraphs: DataFrame, title: DataFrame, recital_lines: DataFrame) -> DataFrame:
+def _inserted(text: Column, color: str | None) -> Column:
+    """One run of inserted text, null where the lines carry no runs."""
+    if color is None:
+        return F.lit(None).cast(RUNS)
+    return F.array(F.struct(text.alias("text"), F.lit("insert").alias("kind"), F.lit(False).alias("strike"), F.lit(True).alias("double_underline"), F.lit(color).alias("color")))
+
+
+def _placed(rows: DataFrame, runs: bool) -> DataFrame:
+    got = rows.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("at", "k", "text")) - 1).alias("ord"), "text", "added", "runs")
+    return got if runs else got.drop("runs")
+
+
+def with_title_and_recitals(paragraphs: DataFrame, title: DataFrame, recital_lines: DataFrame, color: str | None = None) -> DataFrame:
     """(doc_id, ord, text, added): an act's paragraphs with the amending title behind its own title block and the amending recitals behind its last recital.
 
     ``title``: doc_id, text; ``recital_lines``: doc_id, pos, text.  Texts that are there already are not added again, so a
-    second run changes nothing.
+    second run changes nothing.  With a ``color`` the paragraphs' runs are kept and the new lines are inserted runs.
     """
-    own = paragraphs.select("doc_id", F.col("ord").cast("double").alias("at"), F.lit(0).alias("k"), "text", F.lit(False).alias("added"))
+    held = F.col("runs") if "runs" in paragraphs.columns else F.lit(None).cast(RUNS)
+    own = paragraphs.select("doc_id", F.col("ord").cast("double").alias("at"), F.lit(0).cast("bigint").alias("k"), "text", F.lit(False).alias("added"), held.alias("runs"))
     there = paragraphs.select("doc_id", X.clean(F.col("text")).alias("c")).distinct()
     rec = F.col("text").rlike(r"^\s*\(\d+\)")
-    ends = paragraphs.groupBy("doc_id").agg(F.coalesce(F.max(F.when(rec, F.col("ord"))), F.min("ord")).alias("last_recital"), F.coalesce(F.min(F.when(rec, F.col("ord"))) - 1, F.min("ord")).alias("title_end"))
+    first_article = F.min(F.when(C.article_number(F.col("text")).isNotNull(), F.col("ord"))).over(Window.partitionBy("doc_id"))
+    before = paragraphs.withColumn("stop", first_article).where("stop is null or ord < stop")
+    size = paragraphs.groupBy("doc_id").agg(F.min("ord").alias("lo"))
+    marks = before.groupBy("doc_id").agg(F.max(F.when(rec, F.col("ord"))).alias("hi"), F.min(F.when(rec, F.col("ord"))).alias("first"))
+    ends = size.join(marks, "doc_id", "left").select("doc_id", F.coalesce("hi", "lo").alias("last_recital"), F.coalesce(F.col("first") - 1, F.col("lo")).alias("title_end"))
     new = lambda df: df.withColumn("c", X.clean(F.col("text"))).where("c <> ''").join(there, ["doc_id", "c"], "left_anti").join(ends, "doc_id")
     head = new(title).select("doc_id", F.explode(F.array(F.lit("as amended by"), F.array_join(X.title_lines(F.col("text")), "\n"))).alias("text"), "title_end")
-    head = head.select("doc_id", (F.col("title_end") + 0.25).alias("at"), F.when(F.col("text") == "as amended by", 0).otherwise(1).alias("k"), "text", F.lit(True).alias("added"))
-    tail = new(recital_lines).select("doc_id", (F.col("last_recital") + 0.5).alias("at"), F.col("pos").alias("k"), F.regexp_replace(F.col("c"), r"^(\(\d+\))\s*", "$1\t").alias("text"), F.lit(True).alias("added"))
-    both = own.unionByName(head).unionByName(tail)
-    return both.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("at", "k", "text")) - 1).alias("ord"), "text", "added")
+    head = head.select("doc_id", (F.col("title_end") + 0.25).alias("at"), F.when(F.col("text") == "as amended by", 0).otherwise(1).cast("bigint").alias("k"), "text", F.lit(True).alias("added"), _inserted(F.col("text"), color).alias("runs"))
+    lines = recital_lines.withColumn("tabbed", F.regexp_replace(X.clean(F.col("text")), r"^(\(\d+\))\s*", "$1\t"))
+    # a recital of an earlier run stands with its tab, which counts as the space it was
+    tail = new(lines).select("doc_id", (F.col("last_recital") + 0.5).alias("at"), F.col("pos").cast("bigint").alias("k"), F.col("tabbed").alias("text"), F.lit(True).alias("added"), _inserted(F.col("tabbed"), color).alias("runs"))
+    return _placed(own.unionByName(head).unionByName(tail), color is not None)
 
 
-def with_closing(paragraphs: DataFrame, closing: DataFrame) -> DataFrame:
-    """(doc_id, ord, text, added): an act's paragraphs with closing lines (doc_id, pos, text) at its end, those already there left out."""
+def closing_lines(block: DataFrame, signed: DataFrame) -> DataFrame:
+    """(doc_id, pos, text): what an amending act adds at the end, from :func:`entry_into_force` and :func:`signatories`."""
+    heading = F.concat_ws("\n", F.nullif(X.clean(F.col("article_heading_line")), F.lit("")), F.nullif(X.clean(F.col("article_subheading_line")), F.lit("")))
+    lines = block.select("doc_id", F.posexplode(F.concat(F.array(heading), F.transform("article_body", X.marker_tab), "final_lines")).alias("pos", "text"))
+    last = signed.select("doc_id", (F.lit(10**6) + F.row_number().over(Window.partitionBy("doc_id").orderBy("block", "pos"))).alias("pos"), "text")
+    return lines.where("text <> ''").unionByName(last)
+
+
+def with_closing(paragraphs: DataFrame, closing: DataFrame, color: str | None = None) -> DataFrame:
+    """(doc_id, ord, text, added): an act's paragraphs with closing lines (doc_id, pos, text) before its first annex, else at its
+    end; those already there are left out.  Runs as in :func:`with_title_and_recitals`."""
+    held = F.col("runs") if "runs" in paragraphs.columns else F.lit(None).cast(RUNS)
     there = paragraphs.select("doc_id", X.clean(F.col("text")).alias("c")).distinct()
-    last = paragraphs.groupBy("doc_id").agg(F.max("ord").alias("last"))
+    annex = F.when(C.annex_label(F.col("text")).isNotNull(), F.col("ord"))
+    last = paragraphs.groupBy("doc_id").agg(F.coalesce(F.min(annex) - 0.5, F.max("ord") + 0.5).alias("last"))
     new = closing.withColumn("c", X.clean(F.col("text"))).where("c <> ''").join(there, ["doc_id", "c"], "left_anti").join(last, "doc_id")
-    own = paragraphs.select("doc_id", F.col("ord").cast("bigint").alias("at"), "text", F.lit(False).alias("added"))
-    both = own.unionByName(new.select("doc_id", (F.col("last") + 1 + F.col("pos")).cast("bigint").alias("at"), "text", F.lit(True).alias("added")))
-    return both.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("at", "text")) - 1).alias("ord"), "text", "added")
-
+    own = paragraphs.select("doc_id", F.col("ord").cast("double").alias("at"), F.lit(0).cast("bigint").alias("k"), "text", F.lit(False).alias("added"), held.alias("runs"))
+    more = new.select("doc_id", F.col("last").cast("double").alias("at"), F.col("pos").cast("bigint").alias("k"), "text", F.lit(True).alias("added"), _inserted(F.col("text"), color).alias("runs"))
+    return _placed(own.unionByName(more), color is not None)

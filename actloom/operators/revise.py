@@ -14,7 +14,7 @@ from actloom.functions import text as X
 
 RUN = "struct<text:string,kind:string,strike:boolean,double_underline:boolean,color:string>"
 RUNS = f"array<{RUN}>"
-#: below this word similarity a text is replaced whole; share of annex words below which lines are replaced whole
+#: below this word similarity a text is replaced whole; share of common keys below which annex lines are replaced whole (fixed values)
 DIVERGED, ANNEX_OVERLAP = 0.34, 0.4
 PIECE = re.compile(r"\[\[FN:\d+\]\]|\[\[SRC:[^\]]+\]\]|\([A-Za-z0-9]+\)|[A-Za-z0-9]+(?:['-][A-Za-z0-9]+)?|\s+|[^\w\s]|\w")
 WORD = re.compile(r"[A-Za-z0-9]+(?:['-][A-Za-z0-9]+)?")
@@ -115,32 +115,56 @@ def contextual_keys(lines: DataFrame) -> DataFrame:
     return rows.withColumn("value", value).drop("_v", "_r", "_n", "_isle")
 
 
-ALIGNED = "doc_id string, ord int, action string, old string, new string"
+ALIGNED = "doc_id string, ord int, action string, anchor bigint, old string, new string"
+#: lines ahead in which two versions of an annex may meet again (a fixed value)
+SYNC = 10
+
+
+def forward_sync(old: list, new: list, i: int, j: int, window: int = SYNC) -> tuple[int | None, int | None]:
+    """Where the key of new line j next stands among the old lines behind i, and that of old line i among the new ones behind j."""
+    ahead = lambda keys, key, at: next((n for n in range(at + 1, min(len(keys), at + window)) if keys[n] == key), None)
+    return ahead(old, new[j], i), ahead(new, old[i], j)
 
 
 def align(pdf_old: pd.DataFrame, pdf_new: pd.DataFrame) -> pd.DataFrame:
-    """Line actions of one annex (equal, revise, delete, insert) from lines with keys, in order of the result."""
+    """Line actions of one annex (equal, revise, delete, insert) from lines with keys, in order of the result; ``anchor`` is
+    the ord of the old line that is meant or, for an insertion, before which the new one goes (null: at the end)."""
     old, new = pdf_old.sort_values("ord"), pdf_new.sort_values("ord")
     doc = (old if len(old) else new)["doc_id"].iloc[0]
-    a, b = list(old["text"]), list(new["text"])
+    a, b, at = list(old["text"]), list(new["text"]), [int(o) for o in old["ord"]] + [None]
     x, y = (list(zip(d["kind"], d["value"], strict=True)) for d in (old, new))
     out: list[tuple] = []
+    gone = lambda s, e: [("delete", at[n], a[n], None) for n in range(s, e) if a[n].split()]
+    come = lambda s, e, n: [("insert", at[n], None, b[m]) for m in range(s, e)]
     for tag, i, j, k, m in SequenceMatcher(None, x, y).get_opcodes():
         if tag == "equal":
-            out += [("equal" if p == q else "revise", p, q) for p, q in zip(a[i:j], b[k:m], strict=True)]
-            continue
-        p, q = a[i:j], b[k:m]
-        if tag == "replace":
-            u, v = set(_words(" ".join(p))), set(_words(" ".join(q)))
-            if len(u & v) / max(1, len(u | v)) >= ANNEX_OVERLAP:
-                n = min(len(p), len(q))
-                out += [("revise", s, t) for s, t in zip(p[:n], q[:n], strict=True)]
-                p, q = p[n:], q[n:]
-        out += [("delete", s, None) for s in p] + [("insert", None, t) for t in q]
-    return pd.DataFrame([(doc, n, *r) for n, r in enumerate(out)], columns=["doc_id", "ord", "action", "old", "new"])
+            out += [("equal" if a[p].split() == b[q].split() else "revise", at[p], a[p], b[q]) for p, q in zip(range(i, j), range(k, m), strict=True)]
+        elif tag != "replace" or len(set(x[i:j]) & set(y[k:m])) < ANNEX_OVERLAP * min(j - i, m - k):
+            out += gone(i, j) + come(k, m, i)
+        else:
+            n = min(j - i, m - k)
+            for p, q in zip(range(i, i + n), range(k, k + n), strict=True):
+                out += [("revise", at[p], a[p], b[q])] if x[p] == y[q] else gone(p, p + 1) + come(q, q + 1, p)
+            out += gone(i + n, j) + come(k + n, m, j)
+    return pd.DataFrame([(doc, n, *r) for n, r in enumerate(out)], columns=["doc_id", "ord", "action", "anchor", "old", "new"]).astype({"anchor": "Int64"})
 
 
 def align_annexes(old: DataFrame, new: DataFrame) -> DataFrame:
     """Line actions of every annex: a grouped fold per annex over the keys of both sides."""
     left, right = (contextual_keys(d.select("doc_id", "ord", "text")) for d in (old, new))
     return left.groupBy("doc_id").cogroup(right.groupBy("doc_id")).applyInPandas(align, ALIGNED)
+
+
+def highlighted(color: str):  # noqa: ANN201
+    """Column function (base, amendment) -> runs (text, changed, color) of the amendment's words, changed ones marked."""
+
+    @F.pandas_udf("array<struct<text:string,changed:boolean,color:string>>")
+    def make(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for p, q in zip(a, b, strict=True):
+            x, y = _words(p or ""), _words(q or "")
+            parts = [(tag in ("insert", "replace"), " ".join(y[k:m])) for tag, _, _, k, m in SequenceMatcher(None, x, y).get_opcodes() if m > k]
+            out.append([{"text": t, "changed": c, "color": color if c else None} for c, t in parts])
+        return pd.Series(out)
+
+    return make

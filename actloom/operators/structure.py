@@ -14,6 +14,12 @@ def order():  # noqa: ANN201
     return Window.partitionBy("doc_id").orderBy("pos")
 
 
+#: title of a page without one (a fixed value)
+UNTITLED = "Untitled EUR-Lex document"
+#: classes whose text is metadata, and what is always told of a page (fixed values)
+METADATA = {"oj-hd-oj": "official_journal", "oj-hd-date": "oj_date", "oj-hd-lg": "language"}
+
+
 def source_id() -> Column:
     return F.coalesce(*[F.nullif(F.try_element_at(F.col("attrs"), F.lit(a)), F.lit("")) for a in ("id", "name", "eid", "xml:id")])
 
@@ -48,7 +54,6 @@ def footnotes(elements: DataFrame, root: DataFrame) -> DataFrame:
     top = notes.withColumn("outer", outer).where("outer is null or outer < pos")
     tags = elements.where(has("oj-note-tag")).select("doc_id", F.col("pos").alias("tp"), F.col("text").alias("tt"), F.col("end_pos").alias("te"))
     tagged = top.join(tags, "doc_id", "left").groupBy("doc_id", "pos", "idx").agg(F.first("text").alias("text"), F.first(source_id()).alias("sid"), F.min_by("tt", F.when((F.col("tp") > F.col("pos")) & (F.col("tp") <= F.col("end_pos")), F.col("tp"))).alias("tag"))
-    marker = F.coalesce(X.clean_markup(F.col("tag")), F.col("idx").cast("string"))
     marker = F.when(F.col("tag").isNotNull(), X.clean_markup(F.col("tag"))).otherwise(F.col("idx").cast("string"))
     body = F.when(F.col("tag").isNotNull() & F.startswith("text", F.col("tag")), F.expr("substring(text, length(tag) + 1)")).otherwise(F.col("text"))
     rows = tagged.select("doc_id", "pos", marker.alias("marker"), X.clean_markup(body).alias("text"), "sid", "idx").withColumn("note_id", F.coalesce("sid", F.concat(F.lit("note_"), F.when(F.col("marker") != "", F.col("marker")).otherwise(F.col("idx").cast("string")))))
@@ -160,14 +165,30 @@ def titles(elements: DataFrame, root: DataFrame) -> DataFrame:
     rank = F.coalesce(*[F.when(has(c), i) for i, c in enumerate(kinds)], F.when(F.col("tag") == "title", 4))
     rows = elements.join(root, "doc_id").withColumns({"rank": rank, "t": X.clean_markup(F.col("text")), "out": ~((F.col("pos") > F.col("root_pos")) & (F.col("pos") <= F.col("root_end")))})
     best = rows.where("rank is not null and t <> ''").groupBy("doc_id").agg(F.min_by("t", F.struct("rank", F.when(F.col("rank") < 4, F.col("out")).otherwise(False), "pos")).alias("title"))
-    return root.select("doc_id").join(best, "doc_id", "left").select("doc_id", F.coalesce("title", F.lit("Untitled EUR-Lex document")).alias("title"))
+    return root.select("doc_id").join(best, "doc_id", "left").select("doc_id", F.coalesce("title", F.lit(UNTITLED)).alias("title"))
+
+
+def metadata(elements: DataFrame, root: DataFrame) -> DataFrame:
+    """(doc_id, metadata): a map of the page's journal, date and language lines (below the root before elsewhere), its path and the size of its legal stream."""
+    rows = elements.join(root, "doc_id").withColumn("out", ~((F.col("pos") > F.col("root_pos")) & (F.col("pos") <= F.col("root_end"))))
+    each = rows.withColumn("key", F.explode(F.array_compact(F.array(*[F.when(has(c), F.lit(k)) for c, k in METADATA.items()]))))
+    first = each.groupBy("doc_id", "key").agg(F.min_by(X.clean_markup(F.col("text")), F.struct("out", "pos")).alias("value"))
+    held = first.groupBy("doc_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value")))).alias("m"))
+    size = legal_stream(elements, root).groupBy("doc_id").agg(F.count(F.lit(1)).cast("string").alias("n"))
+    got = root.select("doc_id").join(held, "doc_id", "left").join(size, "doc_id", "left")
+    own = F.create_map(F.lit("source_path"), F.col("doc_id"), F.lit("format"), F.lit("html"), F.lit("stream_size"), F.coalesce("n", F.lit("0")))
+    return got.select("doc_id", F.map_concat(own, F.coalesce("m", F.create_map().cast("map<string,string>"))).alias("metadata"))
 
 
 def summary(root: DataFrame, **parts: DataFrame) -> DataFrame:
-    """(doc_id, one count a part, warnings): parts are tables with doc_id."""
+    """(doc_id, one count and one list of ids a part, warnings): parts are tables with doc_id; a part with provision_id or note_id lists them."""
     got = root.select("doc_id")
     for name, df in parts.items():
-        got = got.join(df.groupBy("doc_id").agg(F.count(F.lit(1)).alias(name)), "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+        key = next((c for c in ("provision_id", "note_id") if c in df.columns), None)
+        ids = [F.sort_array(F.collect_list(key)).alias(f"{name}_ids")] if key and name != "blocks" else []
+        got = got.join(df.groupBy("doc_id").agg(F.count(F.lit(1)).alias(name), *ids), "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+        for i in ids[:1]:
+            got = got.withColumn(f"{name}_ids", F.coalesce(f"{name}_ids", F.array().cast("array<string>")))
     # the parser's warnings (fixed values)
     said = {"recitals": "No recitals detected.", "sections": "No sections detected.", "articles": "No articles detected.", "annexes": "No annexes detected.", "footnotes": "No footnotes detected."}
     return got.withColumn("warnings", F.array_compact(F.array(*[F.when(F.col(n) == 0, F.lit(w)) for n, w in said.items() if n in parts])))

@@ -9,9 +9,9 @@ from actloom.functions import classify as C
 from actloom.functions import targets as G
 from actloom.functions import text as X
 from actloom.functions import tokens as T
-from actloom.plans.registry import WS, query, sclean, sfirst, swords, table
+from actloom.plans.registry import WS, query, sanchorless, sclean, sdistinct, sfirst, stab, steps, sunquoted, swords, table
 
-Q = "[‘''\"]"
+Q = "[‘''" + '"]'
 CLEAN = sclean("text")
 
 
@@ -40,7 +40,13 @@ def norm_slug(spark: SparkSession, d: str) -> DataFrame:
     return _blocks(spark, d).select("block_id", X.slug(F.col("text")).alias("slug"))
 
 
-@query()
+_HARD = r"regexp_replace({}, '(\d) (\d{{3}})\b', '\1' || chr(160) || '\2', 'g')"
+_HARD = _HARD.format(_HARD.format("coalesce(text, '')"))  # neighbouring groups share a digit, so twice
+for _p, _b in ((rf"\bEUR{WS}+(\p{{Nd}})", r"'EUR' || chr(160) || '\1'"), (rf"€{WS}+(\p{{Nd}})", r"'€' || chr(160) || '\1'"), (rf"(\p{{Nd}}){WS}+%", r"'\1' || chr(160) || '%'")):
+    _HARD = f"regexp_replace({_HARD}, '{_p}', {_b}, 'g')"
+
+
+@query(f"SELECT block_id, {_HARD} AS text FROM text_blocks")
 def norm_hard_spaces(spark: SparkSession, d: str) -> DataFrame:
     return _blocks(spark, d).select("block_id", X.hard_spaces(F.col("text")).alias("text"))
 
@@ -53,10 +59,7 @@ def norm_anchors_and_romans(spark: SparkSession, d: str) -> DataFrame:
     return _blocks(spark, d).select("block_id", X.without_anchors(F.col("text")).alias("text"), X.without_roman(F.col("text")).alias("inner_text"))
 
 
-_STRIPPED = f"regexp_replace(replace(coalesce(text, ''), chr(160), ' '), '^{WS}+|{WS}+$', '', 'g')"
-_TAB = _STRIPPED
-for _m in (r"\(\d+\)", r"\d+[A-Za-z]?\.", r"(?i:\([a-z]+\))"):
-    _TAB = rf"regexp_replace({_TAB}, '^([‘''" + '"' + rf"“”]?{_m}){WS}+', E'\\1\t')"
+_TAB = stab("text")
 
 
 @query(f"SELECT block_id, {_TAB} AS tabbed FROM text_blocks")
@@ -64,22 +67,50 @@ def norm_marker_tabs(spark: SparkSession, d: str) -> DataFrame:
     return _blocks(spark, d).select("block_id", X.marker_tab(F.col("text")).alias("tabbed"))
 
 
-@query()
+def _spaced(c: str, *markers: str) -> str:
+    for m in markers:
+        c = f"regexp_replace({c}, '^({m}){WS}+', '\\1' || chr(9))"
+    return c
+
+
+_SPACING = (r"\d+\.", r"\([a-z]\)", r"(?i:\([ivxlcdm]+\))")
+_ANNEX_MARKS = (r"(?i:[a-z]\.|[ivxlcdm]+\.)", *_SPACING, r"(?i:\([a-z]+\))", r"(?i:[ivxlcdm]+\.)", r"[A-Z]\.", r"\d+[A-Za-z]?\)", r"\d+[A-Za-z]?\.")
+
+
+@query(f"""SELECT block_id, array_to_string(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: CASE WHEN {sclean('x')} = '' THEN '' ELSE {stab('x')} END), chr(10)) AS lines,
+  {_spaced("coalesce(text, '')", *_SPACING)} AS spaced, {_spaced(CLEAN, *_ANNEX_MARKS)} AS annex_line, CASE WHEN length(m) > 60 THEN substring(m, 1, 59) || '…' ELSE m END AS short FROM (SELECT *, {_MARKUP} m FROM text_blocks)""")
 def norm_marker_lines(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
     return _blocks(spark, d).select("block_id", X.marker_tab_lines(t).alias("lines"), X.marker_spacing(t).alias("spaced"), X.annex_line(t).alias("annex_line"), X.truncated(t, 60).alias("short"))
 
 
-@query(
-    rf"""SELECT analysis_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(amending_text, ''), '^{WS}+|{WS}+$', '', 'g'), '^{Q}+', ''),
-    '[’"'']{WS}*;?$', ''), '[’"'']\.$', '.'), '[’"'']+{WS}*;{WS}*$', ''), '^{WS}+|{WS}+$', '', 'g') AS unquoted FROM amendment_analysis WHERE coalesce(amending_text, '') NOT LIKE '%..'"""
-)
+@query(f"SELECT analysis_id, {sunquoted('amending_text')} AS unquoted FROM amendment_analysis")
 def norm_unquoted(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "amendment_analysis").where("coalesce(amending_text, '') not like '%..'")
-    return rows.select("analysis_id", X.unquoted(F.col("amending_text")).alias("unquoted"))
+    return table(spark, d, "amendment_analysis").select("analysis_id", X.unquoted(F.col("amending_text")).alias("unquoted"))
 
 
-@query()
+_INSTRUCTS = C.INSTRUCTION.replace("'", "''")
+
+
+def spayload(source: str, c: str) -> str:
+    """``source`` with the payload form of a text as column ``payload``."""
+    scaffold = r"(?i)^\([ivxlcdm]+\) +(\([a-z]+\)|in\s+the\b|the\s+following\b|paragraph\b|point\b|Article\b)"
+    return steps(
+        source, ("p1", f"regexp_replace({sanchorless(c)}, '^{Q}(\\d+[A-Za-z]?\\.|\\([a-z]+\\))', '\\1')"), ("p2", sunquoted("p1")), ("p3", f"regexp_replace(p2, '{scaffold}', '\\1')"),
+        ("p4", f"regexp_replace({sclean('p3')}, '(?i)^\\([ivxlcdm]+\\) ', '')"),
+        ("payload", rf"CASE WHEN p3 = '' OR regexp_full_match(p4, '\(\d+\)') OR regexp_matches(lower(p4), '{_INSTRUCTS}') OR regexp_full_match({sclean('p3')}, '(?i)\([a-z]+\)|\d+[a-z]?\.') OR regexp_matches(p3, '(?i)^\([a-z]+\)\s*;\s*$') OR regexp_matches(p3, '^;\s*$') THEN '' ELSE {stab('p3')} END"),
+    )
+
+
+_FIRSTWORD = lambda c: rf"lower(regexp_extract(coalesce({c}, ''), '^\s*([A-Za-z0-9]+)\b', 1))"
+_RESTED = steps(spayload("SELECT analysis_id, amending_text, best_match_text FROM amendment_analysis", "amending_text"), ("rest", rf"regexp_replace(amending_text, '^{WS}*[A-Za-z0-9]+\b{WS}*', '')"))
+
+
+@query(
+    f"""SELECT analysis_id, payload, regexp_replace({sclean("regexp_replace(" + sunquoted('amending_text') + ", '[[][[]FN:[0-9]+[]][]]', '', 'g')")}, ' +([,.;:])', '\\1', 'g') AS quoted,
+    regexp_replace(coalesce(amending_text, ''), '(?:{WS}|[''"“”‘’`´])+', '', 'g') AS bare,
+    CASE WHEN {_FIRSTWORD('best_match_text')} <> '' AND {_FIRSTWORD('best_match_text')} = {_FIRSTWORD('amending_text')} AND trim(rest) <> '' THEN rest ELSE amending_text END AS trimmed FROM ({_RESTED})"""
+)
 def norm_payload(spark: SparkSession, d: str) -> DataFrame:
     from actloom.operators.amendments import item_text
 
@@ -106,7 +137,12 @@ def tokens_count(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.size(w).cast("bigint").alias("n"), F.size(F.array_distinct(w)).cast("bigint").alias("n_distinct"))
 
 
-@query()
+_WORDLIKE = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200c}\x{200d}\x{24b6}-\x{24e9}"
+_PIECE = rf"\[\[FN:\d+\]\]|\[\[SRC:[^\]]+\]\]|\([A-Za-z0-9]+\)|[A-Za-z0-9]+(?:[''-][A-Za-z0-9]+)?|{WS}+|[^{_WORDLIKE}{WS[1:-1]}]"
+
+
+@query(rf"""SELECT block_id, len(p) AS n, list_transform(p, lambda x: CASE WHEN regexp_full_match(x, '[A-Za-z0-9]+(?:[''-][A-Za-z0-9]+)?') THEN lower(x) ELSE x END) AS keys, array_to_string(p, '') = t AS lossless
+  FROM (SELECT block_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '{_PIECE}') p FROM text_blocks)""")
 def tokens_with_punctuation(spark: SparkSession, d: str) -> DataFrame:
     p = T.pieces(F.col("text"))
     return _blocks(spark, d).select("block_id", F.size(p).alias("n"), F.transform(p, T.match_key).alias("keys"), (F.array_join(p, "") == F.coalesce("text", F.lit(""))).alias("lossless"))
@@ -176,7 +212,10 @@ def headings(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", c.alias("line"), C.article_number(c).alias("article"), C.annex_number(c).alias("annex"), C.chapter_number(c).alias("chapter"), C.is_hard_boundary(c).alias("hard"))
 
 
-@query()
+@query(
+    f"""SELECT doc_id, line, upper({sfirst(sunquoted(_LC), r'(?i)^ANNEX\s+([IVXLC]+[A-Za-z]?)\b')}) AS label, {sfirst(_LC, '(?i)^(ANNEX [IVXLC]+[A-Za-z]?) .+$')} AS heading, {sfirst(_LC, '(?i)^ANNEX [IVXLC]+[A-Za-z]? (.+)$')} AS title
+    FROM ({_LINES}) WHERE regexp_matches({_LC}, '(?i)^(?:CHAPTER|ANNEX)\\b')"""
+)
 def annex_headings(spark: SparkSession, d: str) -> DataFrame:
     rows = _lines(spark, d).where(C.is_hard_boundary(F.col("line")))
     s = C.annex_heading_and_title(F.col("line"))
@@ -216,16 +255,29 @@ def instruction_targets(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "amendment_analysis").select("analysis_id", G.article(i).alias("article"), G.paragraph(i).alias("paragraph"), G.point(i).alias("point"), G.annex(i).alias("annex"), G.annex_point(i).alias("annex_point"), G.regulation(i).alias("regulation"), G.subparagraph_ordinal(i).alias("subparagraph"))
 
 
-@query(f"SELECT analysis_id, list_transform(list_distinct(regexp_extract_all({_INSTRUCTION}, '(?i)\\(([a-z]+)\\)', 1)), lambda x: lower(x)) AS points FROM amendment_analysis WHERE len(list_distinct(list_transform(regexp_extract_all({_INSTRUCTION}, '(?i)\\(([a-z]+)\\)', 1), lambda x: lower(x)))) <= 1")
+_POINTS = f"list_transform(regexp_extract_all({_INSTRUCTION}, '(?i)\\(([a-z]+)\\)', 1), lambda x: lower(x))"
+
+
+@query(f"SELECT analysis_id, {sdistinct('p')} AS points FROM (SELECT analysis_id, {_POINTS} p FROM amendment_analysis)")
 def instruction_points(spark: SparkSession, d: str) -> DataFrame:
-    p = G.all_points(F.col("source_instruction"))
-    return table(spark, d, "amendment_analysis").select("analysis_id", p.alias("points")).where(F.size("points") <= 1)
+    return table(spark, d, "amendment_analysis").select("analysis_id", G.all_points(F.col("source_instruction")).alias("points"))
+
 
+_ORDINALS = "['first', 'second', 'third', 'fourth', 'fifth']"
 
-@query()
+
+@query(
+    rf"""SELECT analysis_id, {sdistinct('p')} AS points, CAST(nullif(list_position({_ORDINALS}, lower({sfirst('i', r'(?i)\b(first|second|third|fourth|fifth)\s+(?:sub)?paragraph\b')})), 0) AS INT) AS ordinal,
+    upper({sfirst('i', r'(?i)\b(?:is|are)\s+inserted\s+as\s+annex\s+([A-Za-z0-9]+)\b')}) AS inserted_annex, lower({sfirst('i', r'(?i)\bthe following articles?\s+(?:is|are)\s+(?:inserted|added)\s*:\s*' + "[‘'" + '"' + r'(\[]*\s*article\s+(\d+[A-Za-z])\b')}) AS inserted_article
+    FROM (SELECT analysis_id, {_POINTS} p, {_INSTRUCTION} i FROM amendment_analysis UNION ALL SELECT -analysis_id, {_POINTS}, i || ' the following article is inserted: ‘Article ' || article_number || 'a and is inserted as annex ' || target_annex_number FROM (SELECT *, {_INSTRUCTION} i FROM amendment_analysis))"""
+)
 def instruction_ordinals(spark: SparkSession, d: str) -> DataFrame:
-    i = F.col("source_instruction")
-    return table(spark, d, "amendment_analysis").select("analysis_id", G.all_points(i).alias("points"), G.inner_ordinal(i).alias("ordinal"), G.inserted_annex(i).alias("inserted_annex"), G.inserted_article(i).alias("inserted_article"))
+    """Of every instruction, and of the same with an inserted article and annex behind it (negative ids)."""
+    a = table(spark, d, "amendment_analysis")
+    more = F.concat(X.clean(F.col("source_instruction")), F.lit(" the following article is inserted: ‘Article "), "article_number", F.lit("a and is inserted as annex "), "target_annex_number")
+    both = a.select("analysis_id", F.col("source_instruction").alias("i"), F.col("source_instruction").alias("own")).unionByName(a.select((-F.col("analysis_id")).alias("analysis_id"), more.alias("i"), F.col("source_instruction").alias("own")))
+    i = F.col("i")
+    return both.select("analysis_id", G.all_points(F.col("own")).alias("points"), G.inner_ordinal(i).alias("ordinal"), G.inserted_annex(i).alias("inserted_annex"), G.inserted_article(i).alias("inserted_article"))
 
 
 _THING = "(?:paragraph|point|article|subparagraph)s?"
@@ -245,9 +297,6 @@ def amendment_kinds(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "amendment_analysis").select("analysis_id", C.amendment_kind(i, F.col("amending_text")).alias("kind"), G.operation_type(i).alias("operation"), path.alias("path"))
 
 
-_INSTRUCTS = C.INSTRUCTION.replace("'", "''")
-
-
 @query(
     rf"""SELECT id, regexp_full_match(t, '\(\d+\)') OR regexp_matches(lower(t), '{_INSTRUCTS}') AS instructs FROM (SELECT id, regexp_replace({sclean('x')}, '(?i)^\([ivxlcdm]+\) ', '') t FROM
     (SELECT 2 * analysis_id id, source_instruction x FROM amendment_analysis UNION ALL SELECT 2 * analysis_id + 1, amending_text FROM amendment_analysis))"""
@@ -265,10 +314,15 @@ def report_fragments(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "amendment_analysis").select("analysis_id", C.is_report_fragment(F.col("amending_text")).alias("fragment"))
 
 
-@query("SELECT n, CASE WHEN n % 400 = 0 THEN NULL ELSE n % 400 END AS value FROM (SELECT DISTINCT o_orderkey % 400 n FROM orders) WHERE n > 0")
+_DIGITS = lambda one, five, ten: "['', " + ", ".join(f"'{x}'" for x in (one, one * 2, one * 3, one + five, five, five + one, five + one * 2, five + one * 3, one + ten)) + "]"
+_ROMAN = lambda n: f"repeat('C', ({n}) // 100) || {_DIGITS('X', 'L', 'C')}[({n}) // 10 % 10 + 1] || {_DIGITS('I', 'V', 'X')}[({n}) % 10 + 1]"
+
+
+@query(f"SELECT n, {_ROMAN('n')} AS numeral, n AS value, {_ROMAN('n + 1')} AS next FROM (SELECT DISTINCT o_orderkey % 399 n FROM orders) WHERE n > 0")
 def roman_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "orders").select((F.col("o_orderkey") % 400).alias("n")).distinct().where("n > 0")
-    return n.select("n", G.roman_value(G.roman(F.col("n"))).cast("bigint").alias("value"))
+    n = table(spark, d, "orders").select((F.col("o_orderkey") % 399).alias("n")).distinct().where("n > 0")
+    r = G.roman(F.col("n"))
+    return n.select("n", r.alias("numeral"), G.roman_value(r).cast("bigint").alias("value"), G.next_roman(r).alias("next"))
 
 
 @query("SELECT n_name, CASE WHEN n_nationkey % 3 = 0 THEN 'C00000' WHEN n_nationkey % 3 = 1 THEN '0066CC' ELSE upper(lpad(to_hex(n_nationkey), 6, '0')) END AS color FROM nation")

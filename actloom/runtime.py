@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,23 +25,28 @@ def session(app: str = "actloom", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a folder of our own where it is unset (tests, local runs)."""
+    """The folder that all executors share, which spark.checkpoint.dir names; a local session where it is unset uses its own warehouse folder."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        where = tempfile.mkdtemp(prefix="actloom-")
+        where = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A path of its own in the shared folder, removed with the written tables."""
+    path = f"{shared_folder(spark)}/actloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN[path] = spark
+    return path
+
+
 def written(df: DataFrame, label: str = "t") -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back: later uses neither recompute it nor depend on a single executor."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/actloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    _WRITTEN[path] = spark
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_written() -> None:

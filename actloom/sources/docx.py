@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
@@ -60,6 +61,10 @@ def paragraphs_of(data: bytes) -> list[list[dict]]:
     return out
 
 
+#: signs that XML cannot hold
+_UNFIT = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ud800-\udfff\ufffe\uffff]")
+
+
 def write(paragraphs: list[list[dict]]) -> bytes:
     """A document of the given runs."""
     lines = []
@@ -67,7 +72,7 @@ def write(paragraphs: list[list[dict]]) -> bytes:
         inner = []
         for r in runs:
             props = ("<w:strike/>" if r.get("strike") else "") + (f'<w:color w:val="{r["color"]}"/>' if r.get("color") else "") + ('<w:u w:val="double"/>' if r.get("double_underline") else "")
-            parts = [f'<w:t xml:space="preserve">{escape(x)}</w:t>' for x in (r.get("text") or "").split("\t")]
+            parts = [f'<w:t xml:space="preserve">{escape(x)}</w:t>' for x in _UNFIT.sub("", r.get("text") or "").split("\t")]
             inner.append(f"<w:r>{f'<w:rPr>{props}</w:rPr>' if props else ''}{'<w:tab/>'.join(parts)}</w:r>")
         lines.append(f"<w:p>{''.join(inner)}</w:p>")
     out = io.BytesIO()

@@ -37,7 +37,7 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, header=True, encoding="UTF-8")
+    df.write.csv(path, header=True, encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def pdf_text(files: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from actloom.functions.text import hard_spaces
 
@@ -159,14 +158,23 @@ def elements(pages: DataFrame) -> DataFrame:
     return got.withColumn("text_fn", hard_spaces(F.trim(tidy)))
 
 
-@F.udf(StringType(), useArrow=True)
-def decoded(data):  # noqa: ANN001, ANN201
-    return decode(bytes(data) if data is not None else b"")
+def _decoded(errors: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [(x or b"").decode("utf-8", "replace") if errors == "replace" else decode(x) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "html"])
 
+    return run
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, html) of HTML files, with the encoding cascade; doc_id is the file's path."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("doc_id"), decoded("content").alias("html"))
+
+def decoded(files: DataFrame, errors: str = "cascade") -> DataFrame:
+    """(doc_id, html) of ``files`` (doc_id, content): by the cascade of encodings, or as UTF-8 with signs for what does not fit (``replace``)."""
+    return files.select(F.col("doc_id").cast("string"), "content").mapInArrow(_decoded(errors), "doc_id string, html string")
+
+
+def read_pages(spark: SparkSession, path: str, errors: str = "cascade") -> DataFrame:
+    """(doc_id, html) of HTML files; doc_id is the file's path."""
+    return decoded(spark.read.format("binaryFile").load(path).select(F.col("path").alias("doc_id"), "content"), errors)
 
 
 def page_text(html: Column) -> Column:

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from actloom.operators import amendments, apply
+from actloom.operators.revise import RUNS
+from actloom.runtime import written
 
 
 class LayerStore:
-    """Acts as Parquet versions in a folder: layer n holds the paragraphs after n batches.
+    """Acts as Parquet versions in a folder: layer n holds the paragraphs of the acts that batch n changed, layer 0 all of
+    the beginning; an act stands as its newest layer has it, so a batch writes no act that it does not name.
 
     A version is written whole before it counts, and a batch that comes again after a failure writes the same version,
     so the chain survives restarts.
@@ -23,29 +26,26 @@ class LayerStore:
         return f"{self.folder}/{what}/layer={n}"
 
     def start(self, paragraphs: DataFrame) -> None:
-        runs = F.lit(None).cast("array<struct<text:string,kind:string,strike:boolean,double_underline:boolean,color:string>>")
-        rows = paragraphs if "runs" in paragraphs.columns else paragraphs.withColumn("runs", runs)
-        rows.select("doc_id", F.col("ord").cast("int").alias("ord"), "text", "runs").write.mode("overwrite").parquet(self.path(0))
+        rows = paragraphs if "runs" in paragraphs.columns else paragraphs.withColumn("runs", F.lit(None).cast(RUNS))
+        rows.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("ord").cast("int").alias("ord"), "text", "runs").write.mode("overwrite").parquet(self.path(0))
 
-    def paragraphs(self, n: int) -> DataFrame:
-        return self.spark.read.parquet(self.path(n))
+    def paragraphs(self, n: int, named: DataFrame | None = None) -> DataFrame:
+        """All acts, or the ``named`` ones (doc_id), after layer n; the newest layer of an act is found from its narrow id column."""
+        all_ = self.spark.read.schema(f"doc_id string, ord int, text string, runs {RUNS}, layer int").parquet(f"{self.folder}/paragraphs").where(F.col("layer") <= n)
+        if named is not None:
+            all_ = all_.join(named, "doc_id", "left_semi")
+        newest = all_.groupBy("doc_id").agg(F.max("layer").alias("layer"))
+        return all_.join(newest, ["doc_id", "layer"], "left_semi").select("doc_id", "ord", "text", "runs")
 
     def results(self, n: int) -> DataFrame:
         return self.spark.read.parquet(self.path(n, "items"))
 
     def add(self, items: DataFrame, batch: int, color: str) -> None:
-        """Layer batch + 1 from the layer before; acts without items of this batch are carried over as they are."""
-        todo = amendments.identify(items).persist()
-        try:
-            base = self.paragraphs(batch)
-            named = todo.select("doc_id").distinct()
-            result = apply.apply_layer(base.join(named, "doc_id", "left_semi"), todo, color).persist()
-            rest = base.join(named, "doc_id", "left_anti").select("doc_id", "ord", "text", "runs")
-            result.where("part = 'item'").drop("part", "ord", "text", "runs").write.mode("overwrite").parquet(self.path(batch + 1, "items"))
-            apply.next_layer(result).unionByName(rest).write.mode("overwrite").parquet(self.path(batch + 1))
-            result.unpersist()
-        finally:
-            todo.unpersist()
+        """Layer batch + 1: the acts that this batch names, from their newest version before it."""
+        todo = written(amendments.identify(items), "batch")
+        result = written(apply.apply_layer(self.paragraphs(batch, todo.select("doc_id").distinct()), todo, color), "layer")
+        result.where("part = 'item'").drop("part", "ord", "text", "runs").write.mode("overwrite").parquet(self.path(batch + 1, "items"))
+        apply.next_layer(result).write.mode("overwrite").parquet(self.path(batch + 1))
 
 
 def stream_layers(items: DataFrame, store: LayerStore, checkpoint: str, colors: tuple[str, ...] = ("E67800", "800080", "0066CC", "804000", "008000")) -> StreamingQuery:

@@ -157,7 +157,7 @@ def test_distances(spark):
         words = [re.findall("[a-z0-9]+", s) for s in (r.a, r.b)]
         assert r.c.distance == lev(r.a.strip(), r.b.strip()) and r.t.distance == lev(*words) and not r.c.is_estimate
     long = spark.createDataFrame([("a " * 40, "a " * 39 + "b")], "a string, b string").select(K.char_distance(F.col("a"), F.col("b"), 10).alias("c")).first().c
-    assert long.is_estimate and long.method == "estimate"
+    assert long.is_estimate and long.method == K.ESTIMATE
 
 
 def test_similarity_is_the_sequence_matchers(spark):
