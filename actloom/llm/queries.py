@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -235,8 +237,72 @@ _ITEMS = """
 """
 
 
+_RUNS = lambda c: rf"array_to_string(list_transform(regexp_extract_all(coalesce({c}, ''), '[\p{{L}}\p{{N}}]+'), lambda x: lower(x)), ' ')"
+#: fields of raw lines: JSON values, named fields, or what bars or tabs set apart; those beyond the third join it
+_NAME = r"(?i)(?:^|[|\t])[ \x{a0}\r\n]*(?:note_id|marker|text)[ \x{a0}\r\n]*[=:]"
+_RECORDS = rf"""
+  WITH l AS (SELECT fn_id, line, length(line) - length(replace(line, '|', '')) bars, length(line) - length(replace(line, chr(9), '')) tabs FROM footnote_lines WHERE fn_id IS NOT NULL),
+  v AS (SELECT fn_id, CASE WHEN starts_with(ltrim(line), '{{') AND json_valid(line) THEN json_extract_string(line, '$.*') WHEN regexp_matches(line, '{_NAME}') THEN string_split(regexp_replace(line, '{_NAME}', chr(1), 'g'), chr(1))[2:]
+    WHEN tabs > 0 AND (bars = 0 OR (bars < tabs AND tabs < 3)) THEN string_split(line, chr(9)) ELSE string_split(line, '|') END f FROM l),
+  r AS (SELECT fn_id, note_id a, marker b, text c FROM footnotes WHERE fn_id IS NOT NULL UNION ALL SELECT fn_id, f[1], f[2], array_to_string(f[3:], ' ') FROM v),
+  k AS (SELECT fn_id, array_to_string(list_sort([{_RUNS('a')}, {_RUNS('b')}, {_RUNS('c')}]), '|') k FROM r), g AS (SELECT fn_id, min(fn_id) OVER (PARTITION BY k) first_id FROM k)
+"""
+
+_NEAR = _ITEMS + r"""
+  w AS (SELECT field, id, lower(unnest(regexp_extract_all(t, '[\p{L}\p{N}]+'))) x FROM i), n AS (SELECT field, id, count(*) n, array_to_string(list_sort(list(x)), ' ') k FROM w GROUP BY ALL HAVING count(*) >= 20),
+  c AS (SELECT field, id, x, count(*) k FROM w JOIN n USING (field, id) GROUP BY ALL),
+  o AS (SELECT a.field, a.id a_id, b.id b_id, sum(least(a.k, b.k)) s FROM c a JOIN c b ON a.field = b.field AND a.x = b.x AND a.id <> b.id GROUP BY ALL),
+  e AS (SELECT o.field, a_id, b_id, a.k ka, b.k kb FROM o JOIN n a ON a.field = o.field AND a.id = a_id JOIN n b ON b.field = o.field AND b.id = b_id WHERE s >= 0.7 * (a.n + b.n - s)),
+  z(field, id, other) AS (SELECT field, id, id FROM n UNION SELECT z.field, z.id, e.b_id FROM z JOIN e ON e.field = z.field AND e.a_id = z.other)
+"""
+
+_SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+_SHARED = _ITEMS + rf"""
+  w AS (SELECT field, id, string_split_regex(regexp_replace(t, '^{_SPACE}|{_SPACE}$', '', 'g'), '{_SPACE}') ws FROM i), l AS (SELECT * FROM w WHERE len(ws) >= 20),
+  s AS (SELECT field, id, p, array_to_string(ws[p : p + 19], ' ') g FROM (SELECT field, id, ws, unnest(range(1, len(ws) - 18)) p FROM l)),
+  h AS (SELECT g FROM s GROUP BY g HAVING count(DISTINCT id) > 1), c AS (SELECT DISTINCT field, id, p + d q FROM s JOIN h USING (g), (SELECT unnest(range(0, 20)) d))
+"""
+
+_PHRASES = r"""
+  WITH c AS (SELECT DISTINCT ON (report_id) report_id, top_missing, top_extra FROM comparison_results ORDER BY report_id, loaded_at),
+  t AS (SELECT 'top_missing' field, report_id, top_missing l FROM c UNION ALL SELECT 'top_extra', report_id, top_extra FROM c),
+  k AS (SELECT field, report_id, list_filter(l, lambda x: x IS NOT NULL AND x[1] IS NOT NULL) l FROM t WHERE l IS NOT NULL),
+  u AS (SELECT field, report_id, list_transform(l, lambda x: lower(trim(x[1]))) ts, list_transform(l, lambda x: coalesce(try_cast(x[2] AS BIGINT), 0)) ns FROM k),
+  g AS (SELECT field, report_id, unnest(range(1, len(ts) + 1)) p, ts, ns FROM u), o AS (SELECT field, report_id, ns[p] w, n, array_to_string(ts[p : p + n - 1], ' ') phrase FROM g, (SELECT unnest([1, 2, 3]) n) WHERE p + n - 1 <= len(ts))
+  SELECT field, phrase, n, CAST(sum(w) AS BIGINT) total, count(DISTINCT report_id) reports FROM o GROUP BY field, phrase, n"""
+
+
+def _form_sql(c: str) -> str:
+    """The consistent form in SQL: what maps to one sign or to none by one translation, the rest one by one, then composition and spaces."""
+    start, length, flat, _, _ = lookalike.mappings(lookalike.CONFUSABLES)
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    one, gone, many = [], [], []
+    for i in np.flatnonzero(start != np.arange(len(start))).tolist():
+        t = unicodedata.normalize("NFC", "".join(map(chr, flat[start[i] : start[i] + length[i]])))
+        if i and t != chr(i):
+            (one if len(t) == 1 else many if t else gone).append((chr(i), t))
+    text = f"translate({c}, {quoted(''.join(a for a, _ in one) + ''.join(a for a, _ in gone))}, {quoted(''.join(b for _, b in one))})"
+    for a, b in many:
+        text = f"replace({text}, {quoted(a)}, {quoted(b)})"
+    return f"trim(regexp_replace(nfc_normalize({text}), ' +', ' ', 'g'))"
+
+
 def oracle_sql() -> dict[str, str]:
+    form = _form_sql("text")
     return {
+        "p2_found": f"""WITH t AS (SELECT 'text_blocks' tbl, block_id id, text FROM text_blocks WHERE text <> '' UNION ALL SELECT 'footnotes', fn_id, text FROM footnotes WHERE text <> ''), k AS (SELECT tbl, id, text, {form} k FROM t),
+  g AS (SELECT tbl, id, min(id) OVER w first_id, min(text) OVER w <> max(text) OVER w several FROM k WINDOW w AS (PARTITION BY tbl, k)) SELECT DISTINCT tbl, first_id, id other_id FROM g WHERE several AND id <> first_id""",
+        "p2_text_blocks": f"SELECT block_id, text, {form} consistent FROM text_blocks",
+        "p2_footnotes": f"SELECT fn_id, text, {form} consistent FROM footnotes",
+        "p1_found": _RECORDS + " SELECT DISTINCT first_id, fn_id copy_id FROM g WHERE fn_id <> first_id",
+        "p1_collapsed": _RECORDS + " SELECT first_id fn_id, count(DISTINCT fn_id) copies FROM g GROUP BY first_id",
+        "p3_groups": _NEAR.replace("WITH i AS", "WITH RECURSIVE i AS") + """ SELECT n.field, n.id analysis_id, m.class_id, coalesce(d.n_links, 0) n_links FROM n JOIN (SELECT field, id, min(other) class_id FROM z GROUP BY ALL) m ON m.field = n.field AND m.id = n.id
+    LEFT JOIN (SELECT field, a_id, count(DISTINCT kb) n_links FROM e WHERE ka <> kb GROUP BY ALL) d ON d.field = n.field AND d.a_id = n.id""",
+        "p4_shares": _SHARED + " SELECT l.field, l.id analysis_id, len(ws) n_words, coalesce(k.n, 0) shared_words, coalesce(k.n, 0) / len(ws) share FROM l LEFT JOIN (SELECT field, id, count(*) n FROM c GROUP BY ALL) k ON k.field = l.field AND k.id = l.id",
+        "p4_passages": _SHARED + """, j AS (SELECT *, q - row_number() OVER (PARTITION BY field, id ORDER BY q) isle FROM c), r AS (SELECT field, id, min(q) - 1 first_word, count(*) n_words FROM j GROUP BY field, id, isle)
+  SELECT r.field, r.id analysis_id, first_word, n_words, array_to_string(ws[first_word + 1 : first_word + n_words], ' ') passage FROM r JOIN l ON l.field = r.field AND l.id = r.id""",
+        "p5_phrases": _PHRASES,
+        "p6_found": r"SELECT DISTINCT doc_id FROM documents WHERE len(regexp_extract_all(text, '[A-Za-z]+|[0-9]+|[^ A-Za-z0-9]+')) > (SELECT max(capacity_tokens) FROM pack_sizes)",
         "p3_found": _ITEMS + r"""
   w AS (SELECT field, id, lower(unnest(regexp_extract_all(t, '[\p{L}\p{N}]+'))) x FROM i),
   n AS (SELECT field, id, count(*) n FROM w GROUP BY ALL HAVING count(*) >= 20),
