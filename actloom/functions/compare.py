@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Y
 
 from actloom.functions import tokens as T
-from actloom.functions.text import normalized
+from actloom.functions.text import let, normalized
 
 #: longest texts and token lists whose distance is computed and not estimated, and what reports call the two ways (fixed values)
 CHARS_EXACT, TOKENS_EXACT = 12_000, 3_000
@@ -59,9 +59,14 @@ def word_diff(a: pd.Series, b: pd.Series) -> pd.DataFrame:
 
 
 def _distance(distance: Column, longest: Column, estimate: Column, exact: Column) -> Column:
+    """The figures of a comparison; the distance is computed once, however many of them are asked for."""
+
+    def figures(v: Column) -> Column:
+        similar = F.when(v["longest"] == 0, 1.0).otherwise(F.when(v["exact"], 1 - v["d"] / v["longest"]).otherwise(v["estimate"]))
+        return F.struct(v["d"].alias("distance"), similar.alias("normalized_similarity"), F.when(v["exact"], EXACT).otherwise(ESTIMATE).alias("method"), (~v["exact"]).alias("is_estimate"))
+
     d = F.when(exact, distance).otherwise(F.round((1 - estimate) * longest).cast("int"))
-    similar = F.when(longest == 0, 1.0).otherwise(F.when(exact, 1 - d / longest).otherwise(estimate))
-    return F.struct(d.alias("distance"), similar.alias("normalized_similarity"), F.when(exact, EXACT).otherwise(ESTIMATE).alias("method"), (~exact).alias("is_estimate"))
+    return let(F.struct(d.alias("d"), longest.alias("longest"), estimate.alias("estimate"), exact.alias("exact")), figures)
 
 
 def char_distance(a: Column, b: Column, most: int = CHARS_EXACT) -> Column:

@@ -19,7 +19,7 @@ from actloom.plans.coverage_queries import _ROWS as V_ROWS
 from actloom.plans.coverage_queries import _SIGNS as V_SIGNS
 from actloom.plans.item_queries import items
 from actloom.plans.registry import query, sanchorless, sclean, sfirst, steps, sunquoted, swords, table
-from actloom.runtime import scratch, written
+from actloom.runtime import scratch, spread, written
 
 COLOR = "E67800"
 
@@ -112,7 +112,7 @@ _A, _B = swords(sclean("best_match_text")), swords(sclean("amending_text"))
 
 def _revised(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "amendment_analysis").where("best_match_text is not null and amending_text is not null")
-    return rows.select("analysis_id", "best_match_text", "amending_text", V.revision_runs(COLOR)("best_match_text", "amending_text").alias("runs"))
+    return spread(rows.select("analysis_id", "best_match_text", "amending_text")).select("analysis_id", "best_match_text", "amending_text", V.revision_runs(COLOR)("best_match_text", "amending_text").alias("runs"))
 
 
 @query(f"SELECT analysis_id, {sclean('amending_text')} AS effective FROM amendment_analysis WHERE best_match_text IS NOT NULL AND amending_text IS NOT NULL")

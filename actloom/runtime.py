@@ -66,3 +66,9 @@ atexit.register(drop_written)
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` for work that is heavy on each row: if its scan gives fewer tasks than the session has cores, its rows are spread over them; else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
