@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = r"(?U)\s+"
+#: whitespace as Unicode has it, listed, which is faster than the property; all of it, and all but the plain space (fixed values)
+WS = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+ODD = WS.replace("\\r ", "\\r")
 QUOTE = "‘'\""
 POINT = r"\((?:[a-z]+|[ivxlcdm]+)\)"
 
@@ -25,7 +27,8 @@ def _text(c: Column) -> Column:
 
 def clean(c: Column) -> Column:
     """One space for every run of whitespace, none at the ends."""
-    return F.trim(_sub(_text(c), SPACE, " "))
+    # only what is not a single plain space already is replaced
+    return F.trim(_sub(_text(c), WS + "{2,}|" + ODD, " "))
 
 
 def normalized(c: Column) -> Column:
@@ -36,10 +39,10 @@ def normalized(c: Column) -> Column:
 def clean_markup(c: Column) -> Column:
     """The parser's form: keeps line breaks, tightens punctuation, plain hyphens."""
     t = F.translate(_text(c), "\u00a0\u2011", " -")
-    t = _sub(t, r"[\t\r\f\x0b ]+", " ")
-    t = _sub(t, r"(?U)\s+([,.;:])", "$1")
+    t = _sub(t, r"[\t\r\f\x0b ]{2,}|[\t\r\f\x0b]", " ")
+    t = _sub(t, WS + r"+([,.;:])", "$1")
     t = _sub(t, r"\n{3,}", "\n\n")
-    return _sub(t, r"(?U)^\s+|\s+$")
+    return _sub(t, f"^{WS}+|{WS}+$")
 
 
 def slug(c: Column) -> Column:

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from actloom.functions import classify as C
 from actloom.functions import targets as G
 from actloom.functions import text as X
+from actloom.operators import ordered
 
 
 def order():  # noqa: ANN201
     """Document order; made when used, as a window needs a session."""
     return Window.partitionBy("doc_id").orderBy("item_idx")
+
+
 REPLACED = r"(?i)\breplaced by the following\b"
 TARGETS = ("target_article_number", "target_paragraph_number", "target_point_marker", "target_annex_number", "target_annex_point_marker")
 
@@ -21,6 +24,16 @@ def _has(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit("")) != ""
 
 
+#: paragraphs at the beginning of an act in which its number is looked for (a fixed value)
+OPENING = 30
+
+
+def target_regulation(paragraphs: DataFrame) -> DataFrame:
+    """(doc_id, target): the first number of a regulation in the opening paragraphs of each act (doc_id, ord from 0, text)."""
+    named = paragraphs.where(F.col("ord") < OPENING).select("doc_id", "ord", G.regulation(F.col("text")).alias("n")).where("n is not null")
+    return named.groupBy("doc_id").agg(F.min_by("n", "ord").alias("target"))
+
+
 def relevant(items: DataFrame, target: Column) -> DataFrame:
     return items.where(C.is_relevant(F.col("article_heading"), F.col("source_instruction"), target))
 
@@ -29,10 +42,9 @@ def coalesce_markers(items: DataFrame) -> DataFrame:
     """A row that is only a list marker takes the body of the next row, which goes; the body's instruction wins, missing targets are filled from it."""
     body = F.struct("text", "source_instruction", *TARGETS[:3])
     marker = X.is_list_marker(F.col("text"))
-    rows = items.withColumn("_m", marker).withColumn("_next", F.when(F.col("_m"), F.lead(body).over(order())))
+    rows = ordered.neighbour(items.withColumn("_m", marker), "doc_id", "item_idx", body, "_after", 1).withColumn("_next", F.when(F.col("_m"), F.col("_after"))).drop("_after")
     joins = F.col("_m") & F.coalesce((X.clean(F.col("_next.text")) != "") & ~X.is_list_marker(F.col("_next.text")), F.lit(False))
-    rows = rows.withColumn("_joins", joins)
-    rows = rows.withColumn("_taken", F.coalesce(F.lag("_joins").over(order()), F.lit(False))).where("not _taken")
+    rows = ordered.neighbour(rows.withColumn("_joins", joins), "doc_id", "item_idx", F.col("_joins"), "_taken", -1).where("not coalesce(_taken, false)")
     own = F.lower(C.found(X.clean(F.col("text")), r"(?i)^\(([a-z]+)\)$"))
     take = lambda c: F.when(F.col("_joins") & ~_has(c), F.coalesce(F.col(f"_next.{c}"), F.col(c))).otherwise(F.col(c))
     return rows.withColumns(
@@ -87,8 +99,7 @@ def backfill(items: DataFrame) -> DataFrame:
     takes_annex = (F.col("_i") != "") & ~_has("target_annex_number") & F.col("_annex").isNotNull()
     base = F.when(takes_annex, F.lit(None).cast("string")).otherwise(F.coalesce("_art", F.nullif("target_article_number", F.lit(""))))
     rows = rows.withColumn("_takes", takes_annex).withColumn("_base", base)
-    carry = F.last("_base", ignorenulls=True).over(order().rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("_carry", carry)
+    rows = ordered.carried(rows, "doc_id", "item_idx", F.col("_base"), "_carry")
     relative = (F.col("_i") != "") & F.col("_i").rlike(r"(?i)\b(?:paragraph|subparagraph|point|points|introductory wording)\b")
     fill = lambda c, v: F.when(F.col("_takes"), F.lit(None).cast("string")).when((F.col("_i") != "") & ~_has(c), F.coalesce(v, F.col(c))).otherwise(F.col(c))
     return rows.withColumns(

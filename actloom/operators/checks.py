@@ -9,7 +9,7 @@ from actloom.functions import classify as C
 from actloom.functions import targets as G
 from actloom.functions import text as X
 from actloom.functions import tokens as T
-from actloom.operators import ranges
+from actloom.operators import ordered, ranges
 
 APPLIED = ("replaced", "inserted", "already_applied")
 TARGETS = ("target_article_number", "target_paragraph_number", "target_point_marker", "target_annex_number", "target_annex_point_marker")
@@ -132,8 +132,8 @@ def operation_proofs(items: DataFrame) -> DataFrame:
     some = lambda c: X.clean(F.col(c)) != ""
     text, scope, para = some("amending_text"), ~changes | some(TARGETS[0]) | some(TARGETS[3]), ~(changes & ordinal) | some(TARGETS[1])
     passed, proven = text & scope & para, X.clean(F.col("applied_mode")).isin(*APPLIED)
-    return items.select(
-        "doc_id", F.format_string("op_%04d", F.row_number().over(Window.partitionBy("doc_id").orderBy("item_idx"))).alias("operation_id"), op.alias("operation_type"), G.target_path(*[F.col(c) for c in TARGETS]).alias("target_path"),
+    return ordered.numbered(items, "doc_id", "item_idx", "_nth").select(
+        "doc_id", F.format_string("op_%04d", "_nth").alias("operation_id"), op.alias("operation_type"), G.target_path(*[F.col(c) for c in TARGETS]).alias("target_path"),
         text.alias("has_amending_text"), scope.alias("has_scope_target"), para.alias("has_required_paragraph_scope"), passed.alias("preconditions_passed"), proven.alias("mutation_proven"), F.when(passed & proven, "proven").otherwise("unresolved").alias("status"),
     )
 

@@ -104,3 +104,47 @@ def marker_inversions(paragraphs: DataFrame) -> DataFrame:
 def inside(points: DataFrame, intervals: DataFrame, key: str, at: str, lo: str, hi: str) -> DataFrame:
     """Rows of ``points`` joined to the intervals lo <= at < hi of the same key: a hash or merge join with a residual range test."""
     return points.join(intervals, key).where((F.col(at) >= F.col(lo)) & (F.col(at) < F.col(hi)))
+
+
+def annex_points(paragraphs: DataFrame) -> DataFrame:
+    """(doc_id, annex, point, start, stop): each roman section of an annex up to the next one or the annex's end."""
+    turn = F.when(C.annex_number(F.col("text")).isNotNull(), F.struct(C.annex_number(F.col("text")).alias("annex"), F.col("ord").alias("lo")))
+    inside = paragraphs.withColumn("_at", F.last(turn, ignorenulls=True).over(doc_order("doc_id"))).where("_at is not null").select("doc_id", "ord", "text", "_at.annex", "_at.lo")
+    end = F.max("ord").over(Window.partitionBy("doc_id", "lo")) + 1
+    heads = inside.withColumn("end", end).withColumn("point", C.annex_point(F.col("text"))).where("point is not null")
+    return heads.select("doc_id", "annex", "point", F.col("ord").alias("start"), F.coalesce(F.lead("ord").over(doc_order("doc_id", "lo")), "end").alias("stop"))
+
+
+def first_subparagraph_end(paragraphs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(doc_id, article, marker, at): the first line of each numbered paragraph that follows a point and is none, else the paragraph's end."""
+    lines = sectioned(paragraphs).where("article is not null").select("doc_id", F.col("start").alias("section"), "ord", (C.clean(F.col("text")) != "").alias("full"), C.point_marker(F.col("text")).isNotNull().alias("point"))
+    b = blocks.select("doc_id", "section", "article", "marker", F.col("start").alias("lo"), F.col("stop").alias("hi"))
+    at = b.join(lines, ["doc_id", "section"]).where("ord >= lo and ord < hi").withColumn("seen", F.max(F.when(F.col("point"), True)).over(doc_order("doc_id", "lo").rowsBetween(Window.unboundedPreceding, -1)))
+    got = at.groupBy("doc_id", "article", "marker", "lo", "hi").agg(F.min(F.when(F.col("seen") & F.col("full") & ~F.col("point"), F.col("ord"))).alias("first"))
+    return got.select("doc_id", "article", "marker", F.coalesce("first", "hi").alias("at"))
+
+
+def point_insertion_index(points: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, article, paragraph, marker, at): where a new lettered point belongs, before the first larger letter of its paragraph, else behind the last point and the romans nested in it.
+
+    ``points`` as :func:`point_blocks`; ``wanted``: doc_id, article, paragraph, marker.
+    """
+    letters = points.where(~C.is_small_roman(F.col("marker"))).select("doc_id", "article", "paragraph", F.col("marker").alias("other"), "start", "stop")
+    both = wanted.join(letters, ["doc_id", "article", "paragraph"])
+    return both.groupBy("doc_id", "article", "paragraph", "marker").agg(F.coalesce(F.min(F.when(F.col("other") > F.col("marker"), F.col("start"))), F.max("stop")).alias("at"))
+
+
+def landmarks(paragraphs: DataFrame) -> DataFrame:
+    """(doc_id, title_end, last_recital, formula, binding, first_article, first_annex, size): the places of a document that
+    insertions go by, null where it has none."""
+    t = C.clean(F.col("text"))
+    art, annex = C.article_number(F.col("text")).isNotNull(), C.annex_number(F.col("text")).isNotNull()
+    rows = paragraphs.select("doc_id", "ord", t.alias("t"), art.alias("art"), annex.alias("annex"))
+    first = rows.withColumn("front", ~F.coalesce(F.max(F.when(F.col("art"), True)).over(doc_order("doc_id")), F.lit(False)))
+    rec = F.col("front") & F.col("t").rlike(r"^\(\d+\)")
+    at = lambda on: F.min(F.when(on, F.col("ord")))
+    got = first.groupBy("doc_id").agg(
+        at(rec).alias("first_recital"), F.max(F.when(rec, F.col("ord"))).alias("last_recital"), at(F.col("t").rlike("(?i)have adopted this")).alias("formula"), at(F.col("t").rlike("(?i)shall be binding in its entirety")).alias("binding"),
+        at(F.col("art")).alias("first_article"), at(F.col("annex")).alias("first_annex"), F.min("ord").alias("lo"), (F.max("ord") + 1).alias("size"),
+    )
+    return got.select("doc_id", F.coalesce(F.col("first_recital") - 1, F.col("lo")).alias("title_end"), "last_recital", "formula", "binding", "first_article", "first_annex", "size")

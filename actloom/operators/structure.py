@@ -31,9 +31,10 @@ def has(*names: str) -> Column:
 def legal_root(elements: DataFrame) -> DataFrame:
     """(doc_id, root_pos, root_end): the container with the most legal matter, else the body, else the first element; the first of equals."""
     weight = sum((F.when(has(c), w).otherwise(0) for c, w in (("oj-ti-art", 100), ("eli-main-title", 25), ("eli-title", 10), ("oj-normal", 1), ("oj-table", 5), ("oj-note", 2))), F.lit(0))
-    box = elements.where(has("eli-container")).select("doc_id", F.col("pos").alias("root_pos"), F.col("end_pos").alias("root_end"))
-    inner = elements.select("doc_id", "pos", weight.alias("w")).where("w > 0")
-    scored = box.join(inner, "doc_id", "left").groupBy("doc_id", "root_pos", "root_end").agg(F.sum(F.when((F.col("pos") > F.col("root_pos")) & (F.col("pos") <= F.col("root_end")), F.col("w")).otherwise(0)).alias("score"))
+    # what stands in a container is the difference of two running sums, at its end and at itself
+    run = elements.select("doc_id", "pos", "end_pos", has("eli-container").alias("box"), F.sum(weight).over(order()).alias("w"))
+    ends = run.select("doc_id", F.col("pos").alias("end_pos"), F.col("w").alias("upto"))
+    scored = run.where("box").join(ends, ["doc_id", "end_pos"]).select("doc_id", F.col("pos").alias("root_pos"), F.col("end_pos").alias("root_end"), (F.col("upto") - F.col("w")).alias("score"))
     best = scored.groupBy("doc_id").agg(F.max_by(F.struct("root_pos", "root_end"), F.struct("score", -F.col("root_pos"))).alias("r")).select("doc_id", "r.*")
     rest = elements.groupBy("doc_id").agg(F.min_by(F.struct("pos", "end_pos"), F.struct(F.col("tag") != "body", "pos")).alias("f"), F.max("pos").alias("last"), F.max((F.col("tag") == "body").cast("int")).alias("body"))
     joined = rest.join(best, "doc_id", "left")
@@ -52,8 +53,12 @@ def footnotes(elements: DataFrame, root: DataFrame) -> DataFrame:
     notes = elements.join(root, "doc_id").where(has("oj-note") & (F.col("pos") > F.col("root_pos")) & (F.col("pos") <= F.col("root_end"))).withColumn("idx", F.row_number().over(order()))
     outer = F.max("end_pos").over(order().rowsBetween(Window.unboundedPreceding, -1))
     top = notes.withColumn("outer", outer).where("outer is null or outer < pos")
-    tags = elements.where(has("oj-note-tag")).select("doc_id", F.col("pos").alias("tp"), F.col("text").alias("tt"), F.col("end_pos").alias("te"))
-    tagged = top.join(tags, "doc_id", "left").groupBy("doc_id", "pos", "idx").agg(F.first("text").alias("text"), F.first(source_id()).alias("sid"), F.min_by("tt", F.when((F.col("tp") > F.col("pos")) & (F.col("tp") <= F.col("end_pos")), F.col("tp"))).alias("tag"))
+    # each tag belongs to the last outer note that begins before it, if it still stands in it
+    open_ = F.when(F.col("is_note") & ((F.col("over").isNull()) | (F.col("over") < F.col("pos"))), F.struct("pos", "end_pos"))
+    marks = elements.where(has("oj-note", "oj-note-tag")).withColumns({"is_note": has("oj-note"), "is_tag": has("oj-note-tag")}).withColumn("over", F.max(F.when(F.col("is_note"), F.col("end_pos"))).over(order().rowsBetween(Window.unboundedPreceding, -1)))
+    marks = marks.withColumn("note", F.last(open_, ignorenulls=True).over(order())).where("is_tag and pos > note.pos and pos <= note.end_pos")
+    first = marks.groupBy("doc_id", F.col("note.pos").alias("pos")).agg(F.min_by("text", "pos").alias("label"))
+    tagged = top.join(first, ["doc_id", "pos"], "left").select("doc_id", "pos", "idx", "text", source_id().alias("sid"), F.col("label").alias("tag"))
     marker = F.when(F.col("tag").isNotNull(), X.clean_markup(F.col("tag"))).otherwise(F.col("idx").cast("string"))
     body = F.when(F.col("tag").isNotNull() & F.startswith("text", F.col("tag")), F.expr("substring(text, length(tag) + 1)")).otherwise(F.col("text"))
     rows = tagged.select("doc_id", "pos", marker.alias("marker"), X.clean_markup(body).alias("text"), "sid", "idx").withColumn("note_id", F.coalesce("sid", F.concat(F.lit("note_"), F.when(F.col("marker") != "", F.col("marker")).otherwise(F.col("idx").cast("string")))))
@@ -132,9 +137,11 @@ def annexes(elements: DataFrame) -> DataFrame:
 
 def annex_blocks(elements: DataFrame, heads: DataFrame) -> DataFrame:
     """(doc_id, k, provision_id, block_type, pos, text, role): what stands in each annex, an interval join on the document."""
-    h = heads.select("doc_id", "k", "provision_id", F.col("pos").alias("lo"), "stop")
-    rows = elements.where(C.is_legal_element(F.col("classes")) & C.is_emitted(F.col("classes")) & ~has(*C.NOTE) & ~has("eli-container"))
-    rows = rows.join(h, "doc_id").where("pos > lo and pos < stop").withColumn("t", X.clean_markup(F.col("text")))
+    h = heads.select("doc_id", "pos", F.struct("k", "provision_id", F.col("pos").alias("lo"), "stop").alias("head"))
+    kept = C.is_legal_element(F.col("classes")) & C.is_emitted(F.col("classes")) & ~has(*C.NOTE) & ~has("eli-container")
+    # annexes do not overlap: the last heading before a row is its own, if the annex has not ended
+    at = elements.withColumn("kept", kept).join(h, ["doc_id", "pos"], "left").where("kept or head is not null").withColumn("head", F.last("head", ignorenulls=True).over(order()))
+    rows = at.where("kept and pos > head.lo and pos < head.stop").select("*", "head.k", "head.provision_id").withColumn("t", X.clean_markup(F.col("text")))
     table = has(*C.TABLE) & ((F.col("tag") == "table") | has("oj-table"))
     text = ~has(*C.TABLE) & has(*C.LEGAL) & (F.col("t") != "")
     rows = rows.withColumn("block_type", F.when(table, "table").when(text, "text")).where("block_type is not null")
@@ -199,15 +206,19 @@ def diagnostics(elements: DataFrame) -> dict[str, DataFrame]:
     t, c = X.clean(F.col("text")), F.array_join("classes", " ")
     first = elements.where(has("oj-ti-art")).groupBy("doc_id").agg(F.min("pos").alias("first"))
     pre = elements.join(first, "doc_id").where("pos < first").select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("pos"))).alias("n"), "tag", c.alias("classes"), "id", F.substring(t, 1, 250).alias("text"))
+    named = elements.withColumn("seen", F.sum(F.contains(F.upper(t), F.lit("ANNEX")).cast("int")).over(order()))
+    ends = named.select("doc_id", F.col("pos").alias("end_pos"), F.col("seen").alias("upto"))
+    # a frame has no text, but holds what stands in it
+    named = named.join(ends, ["doc_id", "end_pos"]).where(F.contains(F.upper(t), F.lit("ANNEX")) | (F.col("text").isNull() & (F.col("upto") > F.col("seen"))))
     up = elements.select("doc_id", F.col("pos").alias("parent_pos"), F.array_join("classes", " ").alias("parent_classes"))
-    kinds = ("eli-container", "eli-main-title", "eli-title", "eli-subdivision", "oj-doc-ti", "oj-ti-art", "oj-sti-art", "oj-ti-section-1", "oj-ti-section-2", "oj-normal")
+    kinds = ("eli-main-title", "eli-title", "eli-subdivision", "oj-doc-ti", "oj-ti-art", "oj-sti-art", "oj-ti-section-1", "oj-ti-section-2", "oj-note", "oj-table")  # fixed values
     each = elements.withColumn("kind", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(k).alias("class")) for i, k in enumerate(kinds)]))).where(F.array_contains("classes", F.col("kind.class")))
     return {
         "pre_article": pre,
         "recital_candidates": elements.where(t.startswith("(")).select("doc_id", "pos", "tag", c.alias("classes"), "id", t.alias("text")),
-        "annex_candidates": elements.where(F.contains(F.upper(t), F.lit("ANNEX"))).join(up, ["doc_id", "parent_pos"], "left").select("doc_id", "pos", "tag", c.alias("classes"), "id", t.alias("text"), "parent_classes"),
+        "annex_candidates": named.join(up, ["doc_id", "parent_pos"], "left").select("doc_id", "pos", "tag", c.alias("classes"), "id", F.substring(t, 1, 250).alias("text"), "parent_classes"),
         "footnotes": elements.where(has("oj-note")).select("doc_id", "pos", "tag", c.alias("classes"), "id", F.substring(t, 1, 500).alias("text")),
-        "structure": each.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("kind.i", "pos")).alias("n"), F.col("kind.class").alias("class"), "tag", "id", t.alias("text")),
+        "structure": each.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("kind.i", "pos")).alias("n"), F.col("kind.class").alias("class"), "tag", "id", F.substring(t, 1, 250).alias("text")),
     }
 
 

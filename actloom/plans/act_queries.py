@@ -32,9 +32,12 @@ def paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return lines.unionByName(heads)
 
 
-def act_lines(spark: SparkSession, d: str) -> DataFrame:
-    """(doc_id, ord, text): all blocks of an act, each article and annex behind a heading, in the order of their numbers."""
-    rows = table(spark, d, "text_blocks").where("text is not null").withColumns({"kind": F.regexp_extract("provision_id", r"^(article|annex)_([a-z0-9]+)_block_(\d+)$", 1), "name": F.regexp_extract("provision_id", r"^(article|annex)_([a-z0-9]+)_block_(\d+)$", 2)})
+def act_lines(spark: SparkSession, d: str, numbered: bool = False) -> DataFrame:
+    """(doc_id, ord, text): all blocks of an act, each article and annex behind a heading, in the order of their numbers; ``numbered``: behind a roman numeral."""
+    rows = table(spark, d, "text_blocks").where("text is not null")
+    if numbered:
+        rows = rows.withColumn("text", F.concat(G.roman(F.regexp_extract("provision_id", r"_block_(\d+)$", 1).try_cast("bigint") % 399 + 1), F.lit(". "), "text"))
+    rows = rows.withColumns({"kind": F.regexp_extract("provision_id", r"^(article|annex)_([a-z0-9]+)_block_(\d+)$", 1), "name": F.regexp_extract("provision_id", r"^(article|annex)_([a-z0-9]+)_block_(\d+)$", 2)})
     rows = rows.where("kind <> ''").withColumn("no", F.coalesce(F.regexp_extract("name", r"^\d+", 0).try_cast("int"), G.roman_value(F.col("name"))) + F.when(F.col("kind") == "annex", 100_000).otherwise(0))
     doc = F.col("act_id").cast("string").alias("doc_id")
     lines = rows.select(doc, "no", "name", F.regexp_extract("provision_id", r"_block_(\d+)$", 1).cast("bigint").alias("n"), "block_id", "text")
@@ -150,6 +153,63 @@ def numbered_layout(spark: SparkSession, d: str) -> DataFrame:
     return S.numbered_layout(paragraphs(spark, d).withColumn("table_depth", F.lit(0)))
 
 
+def _roman(n: int) -> str:
+    return "x" * (n // 10) + ("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix")[n % 10]
+
+
+_ROMANS = "[" + ", ".join(f"'{_roman(n)}'" for n in range(1, 40)) + "]"
+_PARTS = f"""SELECT act_id, block_id, text, kind, name, n, coalesce(try_cast(regexp_extract(name, '^[0-9]+') AS BIGINT), list_position({_ROMANS}, name)) + CASE WHEN kind = 'annex' THEN 100000 ELSE 0 END no FROM
+  (SELECT act_id, block_id, text, regexp_extract(provision_id, '^(article|annex)_([a-z0-9]+)_block_([0-9]+)$', 1) kind, regexp_extract(provision_id, '^(article|annex)_([a-z0-9]+)_block_([0-9]+)$', 2) name, try_cast(regexp_extract(provision_id, '_block_([0-9]+)$', 1) AS BIGINT) n FROM text_blocks WHERE text IS NOT NULL) WHERE kind <> ''"""
+_ALL = f"""SELECT CAST(act_id AS VARCHAR) doc_id, row_number() OVER (PARTITION BY act_id ORDER BY no, name, n, block_id) - 1 ord, text FROM (SELECT act_id, no, name, n, block_id, text FROM ({_PARTS})
+  UNION ALL SELECT DISTINCT act_id, no, name, -1, 0, CASE WHEN kind = 'annex' THEN 'ANNEX ' || upper(name) ELSE 'Article ' || name END FROM ({_PARTS}))"""
+_AM = _M.replace(_P, _ALL)
+
+
+@query(f"""{_AM.replace(_ALL, _ALL.replace('SELECT act_id, no, name, n, block_id, text FROM', f"SELECT act_id, no, name, n, block_id, {L._ROMAN('(n % 399 + 1)')} || '. ' || text AS text FROM"))}, k AS (SELECT *, last_value(CASE WHEN annex IS NOT NULL THEN ord END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) lo, last_value(annex IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) box,
+  upper({sfirst('c', "(?i)^[‘'" + '"' + r"]?([IVXLC]+)\.(?:\s|$)")}) point FROM h), e AS (SELECT *, max(ord) OVER (PARTITION BY doc_id, lo) + 1 fin FROM k WHERE lo IS NOT NULL)
+  SELECT doc_id, box AS annex, point, ord AS start, coalesce(lead(ord) OVER (PARTITION BY doc_id, lo ORDER BY ord), fin) AS stop FROM e WHERE point IS NOT NULL""")
+def annex_points(spark: SparkSession, d: str) -> DataFrame:
+    """Roman sections of the annexes of acts whose blocks are numbered by their place."""
+    return R.annex_points(act_lines(spark, d, numbered=True))
+
+
+@query(f"""{_AM}{_BLOCKS}, l AS (SELECT b.doc_id, b.article, b.marker, b.start, b.stop, m.ord, c <> '' AS filled, {_POINTC} IS NOT NULL AS point FROM b JOIN m ON m.doc_id = b.doc_id AND m.ord >= b.start AND m.ord < b.stop),
+  o AS (SELECT *, bool_or(point) OVER (PARTITION BY doc_id, start ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) seen FROM l)
+  SELECT doc_id, article, marker, coalesce(min(ord) FILTER (seen AND filled AND NOT point), stop) AS "at" FROM o GROUP BY doc_id, article, marker, start, stop""")
+def first_subparagraph_ends(spark: SparkSession, d: str) -> DataFrame:
+    p = act_lines(spark, d)
+    return R.first_subparagraph_end(p, R.paragraph_blocks(p))
+
+
+@query(f"""{_AM}{_PTS}, k AS (SELECT * FROM q WHERE paragraph IS NOT NULL AND marker NOT IN {_SMALL}), w AS (SELECT DISTINCT doc_id, article, paragraph FROM k)
+  SELECT w.doc_id, w.article, w.paragraph, 'd' AS marker, coalesce(min(start) FILTER (k.marker > 'd'), max(stop)) AS "at" FROM w JOIN k ON w.doc_id = k.doc_id AND w.article = k.article AND w.paragraph = k.paragraph GROUP BY ALL""")
+def point_insertion_index(spark: SparkSession, d: str) -> DataFrame:
+    """Where a point (d) would be inserted into each paragraph that has lettered points."""
+    points = R.point_blocks(act_lines(spark, d)).where("paragraph is not null")
+    return R.point_insertion_index(points, points.select("doc_id", "article", "paragraph").distinct().withColumn("marker", F.lit("d")))
+
+
+@query(f"""WITH o AS (SELECT act_id, CAST(unnest([0, 1, 2, 3, 4]) AS BIGINT) k, unnest([title, '(1) Reason.', '(2) Reason of ' || celex, 'HAVE ADOPTED THIS REGULATION:', NULL]) text FROM acts),
+  m AS (SELECT CAST(act_id AS VARCHAR) doc_id, k - 5 ord, {sclean('text')} c FROM o UNION ALL SELECT doc_id, ord, {sclean('text')} FROM ({_ALL}) UNION ALL SELECT CAST(act_id AS VARCHAR), 1000000000, 'This act shall be binding in its entirety.' FROM acts WHERE act_id % 2 = 0),
+  h AS (SELECT *, regexp_matches(c, '(?i)^Article\\s+\\d+[A-Za-z]?\\b') art, regexp_matches(c, '(?i)^ANNEX\\s+[IVXLC]+\\b') annex FROM m), f AS (SELECT *, coalesce(min(CASE WHEN art THEN ord END) OVER (PARTITION BY doc_id), 10000000000) stop FROM h), r AS (SELECT *, ord < stop AND regexp_matches(c, '^\\(\\d+\\)') rec FROM f)
+  SELECT doc_id, coalesce(min(ord) FILTER (rec) - 1, min(ord)) AS title_end, max(ord) FILTER (rec) AS last_recital, min(ord) FILTER (regexp_matches(c, '(?i)have adopted this')) AS formula, min(ord) FILTER (regexp_matches(c, '(?i)shall be binding in its entirety')) AS binding,
+  min(ord) FILTER (art) AS first_article, min(ord) FILTER (annex) AS first_annex, max(ord) + 1 AS size FROM r GROUP BY doc_id""")
+def landmarks(spark: SparkSession, d: str) -> DataFrame:
+    """Landmarks of acts with a front of title, recitals and formula before their blocks, and a closing line for every other."""
+    acts = table(spark, d, "acts")
+    doc = F.col("act_id").cast("string").alias("doc_id")
+    front = acts.select(doc, F.posexplode(F.array("title", F.lit("(1) Reason."), F.concat(F.lit("(2) Reason of "), "celex"), F.lit("HAVE ADOPTED THIS REGULATION:"), F.lit(None).cast("string"))).alias("k", "text"))
+    end = acts.where("act_id % 2 = 0").select(doc, F.lit(1_000_000_000).cast("bigint").alias("ord"), F.lit("This act shall be binding in its entirety.").alias("text"))
+    return R.landmarks(front.select("doc_id", (F.col("k") - 5).cast("bigint").alias("ord"), "text").unionByName(act_lines(spark, d)).unionByName(end))
+
+
+@query(r"SELECT CAST(act_id AS VARCHAR) AS doc_id, regexp_extract(title, '\b(\d{4}/\d{1,4})\b', 1) AS target FROM acts WHERE regexp_matches(title, '\b\d{4}/\d{1,4}\b')")
+def target_regulations(spark: SparkSession, d: str) -> DataFrame:
+    from actloom.operators import amendments
+
+    return amendments.target_regulation(table(spark, d, "acts").select(F.col("act_id").cast("string").alias("doc_id"), F.posexplode(F.array(F.lit("Text"), "title", F.lit("Regulation (EU) 1999/1"))).alias("ord", "text")).where("ord < 2"))
+
+
 # pages ---------------------------------------------------------------------------------------------------------------
 
 
@@ -178,7 +238,7 @@ def pages(spark: SparkSession, d: str) -> DataFrame:
     odd = F.array(F.lit("(1) Again."), _html("(", (n + 2).cast("string"), ") Gap."), _html("(", (n + 1).cast("string"), ") Late."))
     recital = acts.select("act_id", F.posexplode(F.concat(reasons, odd)).alias("at", "t"))
     rows = blocks.withColumns({"kind": F.regexp_extract("provision_id", r"^(article|annex)_([a-z0-9]+)_block_(\d+)$", 1), "name": F.regexp_extract("provision_id", r"^(article|annex)_([a-z0-9]+)_block_(\d+)$", 2), "n": F.regexp_extract("provision_id", r"_block_(\d+)$", 1)})
-    rows = rows.withColumn("no", F.coalesce(F.regexp_extract("name", r"^\d+", 0).try_cast("int"), G.roman_value(F.col("name"))))
+    rows = written(rows.withColumn("no", F.coalesce(F.regexp_extract("name", r"^\d+", 0).try_cast("int"), G.roman_value(F.col("name")))).select("act_id", "block_id", "text", "classes", "kind", "name", "n", "no"), "blocks")
     line = _html('<p class="', F.array_join(F.array_union(F.array(F.lit("oj-normal")), F.coalesce("classes", F.array().cast("array<string>"))), " "), '" id="b', F.col("block_id").cast("string"), '">', escaped(F.col("text")), "</p>\n")
     parts = {k: rows.where(F.col("kind") == k) for k in ("article", "annex")}
     one = {k: v.select("act_id", "no", "name").distinct() for k, v in parts.items()}
@@ -309,12 +369,12 @@ def page_sections(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""SELECT doc_id, diagnostic, n FROM (SELECT CAST(act_id AS VARCHAR) doc_id, 'recital_candidates' diagnostic, act_id % 4 + 3 n FROM acts UNION ALL SELECT CAST(act_id AS VARCHAR), 'footnotes', count(*) FROM footnotes WHERE act_id IN (SELECT act_id FROM acts) GROUP BY act_id
-    UNION ALL SELECT doc_id, 'articles', count(DISTINCT name) FROM ({_OF('article')}) GROUP BY doc_id UNION ALL SELECT doc_id, 'blocks', count(*) FROM ({_OF('article')} UNION ALL {_OF('annex')}) GROUP BY doc_id)"""
+    UNION ALL SELECT doc_id, 'articles', count(DISTINCT name) FROM ({_OF('article')}) GROUP BY doc_id UNION ALL SELECT doc_id, 'tables', count(DISTINCT name) FROM ({_OF('article')}) GROUP BY doc_id UNION ALL SELECT doc_id, 'subdivisions', count(DISTINCT name) FROM ({_OF('article')}) GROUP BY doc_id)"""
 )
 def page_diagnostics(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of the diagnostic tables by page: recital candidates outside blocks and notes, notes, article headings, blocks."""
+    """Rows of the diagnostic tables by page: recital candidates outside blocks and notes, notes, article headings, tables, subdivisions."""
     parts = S.diagnostics(_parsed(spark, d)[0])
-    kinds = {"recital_candidates": parts["recital_candidates"].where("id is null and tag = 'p' and classes = 'oj-normal'"), "footnotes": parts["footnotes"], "articles": parts["structure"].where("class = 'oj-ti-art'"), "blocks": parts["structure"].where("class = 'oj-normal' and id is not null")}
+    kinds = {"recital_candidates": parts["recital_candidates"].where("id is null and tag = 'p' and classes = 'oj-normal'"), "footnotes": parts["footnotes"], "articles": parts["structure"].where("class = 'oj-ti-art'"), "tables": parts["structure"].where("class = 'oj-table'"), "subdivisions": parts["structure"].where("class = 'eli-subdivision'")}
     out = None
     for name, df in kinds.items():
         one = df.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).withColumn("diagnostic", F.lit(name))

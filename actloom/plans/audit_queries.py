@@ -19,7 +19,7 @@ from actloom.plans.coverage_queries import _ROWS as V_ROWS
 from actloom.plans.coverage_queries import _SIGNS as V_SIGNS
 from actloom.plans.item_queries import items
 from actloom.plans.registry import query, sanchorless, sclean, sfirst, steps, sunquoted, swords, table
-from actloom.runtime import scratch, spread, written
+from actloom.runtime import scratch, written
 
 COLOR = "E67800"
 
@@ -112,7 +112,7 @@ _A, _B = swords(sclean("best_match_text")), swords(sclean("amending_text"))
 
 def _revised(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "amendment_analysis").where("best_match_text is not null and amending_text is not null")
-    return spread(rows.select("analysis_id", "best_match_text", "amending_text")).select("analysis_id", "best_match_text", "amending_text", V.revision_runs(COLOR)("best_match_text", "amending_text").alias("runs"))
+    return rows.select("analysis_id", "best_match_text", "amending_text", V.revision_runs(COLOR)("best_match_text", "amending_text").alias("runs"))
 
 
 @query(f"SELECT analysis_id, {sclean('amending_text')} AS effective FROM amendment_analysis WHERE best_match_text IS NOT NULL AND amending_text IS NOT NULL")
@@ -254,6 +254,17 @@ def docx_text(spark: SparkSession, d: str) -> DataFrame:
     return docx.read_text(_documents(spark, d)).select("doc_id", F.array_join(T.words(F.col("text")), " ").alias("words"))
 
 
+@query("SELECT CAST(act_id AS VARCHAR) AS doc_id, row_number() OVER (PARTITION BY act_id ORDER BY fn_id) AS id, coalesce(nullif(trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')), ''), 'Missing footnote text ' || fn_id) AS body FROM footnotes")
+def docx_footnotes(spark: SparkSession, d: str) -> DataFrame:
+    """Footnotes written into a document of each act, referred to in order of their ids, and read again."""
+    from actloom.sources import docx
+
+    f = table(spark, d, "footnotes").select(F.col("act_id").cast("string").alias("doc_id"), "fn_id", F.trim(F.regexp_replace("text", "[^A-Za-z0-9]+", " ")).alias("body"))
+    run = F.struct(F.concat(F.lit("See [[FN:"), "fn_id", F.lit("]]")).alias("text"), F.lit("equal").alias("kind"), F.lit(False).alias("strike"), F.lit(False).alias("double_underline"), F.lit(None).cast("string").alias("color"))
+    got = docx.read_footnotes(docx.to_files(f.select("doc_id", F.col("fn_id").alias("ord"), F.array(run).alias("runs")), f.select("doc_id", F.col("fn_id").alias("number"), "body")))
+    return got.select("doc_id", F.col("id").cast("bigint").alias("id"), F.regexp_replace("body", r"[\[\]]", "").alias("body"))
+
+
 @query()
 def analysis_documents(spark: SparkSession, d: str) -> DataFrame:
     """The analysis document of each act: a summary line, the closest text and the amendment with its changes marked."""

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from actloom.runtime import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -82,5 +84,10 @@ def query(sql: str | None = None):  # noqa: ANN201
     return add
 
 
+#: tables whose rows take work: read as few tasks, they are spread over the cores
+WORKED = frozenset(("amendment_analysis", "documents", "footnotes", "text_blocks"))
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(df) if name in WORKED else df

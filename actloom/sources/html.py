@@ -2,6 +2,8 @@
 
 ``elements``: doc_id, pos, end_pos, depth, parent_pos, tag, id, classes, text, text_fn, structural_id, table_depth, attrs.
 Element a holds b if a.doc_id = b.doc_id and a.pos < b.pos <= a.end_pos.  One scan, Arrow batches, no shuffle.
+The frames of a page (html, head, the outer legal container) have no text of their own and no operator asks for the text of
+all that stands in them, so theirs is null, and the body has only its plain text: a page is not stored several times over.
 """
 
 from __future__ import annotations
@@ -111,9 +113,10 @@ def elements_of(page: str) -> list[tuple]:
     rows = b.finish()
     classes = [r["attrs"].get("class", "").split() for r in rows]
     parent = [r["parent"] for r in rows]
-    note, ref, struct, tables = ([None] * len(rows) for _ in range(4))
+    note, ref, struct, tables, boxed = ([None] * len(rows) for _ in range(5))
     for i, r in enumerate(rows):
         up = parent[i]
+        boxed[i] = (boxed[up] if up >= 0 else False) or "eli-container" in classes[i]
         note[i] = (note[up] if up >= 0 else False) or "oj-note" in classes[i]
         ref[i] = i if r["tag"] == "sup" or "oj-super" in classes[i] else (ref[up] if up >= 0 else None)
         own = r["attrs"].get("id", "")
@@ -122,10 +125,11 @@ def elements_of(page: str) -> list[tuple]:
         tables[i] = (0 if here else (tables[up] if up >= 0 else 0)) + (r["tag"] == "table")
     out = []
     for i, r in enumerate(rows):
-        stretch = b.pieces[r["start"] : r["stop"]]
-        text = " ".join(t for _, t in stretch)
+        frame = r["tag"] in ("html", "head") or (boxed[i] and not (parent[i] >= 0 and boxed[parent[i]]))
+        stretch = [] if frame else b.pieces[r["start"] : r["stop"]]
+        text = None if frame else " ".join(t for _, t in stretch)
         parts, last = [], None
-        for at, t in stretch:
+        for at, t in stretch if r["tag"] != "body" else ():
             if at >= 0 and note[at] and not note[i]:
                 continue
             mark = ref[at] if at >= 0 else None
@@ -137,7 +141,7 @@ def elements_of(page: str) -> list[tuple]:
                 continue
             parts.append(t)
         above = tables[parent[i]] if parent[i] >= 0 and not STRUCTURAL.match(r["attrs"].get("id", "")) else 0
-        out.append((i, r["end"], r["depth"], parent[i], r["tag"], r["attrs"].get("id"), classes[i], text, " ".join(parts), struct[i], above, list(r["attrs"].items())))
+        out.append((i, r["end"], r["depth"], parent[i], r["tag"], r["attrs"].get("id"), classes[i], text, None if text is None or r["tag"] == "body" else " ".join(parts), struct[i], above, list(r["attrs"].items())))
     return out
 
 

@@ -64,6 +64,39 @@ def test_decode_cascade():
     assert html.decode(b"\x81") == "\x81"
 
 
+def test_frames_hold_no_text_and_nested_containers_do():
+    es = {(r[4], " ".join(r[6])): (r[7], r[8]) for r in html.elements_of('<html><head><title>T</title></head><body><div class="eli-container"><p>a</p><div class="eli-container inner">b<sup>1</sup></div></div></body></html>')}
+    assert es["html", ""] == es["head", ""] == es["div", "eli-container"] == (None, None)
+    assert es["body", ""] == ("a b 1", None) and es["div", "eli-container inner"] == ("b 1", "b [[FN:1]]") and es["title", ""] == ("T", "T")
+
+
+def test_diagnostics(spark):
+    e = html.elements(spark.createDataFrame([("d", PAGE)], "doc_id string, html string"))
+    got = S.diagnostics(e)
+    assert {r.tag for r in got["annex_candidates"].collect()} == {"html", "body", "div", "p"}
+    assert rows(got["structure"].where("class = 'oj-sti-art'").orderBy("n"), "text") == [("Old",), ("Scope",)]
+    assert got["footnotes"].count() == 1 and got["recital_candidates"].where("tag = 'p'").count() >= 5
+    assert all(len(r.text or "") <= 250 for r in got["pre_article"].collect())
+
+
+@pytest.mark.parametrize("width", [1, 3, 50_000])
+def test_order_in_stretches_equals_windows(spark, width):
+    from pyspark.sql import Window
+
+    from actloom.operators import ordered
+
+    rnd = random.Random(width)
+    data = [(k, i, rnd.choice([None, None, f"v{i}"])) for k in ("a", "b") for i in rnd.sample(range(40), 17)] + [("c", 5, None)]
+    df = spark.createDataFrame(data, "k string, o bigint, v string")
+    w = Window.partitionBy("k").orderBy("o")
+    want = df.select("*", F.row_number().over(w).alias("n"), F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("held"), F.lag("v").over(w).alias("before"), F.lead("v").over(w).alias("after"))
+    got = ordered.numbered(df, "k", "o", "n", width)
+    got = ordered.carried(got, "k", "o", F.col("v"), "held", width)
+    got = ordered.neighbour(ordered.neighbour(got, "k", "o", F.col("v"), "before", -1, width), "k", "o", F.col("v"), "after", 1, width)
+    cols = ("k", "o", "v", "n", "held", "before", "after")
+    assert Counter(rows(got, *cols)) == Counter(rows(want, *cols))
+
+
 def test_recital_run_equals_loop(spark):
     rnd = random.Random(2)
     docs, want = [], {}
@@ -301,6 +334,22 @@ def test_docx_roundtrip(spark, tmp_path):
     assert docx.read_text(f).first().text == "a <b> & c new old"
 
 
+def test_docx_footnotes_layout_and_tables(spark):
+    run = lambda t, **k: {"text": t, "kind": "equal", "strike": False, "double_underline": False, "color": None} | k
+    data = docx.write([{"runs": [run("a[[FN:7]] and [[FN:3]], [[FN:9]]")], "left_cm": 1, "first_line_cm": -1}, {"rows": [[[run("h", bold=True)], [run("k")]], [[run("x[[FN:3]]")], [run("")]]]}], {"3": "Third & last", "7": "", "12": "Unused"})
+    assert ["".join(r["text"] for r in p) for p in docx.paragraphs_of(data)] == ["a[[FN:1]] and [[FN:2]], [[FN:9]]", "h", "k", "x[[FN:2]]", ""]
+    assert docx.footnotes_of(data) == [(1, "[Missing footnote text 7]"), (2, "Third & last"), (3, "Unused")]
+    assert docx.footnotes_of(docx.write([[run("plain")]])) == [] and "Third & last" in docx.text_of(data)
+    lines = spark.createDataFrame([("d", 0, [run("x[[FN:5]]")], 2.0, -1.0)], "doc_id string, ord int, runs array<struct<text:string,kind:string,strike:boolean,double_underline:boolean,color:string>>, left_cm double, first_line_cm double")
+    files_ = docx.to_files(lines, spark.createDataFrame([("d", "5", "Body"), ("e", "1", "No document")], "doc_id string, number string, body string"))
+    assert rows(docx.read_footnotes(files_), "doc_id", "id", "body") == [("d", 1, "Body")] and docx.read_paragraphs(files_).first().text == "x[[FN:1]]"
+    import zipfile
+    from io import BytesIO
+
+    xml = zipfile.ZipFile(BytesIO(files_.first().content)).read("word/document.xml").decode()
+    assert '<w:ind w:left="1134" w:hanging="567"/>' in xml
+
+
 def test_report_files(spark, tmp_path):
     df = spark.createDataFrame([("x", None), ("y", 2)], "a string, b int")
     files.write_json(df, str(tmp_path / "j"))
