@@ -361,10 +361,11 @@ def item_pairs(found: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _placed(found: DataFrame, members: DataFrame) -> DataFrame:
-    """(class, grp, id, lo, hi) of the spans that stand in at least two records."""
-    each = found.join(members, "k")
-    several = each.groupBy("class").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
-    return each.join(several, "class", "left_semi").select("class", "grp", "id", "lo", "hi").distinct()
+    """(class, grp, id, lo, hi) of the spans that stand in at least two records: least and greatest record of each class from
+    those of its texts, and only then the texts' records."""
+    ends = members.groupBy("k").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+    several = found.select("class", "k").join(ends, "k").groupBy("class").agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a <> b").select("class")
+    return found.join(several, "class", "left_semi").join(members.select("grp", "id", "k"), "k").select("class", "grp", "id", "lo", "hi")
 
 
 def _copied(members: DataFrame) -> DataFrame:
@@ -375,7 +376,7 @@ def _copied(members: DataFrame) -> DataFrame:
 def _reached(found: DataFrame, members: DataFrame, span: int) -> tuple[DataFrame, Window]:
     """(grp, id, lo, hi, reach): stretches of words lo..hi of each text in order, and the end of those before."""
     order = Window.partitionBy("grp", "id").orderBy("lo", "hi")
-    at = _placed(found, members).select("grp", "id", "lo", (F.col("hi") + span).alias("hi")).distinct()
+    at = _placed(found, members).select("grp", "id", "lo", (F.col("hi") + span).alias("hi"))
     return at.withColumn("reach", F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))), order
 
 
@@ -392,7 +393,7 @@ def shared_words(found: DataFrame, members: DataFrame, span: int = SPAN) -> Data
 def classes(found: DataFrame, members: DataFrame, span: int = SPAN) -> DataFrame:
     """(class, grp, id, first_word, n_words): the compact form of what is shared, each class of passages with its members and
     where they hold it; texts that several records hold as they are form classes of their own."""
-    inside = _placed(found, members).select(F.lower(F.hex("class")).alias("class"), "grp", "id", F.col("lo").alias("first_word"), (F.col("hi") - F.col("lo") + span).alias("n_words"))
+    inside = _placed(found, members).distinct().select(F.lower(F.hex("class")).alias("class"), "grp", "id", F.col("lo").alias("first_word"), (F.col("hi") - F.col("lo") + span).alias("n_words"))
     whole = members.join(_copied(members), "k").select(F.lower(F.hex("k")).alias("class"), "grp", "id", F.lit(0).alias("first_word"), "n_words")
     return inside.unionByName(whole)
 
@@ -405,5 +406,8 @@ def passages(found: DataFrame, members: DataFrame, texts: DataFrame, span: int =
     runs = at.groupBy("grp", "id", "isle").agg(F.min("lo").alias("first_word"), (F.max("hi") - F.min("lo")).cast("int").alias("n_words")).drop("isle")
     whole = members.join(_copied(members), "k").select("grp", "id", F.lit(0).alias("first_word"), "n_words")
     runs = runs.join(whole, ["grp", "id"], "left_anti").select("grp", "id", "first_word", "n_words").unionByName(whole)
-    words = texts.select(F.col("grp").cast("string").alias("grp"), F.col("id").cast("bigint").alias("id"), F.split(F.trim(F.regexp_replace(F.col("text").cast("string"), SPACE, " ")), " ").alias("words")).where("id is not null")
-    return runs.join(words, ["grp", "id"]).select("grp", "id", "first_word", "n_words", F.array_join(F.slice("words", F.col("first_word") + 1, F.col("n_words")), " ").alias("passage"))
+    # where the passages of a text are is small beside it: written, so that Spark broadcasts it if it is small at all
+    places = written(runs.groupBy("grp", "id").agg(F.collect_list(F.struct("first_word", "n_words")).alias("runs")), "span-places")
+    words = texts.select(F.col("grp").cast("string").alias("grp"), F.col("id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null").join(places, ["grp", "id"])
+    words = words.select("grp", "id", F.split(F.trim(F.regexp_replace("text", SPACE, " ")), " ").alias("words"), F.explode("runs").alias("r"))
+    return words.select("grp", "id", "r.first_word", "r.n_words", F.array_join(F.slice("words", F.col("r.first_word") + 1, F.col("r.n_words")), " ").alias("passage"))
