@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from actloom.functions.text import QUOTE, clean, clean_markup, is_bare_marker, unquoted, without_roman
+from actloom.functions.text import QUOTE, clean, clean_markup, is_bare_marker, let, unquoted, without_roman
 
 #: classes of the legal page layout (fixed values)
 LEGAL = ("eli-container", "eli-main-title", "eli-title", "eli-subdivision", "oj-doc-ti", "oj-hd-ti", "oj-hd-date", "oj-hd-lg", "oj-hd-oj", "oj-ti-art", "oj-sti-art", "oj-ti-section-1", "oj-ti-section-2", "oj-normal", "oj-enumeration-spacing", "oj-doc-end", "oj-doc-sep", "oj-final", "oj-signatory")
@@ -29,6 +29,8 @@ INSTRUCTION = "|".join(
         r"\b(?:is|are) deleted\b",
     )
 )
+#: one of these stands in every text that holds a phrase above (fixed values)
+SAYS = ("follow", "inserted as annex", "in accordance", "deleted")
 REPORT_KEY = r'(?i)"(?:missing_unique_tokens|missing_tokens|coverage_ratio|comparison_type|report_type|source_docx|source_html|token_coverage)"\s*:'
 
 
@@ -103,19 +105,28 @@ def is_standalone_marker(text: Column) -> Column:
 
 
 def is_instruction(text: Column) -> Column:
-    t = without_roman(text)
-    return t.rlike(r"^\(\d+\)$") | F.lower(t).rlike(INSTRUCTION)
+    def says(t: Column) -> Column:
+        # plain searches first: few texts are instructions, and the phrases are slow to look for
+        some = F.contains(t, F.lit(SAYS[0]))
+        for w in SAYS[1:]:
+            some = some | F.contains(t, F.lit(w))
+        return F.when(some, t.rlike(INSTRUCTION)).otherwise(F.lit(False)) | t.rlike(r"^\(\d+\)$")
+
+    return let(F.lower(without_roman(text)), says)
 
 
 def amendment_kind(instruction: Column, text: Column) -> Column:
-    i = F.lower(clean(instruction))
+    return let(F.struct(F.lower(clean(instruction)).alias("i"), is_bare_marker(text).alias("bare")), lambda v: _kind(v["i"], v["bare"]))
+
+
+def _kind(i: Column, bare: Column) -> Column:
     return (
         F.when(i == "", "insertion")
         .when(i.rlike(r"\breplaced\s+by\s+the\s+following\b|\b(?:is|are)\s+replaced\b"), "replacement")
         .when(i.rlike(r"\bdeleted\b"), "deletion")
         .when(i.rlike(r"\b(?:is|are)\s+inserted\s+as\s+annex\b"), "insertion")
         .when(i.rlike(rf"\bthe following {_THING}\s+(?:is|are)\s+(?:inserted|added)\b|\bthe following sentence is added\b"), "insertion")
-        .when((clean(text) != "") & is_bare_marker(text), "structural")
+        .when(bare, "structural")
         .otherwise("insertion")
     )
 

@@ -21,6 +21,11 @@ def let(value: Column, body) -> Column:  # noqa: ANN001
     return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
+def once(value: Column) -> Column:
+    """A costly value as a column of its own rows: filters on it are not pushed below it, where it would be computed again."""
+    return F.explode(F.array(value))
+
+
 def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
@@ -65,11 +70,11 @@ def hard_spaces(c: Column) -> Column:
 
 
 def without_anchors(c: Column) -> Column:
-    """Source anchors removed in their three written forms."""
+    """Source anchors removed in their three written forms; texts that name none are only cleaned."""
     t = _sub(_text(c), r"(?iU)\s*\[\[SRC:[^\]]+\]\]")
     t = _sub(t, r"(?i)\bSRC:[A-Za-z0-9_.-]+\b")
     t = _sub(t, r"(?iU)\bsrc\s+art\s+\d+[A-Za-z]?(?:\s+\d+[A-Za-z]?)?\b")
-    return clean(t)
+    return clean(F.when(F.contains(F.lower(_text(c)), F.lit("src")), t).otherwise(c))
 
 
 def without_roman(c: Column) -> Column:
@@ -89,7 +94,7 @@ def marker_tab(c: Column) -> Column:
     t = _sub(F.translate(_text(c), "\u00a0", " "), r"(?U)^\s+|\s+$")
     q = "[‘'\"“”]?"
     for m in (r"\(\d+\)", r"\d+[A-Za-z]?\.", r"(?i:\([a-z]+\))"):
-        t = _sub(t, rf"(?U)^({q}{m})\s+", "$1\t")
+        t = _sub(t, rf"^({q}{m}){WS}+", "$1\t")
     return t
 
 
@@ -102,14 +107,14 @@ def marker_spacing(c: Column, annex: bool = False) -> Column:
     if annex:
         t = _sub(t, r"(?iU)^([a-z]\.|[ivxlcdm]+\.)\s+", "$1\t")
     for m in (r"\d+\.", r"\([a-z]\)", r"(?i:\([ivxlcdm]+\))"):
-        t = _sub(t, rf"(?U)^({m})\s+", "$1\t")
+        t = _sub(t, rf"^({m}){WS}+", "$1\t")
     return t
 
 
 def annex_line(c: Column) -> Column:
     t = marker_spacing(clean(c), True)
     for m in (r"(?i:\([a-z]+\))", r"(?i:[ivxlcdm]+\.)", r"[A-Z]\.", r"\d+[A-Za-z]?\)", r"\d+[A-Za-z]?\."):
-        t = _sub(t, rf"(?U)^({m})\s+", "$1\t")
+        t = _sub(t, rf"^({m}){WS}+", "$1\t")
     return t
 
 
@@ -119,13 +124,13 @@ def without_marker_quote(c: Column) -> Column:
 
 def unquoted(c: Column) -> Column:
     """Outer quotes off, a doubled final stop made one."""
-    t = _sub(_text(c), r"(?U)^\s+|\s+$")
+    t = _sub(_text(c), f"^{WS}+|{WS}+$")
     t = _sub(t, rf"^[{QUOTE}]+")
-    t = _sub(t, r"""(?U)[’"']\s*;?$""")
+    t = _sub(t, rf"""[’"']{WS}*;?$""")
     t = _sub(t, r"""[’"']\.$""", ".")
-    t = _sub(t, r"""(?U)[’"']+\s*;\s*$""")
+    t = _sub(t, rf"""[’"']+{WS}*;{WS}*$""")
     t = _sub(t, r"(?<!\.)\.\.(?!\.)$", ".")
-    return _sub(t, r"(?U)^\s+|\s+$")
+    return _sub(t, f"^{WS}+|{WS}+$")
 
 
 def unquoted_payload(c: Column) -> Column:

@@ -9,6 +9,7 @@ from actloom.functions import classify as C
 from actloom.functions import targets as G
 from actloom.functions import text as X
 from actloom.operators import ordered
+from actloom.runtime import partitions, written
 
 
 def order():  # noqa: ANN201
@@ -40,11 +41,12 @@ def relevant(items: DataFrame, target: Column) -> DataFrame:
 
 def coalesce_markers(items: DataFrame) -> DataFrame:
     """A row that is only a list marker takes the body of the next row, which goes; the body's instruction wins, missing targets are filled from it."""
-    body = F.struct("text", "source_instruction", *TARGETS[:3])
-    marker = X.is_list_marker(F.col("text"))
-    rows = ordered.neighbour(items.withColumn("_m", marker), "doc_id", "item_idx", body, "_after", 1).withColumn("_next", F.when(F.col("_m"), F.col("_after"))).drop("_after")
-    joins = F.col("_m") & F.coalesce((X.clean(F.col("_next.text")) != "") & ~X.is_list_marker(F.col("_next.text")), F.lit(False))
-    rows = ordered.neighbour(rows.withColumn("_joins", joins), "doc_id", "item_idx", F.col("_joins"), "_taken", -1).where("not coalesce(_taken, false)")
+    own_marker = X.is_list_marker(F.col("text"))
+    body = F.struct("text", "source_instruction", *TARGETS[:3], own_marker.alias("m"))
+    rows = ordered.neighbours(items.withColumn("_m", own_marker), "doc_id", "item_idx", body, "_before", "_next")
+    # a marker joins the row after it if that has a text and is none; that row then goes
+    joins = lambda marker, text, other: marker & F.coalesce((X.clean(text) != "") & ~other, F.lit(False))
+    rows = rows.withColumn("_joins", joins(F.col("_m"), F.col("_next.text"), F.col("_next.m"))).withColumn("_taken", F.coalesce(joins(F.col("_before.m"), F.col("text"), F.col("_m")), F.lit(False))).where("not _taken")
     own = F.lower(C.found(X.clean(F.col("text")), r"(?i)^\(([a-z]+)\)$"))
     take = lambda c: F.when(F.col("_joins") & ~_has(c), F.coalesce(F.col(f"_next.{c}"), F.col(c))).otherwise(F.col(c))
     return rows.withColumns(
@@ -55,7 +57,7 @@ def coalesce_markers(items: DataFrame) -> DataFrame:
             "target_paragraph_number": take("target_paragraph_number"),
             "source_instruction": F.when(F.col("_joins") & (F.coalesce(F.col("_next.source_instruction"), F.lit("")) != ""), F.col("_next.source_instruction")).otherwise(F.col("source_instruction")),
         }
-    ).drop("_m", "_next", "_joins", "_taken")
+    ).drop("_m", "_before", "_next", "_joins", "_taken")
 
 
 _SCAFFOLD = r"(?i)^\([ivxlcdm]+\) +(?=\([a-z]+\)|in\s+the\b|the\s+following\b|paragraph\b|point\b|Article\b)"
@@ -78,7 +80,7 @@ def normalize(items: DataFrame) -> DataFrame:
     rows = items.withColumn("amendment_kind", kind).withColumn("_i", X.clean(F.col("source_instruction"))).withColumn("_p", X.clean(F.col("target_point_marker")))
     deletes = F.col("amendment_kind") == "deletion"
     text = F.when(deletes, X.clean(F.when(_has("text"), F.col("text")).otherwise(F.col("source_instruction")))).otherwise(item_text(F.col("text")))
-    rows = rows.withColumn("text", text)
+    rows = rows.withColumn("text", X.once(text))
     heading = F.col("text").rlike(r"(?i)^[IVXLC]+\.$") & F.col("_i").rlike(r"(?i)\bin\s+Annex\b") & F.col("_i").rlike(REPLACED)
     rows = rows.withColumn("text", F.when(heading, "").otherwise(F.col("text")))
     named = F.lower(F.col("_p")) == G.point(F.col("_i"))
@@ -86,6 +88,7 @@ def normalize(items: DataFrame) -> DataFrame:
     added = F.col("_i").rlike(r"(?i)\bthe following points?\s+(?:is|are)\s+(?:added|inserted)\b")
     prefix = (F.col("_p") != "") & (F.col("text") != "") & ~deletes & (named | added) & C.point_marker(F.col("text")).isNull()
     rows = rows.withColumn("text", F.when(prefix, F.concat(F.lit("("), F.col("_p"), F.lit(")\t"), F.col("text"))).otherwise(F.col("text")))
+    rows = rows.withColumn("text", X.once(F.col("text")))
     return rows.where((F.col("text") != "") | deletes).drop("_i", "_p")
 
 
@@ -134,7 +137,8 @@ def replacement_targets(items: DataFrame) -> DataFrame:
 def identify(items: DataFrame, target: Column | None = None) -> DataFrame:
     """The whole chain in its order: relevance, markers, payload, backfill, replacement targets."""
     rows = relevant(items, target) if target is not None else items
-    return replacement_targets(backfill(normalize(coalesce_markers(rows))))
+    # a payload takes many searches, so the rows are spread before, whatever is left of the partitions of the windows
+    return replacement_targets(backfill(written(normalize(coalesce_markers(rows).repartition(partitions(items.sparkSession))), "items")))
 
 
 def insertion_runs(items: DataFrame) -> DataFrame:

@@ -45,16 +45,16 @@ class Context:
 
 def described(lines: DataFrame) -> DataFrame:
     """``lines`` (doc_id, article_number, article_heading, pos, text, in_table, near_article) with what each line says."""
-    t = X.clean(F.col("text"))
+    lines = lines.withColumn("text", X.once(X.clean(F.col("text")))).where(F.col("text") != "").withColumn("payload", X.once(item_text(F.col("text"))))
+    t, payload = F.col("text"), F.col("payload")
     i = F.lower(t)
-    payload = item_text(t)
-    return lines.where((t != "") & ~C.is_report_fragment(t)).select(
+    return lines.where(~C.is_report_fragment(t)).select(
         "doc_id", "article_number", "article_heading", "pos", "in_table", t.alias("line"), C.is_instruction(t).alias("instructs"), t.rlike(r"^\(\d+\)$").alias("numbers"),
         i.rlike(r"\bthe following points?\s+(?:is|are)\s+(?:added|inserted)\b").alias("adds_point"), i.rlike(r"\bthe following articles?\s+(?:is|are)\s+(?:inserted|added)\b").alias("adds_article"),
         i.rlike(r"\bthe following articles?\s+(?:is|are)\s+inserted\b").alias("inserts_article"), i.rlike(r"\bannex\s+[ivxlc0-9]+\b").alias("names_annex"),
         i.rlike(r"\b(?:point|points|introductory wording|sentence|subparagraph)\b").alias("relative"), i.rlike(r"\b(?:is|are)\s+deleted\b").alias("deletes"), i.rlike(r"\breplaced by the following\b").alias("replaces"),
         G.article(t).alias("art"), G.paragraph(t).alias("par"), G.point(t).alias("pt"), G.all_points(t).alias("pts"), G.annex(t).alias("ann"), G.annex_point(t).alias("ann_pt"),
-        F.coalesce(G.inserted_article(t), F.lower("near_article")).alias("new_article"), F.lower(C.found(X.without_marker_quote(X.unquoted(t)), r"(?i)^\(([a-z]+)\)$")).alias("lone"), payload.alias("payload"),
+        F.coalesce(G.inserted_article(t), F.lower("near_article")).alias("new_article"), F.lower(C.found(X.without_marker_quote(X.unquoted(t)), r"(?i)^\(([a-z]+)\)$")).alias("lone"), "payload",
         C.paragraph_marker(payload).alias("p_marker"), C.point_marker(payload).alias("pt_marker"),
     )
 
@@ -101,13 +101,11 @@ def fold(pdf: pd.DataFrame) -> pd.DataFrame:
     for r in pdf.sort_values("pos").itertuples(index=False):
         head = (r.doc_id, r.article_number, r.article_heading, r.pos)
         if r.instructs:
-            before = (c.article, c.paragraph)
             gone = _instruct(c, r)
             for n, pt in enumerate(gone):
                 out.append((*head, n, r.line, "deletion", c.article, c.paragraph, pt, c.annex, c.annex_point, c.inserted, r.line))
             if r.deletes and not r.numbers:
                 c.paragraph = None
-            del before
             continue
         own = c.instruction
         replaces = own is not None and own.replaces

@@ -2,7 +2,7 @@
 
 A group's rows are cut into stretches of ``width`` of their order key (whole numbers, unique in the group), so no window
 holds more than ``width`` rows; what passes from one stretch to the next is one row a stretch, joined back on the stretch,
-where the rows already are.
+where the rows already are.  The rows are read twice, so what they are made of should be a scan or a written table.
 """
 
 from __future__ import annotations
@@ -35,12 +35,13 @@ def carried(df: DataFrame, key: str, order: str, value: Column, name: str, width
     return rows.join(held, [key, "_b"]).withColumn(name, F.coalesce("_in", "_held")).drop("_b", "_v", "_in", "_held")
 
 
-def neighbour(df: DataFrame, key: str, order: str, value: Column, name: str, step: int, width: int = WIDTH) -> DataFrame:
-    """``df`` with the value of the row before (``step`` -1) or after (1) each in its group as ``name``; null at the ends."""
+def neighbours(df: DataFrame, key: str, order: str, value: Column, before: str, after: str, width: int = WIDTH) -> DataFrame:
+    """``df`` with the value of the row before and of the row after each in its group; null at the ends."""
     rows = _cut(df, order, width).withColumn("_v", F.struct(value.alias("v")))
-    inside = F.lag("_v", -step).over(Window.partitionBy(key, "_b").orderBy(order))
-    rows = rows.withColumn("_in", inside)
-    edge = rows.groupBy(key, "_b").agg((F.max_by if step < 0 else F.min_by)("_v", order).alias("_edge"))
-    held = edge.select(key, "_b", F.lag("_edge", -step).over(Window.partitionBy(key).orderBy("_b")).alias("_held"))
-    got = rows.join(held, [key, "_b"]).withColumn("_w", F.coalesce("_in", "_held"))
-    return got.withColumn(name, F.col("_w.v")).drop("_b", "_v", "_in", "_held", "_w")
+    w = Window.partitionBy(key, "_b").orderBy(order)
+    rows = rows.withColumns({"_lag": F.lag("_v").over(w), "_lead": F.lead("_v").over(w)})
+    edge = rows.groupBy(key, "_b").agg(F.min_by("_v", order).alias("_first"), F.max_by("_v", order).alias("_last"))
+    w = Window.partitionBy(key).orderBy("_b")
+    held = edge.select(key, "_b", F.lag("_last").over(w).alias("_behind"), F.lead("_first").over(w).alias("_ahead"))
+    got = rows.join(held, [key, "_b"])
+    return got.withColumns({before: F.coalesce("_lag", "_behind")["v"], after: F.coalesce("_lead", "_ahead")["v"]}).drop("_b", "_v", "_lag", "_lead", "_behind", "_ahead")

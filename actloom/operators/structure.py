@@ -43,8 +43,8 @@ def legal_root(elements: DataFrame) -> DataFrame:
 
 def legal_stream(elements: DataFrame, root: DataFrame) -> DataFrame:
     """Legal elements below the root in document order with their 1-based place ``i`` and markup text ``t``."""
-    below = elements.join(root, "doc_id").where("pos > root_pos and pos <= root_end").withColumn("t", X.clean_markup(F.col("text")))
-    kept = below.where(C.is_legal_element(F.col("classes")) & C.is_emitted(F.col("classes")) & ((F.col("t") != "") | has(*C.TABLE)))
+    below = elements.where(C.is_legal_element(F.col("classes")) & C.is_emitted(F.col("classes"))).join(root, "doc_id").where("pos > root_pos and pos <= root_end")
+    kept = below.withColumn("t", X.once(X.clean_markup(F.col("text")))).where((F.col("t") != "") | has(*C.TABLE))
     return kept.withColumn("i", F.row_number().over(order()))
 
 

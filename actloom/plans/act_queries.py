@@ -15,7 +15,7 @@ from actloom.operators import ranges as R
 from actloom.operators import structure as S
 from actloom.plans import line_queries as L
 from actloom.plans.registry import query, sclean, sfirst, steps, table
-from actloom.runtime import written
+from actloom.runtime import spread, written
 from actloom.sources import html
 
 
@@ -261,7 +261,7 @@ def pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    e = written(html.elements(pages(spark, d)), "elements")
+    e = spread(written(html.elements(spread(written(pages(spark, d), "pages"))), "elements"))
     root = S.legal_root(e)
     return e, root, S.legal_stream(e, root)
 

@@ -18,7 +18,7 @@ from actloom.plans.coverage_queries import _NOISE as V_NOISE
 from actloom.plans.coverage_queries import _ROWS as V_ROWS
 from actloom.plans.coverage_queries import _SIGNS as V_SIGNS
 from actloom.plans.item_queries import items
-from actloom.plans.registry import query, sanchorless, sclean, sfirst, steps, sunquoted, swords, table
+from actloom.plans.registry import WS, query, sanchorless, sclean, sfirst, steps, sunquoted, swords, table
 from actloom.runtime import scratch, written
 
 COLOR = "E67800"
@@ -85,7 +85,7 @@ def consolidated_acts(spark: SparkSession, d: str) -> DataFrame:
 
     got = consolidate(act_lines(spark, d), _fronts(spark, d), COLOR)
     lines = got["paragraphs"]
-    return lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.exists("runs", lambda r: r["kind"] == "insert").cast("bigint")).alias("inserted"), F.sum(F.exists("runs", lambda r: r["kind"] == "delete").cast("bigint")).alias("struck"))
+    return lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"), F.sum(C.has_inserted_style(F.col("runs")).cast("bigint")).alias("inserted"), F.sum(F.exists("runs", lambda r: r["kind"] == "delete").cast("bigint")).alias("struck"))
 
 
 @query()
@@ -121,6 +121,44 @@ def effective_text(spark: SparkSession, d: str) -> DataFrame:
     return _revised(spark, d).select("analysis_id", C.effective_text(F.col("runs")).alias("effective"))
 
 
+_BARE = lambda c: rf"regexp_replace(coalesce({c}, ''), '(?:{WS}|[\x{{27}}\x{{22}}“”‘’`´])+', '', 'g')"
+_QUOTED = "translate(amending_text, chr(8216) || chr(8217) || chr(8220) || chr(8221) || chr(39), repeat(chr(34), 5))"
+
+
+@query(f"SELECT analysis_id, coalesce(best_match_text, '') <> '' AND coalesce(amending_text, '') <> '' AND {_BARE('best_match_text')} = {_BARE('amending_text')} AS same, coalesce(amending_text, '') <> '' AND {_BARE('amending_text')} = {_BARE(_QUOTED)} AS requoted FROM amendment_analysis")
+def quote_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Whether match and amendment, and the amendment and itself in other quotes, differ in quotes and spaces only."""
+    a, b = F.col("best_match_text"), F.col("amending_text")
+    return table(spark, d, "amendment_analysis").select("analysis_id", X.is_quote_change(a, b).alias("same"), X.is_quote_change(b, F.translate(b, "‘’“”'", '"' * 5)).alias("requoted"))
+
+
+_LINE = "CASE WHEN analysis_id % 3 = 0 THEN amending_text ELSE best_match_text END"
+
+
+@query(f"SELECT CAST(act_id AS VARCHAR) AS doc_id, analysis_id AS ord FROM (SELECT act_id, analysis_id, {sclean(_LINE)} t FROM amendment_analysis) a WHERE t <> '' AND EXISTS (SELECT 1 FROM amendment_analysis b WHERE b.act_id = a.act_id AND {sclean('b.amending_text')} = t)")
+def retrofitted(spark: SparkSession, d: str) -> DataFrame:
+    """Matched texts of an act that an amendment of the act inserts as they are."""
+    a = table(spark, d, "amendment_analysis").withColumn("doc_id", F.col("act_id").cast("string"))
+    # a third of the lines are amendments themselves, as they stand in an act that has been amended
+    line = F.when(F.col("analysis_id") % 3 == 0, F.concat(F.lit(" "), "amending_text")).otherwise(F.col("best_match_text"))
+    lines = a.select("doc_id", F.col("analysis_id").alias("ord"), line.alias("text")).where("text is not null")
+    return H.retrofit(lines, a.select("doc_id", "amending_text")).select("doc_id", "ord")
+
+
+_LABEL = "target_annex_number || CASE WHEN act_id % 2 = 0 THEN 'A' ELSE '' END"
+
+
+@query(f"""WITH w AS (SELECT DISTINCT act_id, upper({_LABEL}) AS label FROM amendment_analysis WHERE target_annex_number IS NOT NULL), h AS (SELECT DISTINCT act_id, upper(regexp_extract(provision_id, '^annex_([a-z]+)_block', 1)) AS label FROM text_blocks WHERE text IS NOT NULL AND regexp_matches(provision_id, '^annex_[a-z]+_block'))
+  SELECT CAST(w.act_id AS VARCHAR) AS doc_id, w.label, h.label IS NOT NULL AS present, true AS in_order FROM w LEFT JOIN h ON h.act_id = w.act_id AND h.label = w.label""")
+def annex_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the annexes that items aim at stand in their act, those of every other act with a letter behind the numeral."""
+    from actloom.plans.act_queries import act_lines
+
+    label = F.concat("target_annex_number", F.when(F.col("act_id") % 2 == 0, "A").otherwise(""))
+    todo = table(spark, d, "amendment_analysis").where("target_annex_number is not null").select(F.col("act_id").cast("string").alias("doc_id"), F.concat(F.lit("The text is inserted as Annex "), label).alias("source_instruction"))
+    return H.annex_checks(todo, act_lines(spark, d))
+
+
 @query()
 def revision_runs(spark: SparkSession, d: str) -> DataFrame:
     kind = lambda k: F.size(F.filter("runs", lambda r: r["kind"] == k))

@@ -141,6 +141,11 @@ _WORDLIKE = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200c}\x{200d}\x{24b6}-\x{24e9}"
 _PIECE = rf"\[\[FN:\d+\]\]|\[\[SRC:[^\]]+\]\]|\([A-Za-z0-9]+\)|[A-Za-z0-9]+(?:[''-][A-Za-z0-9]+)?|{WS}+|[^{_WORDLIKE}{WS[1:-1]}]"
 
 
+@query(f"SELECT doc_id, list_slice({swords('text')}, 1, 30) AS tokens FROM documents")
+def tokens_first(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", T.first_tokens(F.col("text")).alias("tokens"))
+
+
 @query(rf"""SELECT block_id, len(p) AS n, list_transform(p, lambda x: CASE WHEN regexp_full_match(x, '[A-Za-z0-9]+(?:[''-][A-Za-z0-9]+)?') THEN lower(x) ELSE x END) AS keys, array_to_string(p, '') = t AS lossless
   FROM (SELECT block_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '{_PIECE}') p FROM text_blocks)""")
 def tokens_with_punctuation(spark: SparkSession, d: str) -> DataFrame:

@@ -92,7 +92,7 @@ def test_order_in_stretches_equals_windows(spark, width):
     want = df.select("*", F.row_number().over(w).alias("n"), F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("held"), F.lag("v").over(w).alias("before"), F.lead("v").over(w).alias("after"))
     got = ordered.numbered(df, "k", "o", "n", width)
     got = ordered.carried(got, "k", "o", F.col("v"), "held", width)
-    got = ordered.neighbour(ordered.neighbour(got, "k", "o", F.col("v"), "before", -1, width), "k", "o", F.col("v"), "after", 1, width)
+    got = ordered.neighbours(got, "k", "o", F.col("v"), "before", "after", width)
     cols = ("k", "o", "v", "n", "held", "before", "after")
     assert Counter(rows(got, *cols)) == Counter(rows(want, *cols))
 
