@@ -497,6 +497,48 @@ def test_expert_levels_are_checked_by_the_exact_rule(spark, tmp_path):
     assert {r[0] for r in rows(queries.p8_found(spark, str(tmp_path)))} == {*range(1, 300, 2), 1000}
 
 
+# nothing, clashing names, long texts
+
+
+def test_of_nothing_comes_nothing(spark):
+    none = spark.createDataFrame([], "grp string, id bigint, text string, doc_id bigint, lang string, source string")
+    assert format_dups.format_duplicates(format_dups.as_records(none, "id", ["text"]), ["text"]).count() == 0
+    assert format_dups.collapse(format_dups.as_records(none, "id", ["text"]), ["text"]).count() == 0
+    assert lookalike.lookalike_sets(none.withColumnRenamed("grp", "tbl")).count() == lookalike.consistent_text(none, "text", "form").count() == 0
+    assert near_dups.classes(*near_dups.near_links(none)).count() == 0
+    found, members = shared_spans.occurrences(none)
+    assert shared_spans.shared_words(found, members).count() == shared_spans.passages(found, members, none).count() == shared_spans.classes(found, members).count() == 0
+    assert tokens.token_lengths(none, "doc_id", "text", ("source",)).count() == 0
+    scored, model = reading.levels(none, spark.createDataFrame([(1, "r", 3)], "doc_id bigint, annotator string, grade int"))
+    assert scored.count() == 0 and model.weights is None
+
+
+def test_columns_of_other_meaning_and_null_columns(spark):
+    docs = spark.createDataFrame([(1, "Ein Text.", "k", 5, "w"), (2, None, None, None, None)], "doc_id bigint, text string, level string, n_words int, word string")
+    got = {r.id: (r.k0, r.n_words, r.level) for r in reading.levels(docs, spark.createDataFrame([(1, "r", 2)], "doc_id bigint, annotator string, grade int"), ("word",))[0].collect()}
+    assert got[1][:2] == ("w", 2) and got[2] == (None, 0, None)
+    lengths = spark.createDataFrame([(1, "a", 10, 7), (2, "a", 10, 7), (3, None, 10, 7)], "id bigint, source string, n_tokens bigint, offset int")
+    targets = spark.createDataFrame([("m", "a", 1.0, 2), ("m", None, 0.5, 1), (None, "a", 1.0, 1), ("n", "a", None, None)], "mix_name string, source string, target_share double, max_repeats int")
+    chosen, slots = mixing.mix(lengths, targets)
+    assert sorted((r.mix_name, r.id, r.repeats, r.first_slot) for r in chosen.collect()) == [("m", 1, 2, 0), ("m", 2, 2, 0)]
+    assert mixing.schedule(chosen, slots).count() == 4
+    packed = packing.pack(spark.createDataFrame([(1, 5, "x", 9), (None, 5, "x", 9), (1, 5, "x", 9)], "id bigint, n_tokens bigint, bin string, pack int"), [("p", 10)])
+    assert packed.count() == 3 and packed.select("container").distinct().count() == 2
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"w{i % 5000}" for i in range(60_000))
+    items = spark.createDataFrame([("g", 1, long), ("g", 2, long + " end"), ("g", 3, "x " + long[:200_000])], "grp string, id bigint, text string")
+    links, members = near_dups.near_links(items, 0.9, 20)
+    assert set(rows(near_dups.expanded(links, members))) == {("g", 1, 2)}
+    found, members = shared_spans.occurrences(items)
+    assert set(rows(shared_spans.item_pairs(found, members))) == {(1, 2), (1, 3), (2, 3)}
+    share = {r.id: r.shared_words for r in shared_spans.shared_words(found, members).collect()}
+    assert share[1] == 60_000 and share[2] == 60_000
+    assert lookalike.consistent(pa.array(["é" * 100_000])).to_pylist() == ["é" * 100_000]
+    assert format_dups.same_runs("a b" * 50_000, "A-B" * 50_000)
+
+
 # all queries
 
 
