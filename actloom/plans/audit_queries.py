@@ -354,10 +354,10 @@ def encodings(spark: SparkSession, d: str) -> DataFrame:
     return html.decoded(t.select(F.col("block_id").cast("string").alias("doc_id"), raw.alias("content"))).select(F.col("doc_id").cast("bigint").alias("id"), "html")
 
 
-@query(f"SELECT date_trunc('day', loaded_at) AS day, {L._KIND} AS kind, count(*) AS n FROM (SELECT loaded_at, lower({sclean('source_instruction')}) i, {sclean('amending_text')} t FROM amendment_analysis WHERE loaded_at IS NOT NULL) GROUP BY ALL")
+@query(f"SELECT strftime(date_trunc('day', loaded_at), '%Y-%m-%d') AS day, {L._KIND} AS kind, count(*) AS n FROM (SELECT loaded_at, lower({sclean('source_instruction')}) i, {sclean('amending_text')} t FROM amendment_analysis WHERE loaded_at IS NOT NULL) GROUP BY ALL")
 def arrivals(spark: SparkSession, d: str) -> DataFrame:
     """Items by day of arrival and kind, as the stream's aggregate gives them over a table at rest."""
     from actloom.streaming import layers
 
     a = table(spark, d, "amendment_analysis").withColumn("text", F.col("amending_text"))
-    return layers.arrivals(a).select(F.col("start").alias("day"), "kind", "n")
+    return layers.arrivals(a).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "kind", "n")
