@@ -306,7 +306,13 @@ def footnotes(spark: SparkSession, d: str) -> DataFrame:
     return S.footnotes(e, root)
 
 
-@query()
+_BODIES = steps(
+    "SELECT act_id, coalesce(pos, 0) pos, fn_id, marker, text FROM footnotes WHERE act_id IN (SELECT act_id FROM acts)", ("c", sclean("concat_ws(' ', marker, text)")), ("number", sfirst("c", r"^\(?\s*(\d+)")),
+    ("rest", sclean(r"regexp_replace(c, '^\(?\s*\d+\s*\)?\s*', '')")), ("body", r"regexp_replace(regexp_replace(rest, '(\d) ([)\].,;:!?])', '\1\2', 'g'), '\( (OJ\b)', '(\1', 'g')"),
+)
+
+
+@query(f"SELECT CAST(act_id AS VARCHAR) AS doc_id, number, arg_max(body, struct_pack(p := pos, f := fn_id)) AS body FROM ({_BODIES}) WHERE number IS NOT NULL GROUP BY act_id, number")
 def footnote_bodies(spark: SparkSession, d: str) -> DataFrame:
     return S.footnote_bodies(_parsed(spark, d)[0])
 
