@@ -41,12 +41,13 @@ def amending_lines(elements: DataFrame) -> DataFrame:
     return lines.select("doc_id", "article_number", F.coalesce("article_heading", F.lit("")).alias("article_heading"), F.col("p").alias("pos"), "text", "in_table", "near_article")
 
 
-def consolidate(paragraphs: DataFrame, amending: DataFrame, color: str, target: str | None = None, require_full: bool = False, infer_target: bool = False) -> dict[str, DataFrame]:
+def consolidate(paragraphs: DataFrame, amending: DataFrame, color: str, target: str | None = None, require_full: bool = False, infer_target: bool = False, matches: bool = True) -> dict[str, DataFrame]:
     """One layer: ``paragraphs`` (doc_id, ord, text and optionally runs) of acts revised by the ``amending`` pages (doc_id of the act, html).
 
     In order: title and recitals, entry into force and closing lines, annexes, items; then proofs and the one-go check.
     Of several acts amended by one page only the items of the ``target`` are taken; with ``infer_target`` it is the first
     number each act names in its opening.  With ``require_full`` an operation without its preconditions, or a document not applied in one go, is an error.
+    Without ``matches`` the analysis lacks the best match of each item (see :func:`apply.apply_layer`).
     """
     e = written(html.elements(amending), "elements")
     title, numbered = S.titles(e, S.legal_root(e)).where(F.col("title") != S.UNTITLED).select("doc_id", F.col("title").alias("text")), P.recitals(e).select("doc_id", "pos", "text")
@@ -58,7 +59,7 @@ def consolidate(paragraphs: DataFrame, amending: DataFrame, color: str, target:
     if infer_target and not target:
         raw = raw.join(amendments.target_regulation(paragraphs), "doc_id", "left")
     items = written(amendments.identify(raw, F.lit(target) if target else F.col("target") if infer_target else None), "items")
-    result = written(apply.apply_layer(lines, items, color), "layer")
+    result = written(apply.apply_layer(lines, items, color, matches), "layer")
     done = result.where("part = 'item'")
     out = {"items": items, "paragraphs": apply.next_layer(result), "analysis": done, "proofs": checks.operation_proofs(done), "one_go": checks.one_go(done.withColumn("article_number", F.lit(None).cast("string")), apply.next_layer(result).select("doc_id", "ord", "text"))}
     checks.gate(out["proofs"], out["one_go"], not require_full)
