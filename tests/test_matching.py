@@ -60,3 +60,27 @@ def test_a_layer_without_matches_differs_in_nothing_else(spark):
     shown = lambda rows: [[v for c, v in r.asDict(True).items() if not c.startswith("best_")] for r in sorted(rows, key=key)]
     assert shown(whole) == shown(bare) and len({r.applied_mode for r in whole if r.part == "item"}) >= 3
     assert all(r.best_match_index is None for r in bare) and any(r.best_match_score for r in whole if r.part == "item")
+
+
+def test_ordered_words_and_sections_in_one_pass(spark):
+    rnd = random.Random(9)
+    words = lambda n: [rnd.choice("abcde") for _ in range(n)]
+    lines = [(d, i, s, s.lower() if s else None, " ".join(words(rnd.randint(0, 30)))) for d in ("x", "y") for i in range(20) for s in [f"{i // 5}"]]
+    probes = [(d, n, words(rnd.choice([0, 1, 3, 7, 9, 40]))) for n, d in enumerate(["x", "y", "z"] * 30)]
+    p = spark.createDataFrame(probes, "doc_id string, item_idx bigint, probe array<string>")
+    df = spark.createDataFrame([(d, i, s, int(s) * 5, t) for d, i, s, _, t in lines], "doc_id string, ord bigint, article string, start bigint, text string")
+    of = lambda d, s=None: [w for x, _, a, _, t in lines if x == d and s in (None, a) for w in t.split()]
+
+    def ordered(hay, needle):
+        it = iter(hay)
+        return bool(needle) and all(w in it for w in needle)
+
+    assert {r.item_idx for r in checks.in_order(p, df).collect()} == {n for d, n, q in probes if ordered(of(d), q)}
+    want = {}
+    for d, n, q in probes:
+        for s in {a for x, _, a, _, _ in lines if x == d}:
+            hay, k = of(d, s), min(checks.KEY, len(q))
+            got = [next((m for m in range(len(q) + 1) if m == len(q) or i + m >= len(hay) or hay[i + m] != q[m]), 0) for i in range(len(hay))]
+            if q and max(got, default=0) >= k:
+                want[n, s] = max(got)
+    assert {(r.item_idx, r.article): r.matched for r in checks.section_matches(p, df).collect()} == want
