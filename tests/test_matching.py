@@ -40,6 +40,43 @@ def test_many_texts_are_not_compared_pair_by_pair(monkeypatch):
     assert apply.best_match(texts, amend) == want
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_bounds_of_matching_characters_hold_and_matches_stay_those_of_difflib(monkeypatch, seed):
+    for name, value in (("ALL", 0), ("FEW", 0), ("FIRST", (1, 2)), *((("MET", 5), ("MET_PLACES", 9), ("BLOCK_CHARS", 900), ("ORDERED", 1)) if seed % 2 else ())):
+        monkeypatch.setattr(matching, name, value)
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choices("etaoinshr", k=rnd.randint(1, 6)) + rnd.choices("xzqéж", k=rnd.choice([0, 0, 1])))
+    words = [word() for _ in range(rnd.choice([8, 60]))]
+    text = lambda n: " ".join(rnd.choices(words, k=n))
+    texts = [text(rnd.randint(0, 70)) for _ in range(25)]
+    amends = [text(rnd.choice([5, 60, 140, 400])) for _ in range(6)] + [texts[3][:60] + text(60) + texts[9][-50:], "e" * 300]
+    assert matching.Lines(texts).best(amends) == [plain(texts, a) for a in amends]
+    own = [t for t in dict.fromkeys(texts) if t]
+    block, every = matching._Block(own), [matching.Amendment(a) for a in amends]
+    for most, got in zip(block.ceilings(every), block.matched([(b, matching.np.arange(len(own))) for b in every]), strict=True):
+        assert (most >= got).all()
+
+
+def test_texts_that_cannot_be_best_are_not_compared(monkeypatch):
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("etaoinshr", k=rnd.randint(2, 6))) + rnd.choice(["", "", "x", "q", "zk"]) for _ in range(300)]
+    texts = [" ".join(rnd.choices(words, k=40)) for _ in range(300)]
+    amend = " ".join(rnd.choices(words, k=30)) + texts[77][40:150] + " ".join(rnd.choices(words, k=30))
+    compared, matched = [], matching._Block.matched
+    monkeypatch.setattr(matching._Block, "matched", lambda self, pairs: compared.extend(len(x[-1]) for x in pairs) or matched(self, pairs))
+    assert matching.Lines(texts).best([amend]) == [plain(texts, amend)]
+    assert sum(compared) < 100
+
+
+def test_the_resolved_items_of_a_layer_are_made_once(spark, data, monkeypatch):
+    from actloom.plans import audit_queries
+
+    labels = []
+    monkeypatch.setattr(audit_queries, "written", lambda df, label="t": labels.append(label) or df)
+    audit_queries.applied(spark, data)
+    assert labels == ["todo"]
+
+
 def test_a_layer_without_matches_differs_in_nothing_else(spark):
     rnd = random.Random(8)
     word = lambda: rnd.choice("Member States shall ensure that goods of every kind are listed in time".split())
