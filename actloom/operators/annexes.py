@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from actloom.functions import classify as C
 from actloom.functions import text as X
 from actloom.operators import preamble, revise
 from actloom.operators.structure import has
+from actloom.runtime import partitions, written
 
 T = "text_fn"
 
@@ -126,35 +130,48 @@ def _run(text: str, kind: str, color: str | None) -> dict:
     return {"text": text, "kind": kind, "strike": kind == "delete", "double_underline": kind == "insert", "color": color}
 
 
-def _change(color: str):
-    def run(key: tuple, pdf_old: pd.DataFrame, pdf_new: pd.DataFrame) -> pd.DataFrame:
-        doc, label = key
-        names = [c.split()[0] for c in CHANGED.replace(revise.RUNS, "x").split(", ")]
-        if not len(pdf_new):
-            return pd.DataFrame(columns=names)
-        new = pdf_new.sort_values("ord")
-        rows: list[tuple] = []
-        if len(pdf_old):
-            old = pdf_old.sort_values("ord")
-            held = dict(zip(old["ord"], old["runs"], strict=True))
-            for n, r in enumerate(revise.align(old, new).itertuples(index=False)):
-                anchor = None if pd.isna(r.anchor) else int(r.anchor)
-                kept = [dict(x) for x in held[anchor]] if anchor in held and held[anchor] is not None and len(held[anchor]) else [_run(r.old or "", "equal", None)]
-                if r.action == "equal":
-                    text, runs = r.old, kept
-                elif r.action == "delete":
-                    text, runs = "", [x | {"strike": True, "color": color, "kind": "delete"} for x in kept]
-                elif r.action == "insert":
-                    text, runs = r.new, [_run(r.new, "insert", color)]
-                else:
-                    text, runs = r.new, [x for x in kept if x["strike"]] + revise.revision(r.old, r.new, color)
-                # an insertion goes before its anchor
-                rows.append((doc, label, anchor, n if r.action == "insert" else 10**6 + n, text, runs, None, None))
+SENT = 4096  # lines that are sent on together
+
+
+def _changed(doc: str, label: str, old: list[tuple], new: list[tuple], color: str) -> Iterator[tuple]:
+    """The lines of one annex, from those that stand and the new ones (ord, text, kind, value, runs)."""
+    if not old:
+        lines = [r[1] for r in new]
+        for n, (t, at) in enumerate(zip(lines, [(0, 0), *levels(lines[1:])], strict=True)):
+            yield doc, label, None, n, t, [_run(t, "insert", color)], *at
+        return
+    held = {r[0]: r[4] for r in old}
+    for n, (action, anchor, was, text) in enumerate(revise.actions([r[:4] for r in old], [r[:4] for r in new])):
+        kept = [dict(x) for x in held[anchor]] if held.get(anchor) else [_run(was or "", "equal", None)]
+        if action == "equal":
+            text, runs = was, kept
+        elif action == "delete":
+            text, runs = "", [x | {"strike": True, "color": color, "kind": "delete"} for x in kept]
+        elif action == "insert":
+            runs = [_run(text, "insert", color)]
         else:
-            lines = list(new["text"])
-            at = [(0, 0), *levels(lines[1:])]
-            rows = [(doc, label, None, n, t, [_run(t, "insert", color)], *at[n]) for n, t in enumerate(lines)]
-        return pd.DataFrame(rows, columns=names).astype({"anchor": "Int64", "left_cm": "Int64", "first_line_cm": "Int64"})
+            runs = [x for x in kept if x["strike"]] + revise.revision(was, text, color)
+        # an insertion goes before its anchor
+        yield doc, label, anchor, n if action == "insert" else 10**6 + n, text, runs, None, None
+
+
+def _change(color: str, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The lines of many annexes, one annex behind the other, those that stand before the new ones."""
+    batch = lambda out: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [()] * len(schema), schema, strict=True)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*[b.column(c).to_pylist() for c in ("doc_id", "label", "side", "ord", "text", "kind", "value", "runs")], strict=True))
+        out: list[tuple] = []
+        for (doc, label), own in groupby(rows, lambda r: r[:2]):
+            sides: tuple[list, list] = ([], [])
+            for r in own:
+                sides[r[2]].append(r[3:])
+            for got in _changed(doc, label, *sides, color) if sides[1] else ():
+                out.append(got)
+                if len(out) >= SENT:
+                    yield batch(out)
+                    out = []
+        yield batch(out)
 
     return run
 
@@ -177,7 +194,11 @@ def with_annexes(paragraphs: DataFrame, changes: DataFrame, color: str) -> DataF
     spaced = preamble.comparable_annex_lines(new.select(F.concat_ws("\u0001", "doc_id", "label").alias("doc_id"), "ord", "text"))
     spaced = spaced.select(F.substring_index("doc_id", "\u0001", 1).alias("doc_id"), F.substring_index("doc_id", "\u0001", -1).alias("label"), "ord", "text")
     old = keyed(lines.join(new.select("doc_id", "label").distinct(), ["doc_id", "label"], "left_semi").select("doc_id", "label", "ord", "text", "runs"))
-    done = old.groupBy("doc_id", "label").cogroup(keyed(spaced).groupBy("doc_id", "label")).applyInPandas(_change(color), CHANGED)
+    side = lambda df, n, runs: df.select("doc_id", "label", F.lit(n).alias("side"), F.col("ord").cast("bigint").alias("ord"), "text", "kind", "value", runs.cast(revise.RUNS).alias("runs"))
+    # most annexes are a few lines, for which a group each costs more than the work on it: they are sorted and folded as they come
+    unit, schema = ("doc_id", "label"), paragraphs.sparkSession.createDataFrame([], CHANGED).schema
+    rows = side(old, 0, F.col("runs")).unionByName(side(keyed(spaced), 1, F.lit(None))).repartition(4 * partitions(paragraphs.sparkSession), *unit).sortWithinPartitions(*unit, "side", "ord")
+    done = written(rows.mapInArrow(_change(color, to_arrow_schema(schema)), schema), "annexes")
     base = F.when(~F.col("label").rlike("^[IVXLC]+$"), F.regexp_extract("label", r"^([IVXLC]+)[A-Z]$", 1))
     last = ends.groupBy("doc_id").agg(F.max("end").alias("last"))
     size = lines.groupBy("doc_id").agg(F.max("ord").alias("size"))

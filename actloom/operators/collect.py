@@ -6,9 +6,12 @@ Only the context that lines leave to later ones is folded, per (doc_id, article)
 
 from __future__ import annotations
 
+from collections import namedtuple
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, fields
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from actloom.functions import classify as C
 from actloom.functions import targets as G
 from actloom.functions import text as X
 from actloom.operators.amendments import item_text
+from actloom.runtime import partitions
 
 ITEMS = (
     "doc_id string, article_number string, article_heading string, pos int, nth int, text string, amendment_kind string, target_article_number string, target_paragraph_number string, "
@@ -33,7 +37,7 @@ class Context:
     annex: str | None = None
     annex_point: str | None = None
     inserted: str | None = None
-    instruction: pd.Series | None = None
+    instruction: tuple | None = None
     above_paragraph: str | None = None
     above_point: str | None = None
 
@@ -63,7 +67,7 @@ def _opt(v: object) -> str | None:
     return None if v is None or v != v or v == "" else v  # type: ignore[return-value]
 
 
-def _instruct(c: Context, r: pd.Series) -> list[str | None]:
+def _instruct(c: Context, r: tuple) -> list[str | None]:
     """Take an instruction into the context; the points it deletes, [None] for a deletion without point, [] for none."""
     if r.numbers:
         c.clear()
@@ -94,16 +98,15 @@ def _instruct(c: Context, r: pd.Series) -> list[str | None]:
     return gone
 
 
-def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Items of one amending article."""
+def fold(rows: Iterable[tuple]) -> Iterator[tuple]:
+    """Items of one amending article, whose lines come in their order."""
     c = Context()
-    out: list[tuple] = []
-    for r in pdf.sort_values("pos").itertuples(index=False):
+    for r in rows:
         head = (r.doc_id, r.article_number, r.article_heading, r.pos)
         if r.instructs:
             gone = _instruct(c, r)
             for n, pt in enumerate(gone):
-                out.append((*head, n, r.line, "deletion", c.article, c.paragraph, pt, c.annex, c.annex_point, c.inserted, r.line))
+                yield (*head, n, r.line, "deletion", c.article, c.paragraph, pt, c.annex, c.annex_point, c.inserted, r.line)
             if r.deletes and not r.numbers:
                 c.paragraph = None
             continue
@@ -128,15 +131,42 @@ def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         if point is None and not pt_marker and not c.annex and not (own is not None and own.adds_article):
             point = c.above_point
         annex_point = (_opt(own.ann_pt) or c.annex_point) if c.annex and replaces else c.annex_point
-        out.append((*head, 0, r.payload, None, c.article, paragraph, point, c.annex, annex_point, c.inserted, own.line if own is not None else None))
-    return pd.DataFrame(out, columns=[x.split()[0] for x in ITEMS.split(", ")])
+        yield (*head, 0, r.payload, None, c.article, paragraph, point, c.annex, annex_point, c.inserted, own.line if own is not None else None)
+
+
+SENT = 4096  # items that are sent on together
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of many articles, one article behind the other, to their items."""
+    schema = pa.schema([(name, pa.int32() if kind == "int" else pa.string()) for name, kind in (x.split() for x in ITEMS.split(", "))])
+    batch = lambda out: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [()] * len(schema), schema, strict=True)], schema=schema)
+
+    def rows() -> Iterator[tuple]:
+        for b in batches:
+            line = namedtuple("Line", b.schema.names)
+            yield from map(line, *(c.to_pylist() for c in b.columns))
+
+    out: list[tuple] = []
+    for _, own in groupby(rows(), lambda r: (r.doc_id, r.article_number)):
+        for got in fold(own):
+            out.append(got)
+            if len(out) >= SENT:
+                yield batch(out)
+                out = []
+    yield batch(out)
 
 
 def items(lines: DataFrame) -> DataFrame:
-    """Items with item_idx in document order; lines of different articles fold in parallel."""
+    """Items with item_idx in document order; lines of different articles fold in parallel.
+
+    Lines are sorted by article and folded as they come: most articles are a few lines, for which a group each costs more
+    than the work on it.
+    """
     from pyspark.sql import Window
 
-    got = described(lines).groupBy("doc_id", "article_number").applyInPandas(fold, ITEMS)
+    unit = ("doc_id", "article_number")
+    got = described(lines).repartition(4 * partitions(lines.sparkSession), *unit).sortWithinPartitions(*unit, "pos").mapInArrow(_folded, ITEMS)
     kind = F.coalesce("amendment_kind", C.amendment_kind(F.col("source_instruction"), F.col("text")))
     idx = F.row_number().over(Window.partitionBy("doc_id").orderBy("pos", "nth")) - 1
     return got.withColumn("amendment_kind", kind).withColumn("item_idx", idx).drop("pos", "nth")

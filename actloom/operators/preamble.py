@@ -204,11 +204,11 @@ def with_title_and_recitals(paragraphs: DataFrame, title: DataFrame, recital_lin
     held = F.col("runs") if "runs" in paragraphs.columns else F.lit(None).cast(RUNS)
     own = paragraphs.select("doc_id", F.col("ord").cast("double").alias("at"), F.lit(0).cast("bigint").alias("k"), "text", F.lit(False).alias("added"), held.alias("runs"))
     there = paragraphs.select("doc_id", X.clean(F.col("text")).alias("c")).distinct()
-    rec = F.col("text").rlike(r"^\s*\(\d+\)")
-    first_article = F.min(F.when(C.article_number(F.col("text")).isNotNull(), F.col("ord"))).over(Window.partitionBy("doc_id"))
-    before = paragraphs.withColumn("stop", first_article).where("stop is null or ord < stop")
-    size = paragraphs.groupBy("doc_id").agg(F.min("ord").alias("lo"))
-    marks = before.groupBy("doc_id").agg(F.max(F.when(rec, F.col("ord"))).alias("hi"), F.min(F.when(rec, F.col("ord"))).alias("first"))
+    # flags and not texts are sent, and of these only what an act's first article and recitals need
+    flags = paragraphs.select("doc_id", "ord", F.col("text").rlike(r"^\s*\(\d+\)").alias("rec"), C.article_number(F.col("text")).isNotNull().alias("art"))
+    size = flags.groupBy("doc_id").agg(F.min("ord").alias("lo"), F.min(F.when(F.col("art"), F.col("ord"))).alias("stop"))
+    before = flags.where("rec").join(size, "doc_id").where("stop is null or ord < stop")
+    marks = before.groupBy("doc_id").agg(F.max("ord").alias("hi"), F.min("ord").alias("first"))
     ends = size.join(marks, "doc_id", "left").select("doc_id", F.coalesce("hi", "lo").alias("last_recital"), F.coalesce(F.col("first") - 1, F.col("lo")).alias("title_end"))
     new = lambda df: df.withColumn("c", X.clean(F.col("text"))).where("c <> ''").join(there, ["doc_id", "c"], "left_anti").join(ends, "doc_id")
     head = new(title).select("doc_id", F.explode(F.array(F.lit("as amended by"), F.array_join(X.title_lines(F.col("text")), "\n"))).alias("text"), "title_end")

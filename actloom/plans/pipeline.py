@@ -13,7 +13,7 @@ from actloom.operators import amendments, apply, checks, collect, coverage
 from actloom.operators import annexes as N
 from actloom.operators import preamble as P
 from actloom.operators import structure as S
-from actloom.runtime import written
+from actloom.runtime import spread, written
 from actloom.sources import html
 
 STRICT, PRACTICAL = 0.995, 0.985
@@ -49,13 +49,17 @@ def consolidate(paragraphs: DataFrame, amending: DataFrame, color: str, target:
     number each act names in its opening.  With ``require_full`` an operation without its preconditions, or a document not applied in one go, is an error.
     Without ``matches`` the analysis lacks the best match of each item (see :func:`apply.apply_layer`).
     """
-    e = written(html.elements(amending), "elements")
-    title, numbered = S.titles(e, S.legal_root(e)).where(F.col("title") != S.UNTITLED).select("doc_id", F.col("title").alias("text")), P.recitals(e).select("doc_id", "pos", "text")
-    fallback = P.fallback_recitals(e).join(numbered.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "pos", "text")
-    lines = P.with_title_and_recitals(paragraphs, title, numbered.unionByName(fallback), color).drop("added")
-    lines = written(P.with_closing(lines, P.closing_lines(P.entry_into_force(e), P.signatories(e)), color).drop("added"), "lines")
-    lines = written(N.with_annexes(lines, P.annex_changes(e), color), "lines")
-    raw = collect.items(amending_lines(e))
+    e = written(html.elements(spread(amending)), "elements")
+    paragraphs = written(paragraphs, "paragraphs")  # every part looks at them
+    # what a page adds is written before it meets the act, so no plan holds the whole layer and none of its parts is made twice
+    title = written(S.titles(e, S.legal_root(e)).where(F.col("title") != S.UNTITLED).select("doc_id", F.col("title").alias("text")), "title")
+    numbered = written(P.recitals(e).select("doc_id", "pos", "text"), "recitals")
+    fallback = written(P.fallback_recitals(e).join(numbered.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "pos", "text"), "recitals")
+    closing = written(P.closing_lines(P.entry_into_force(e), P.signatories(e)), "closing")
+    lines = written(P.with_title_and_recitals(paragraphs, title, numbered.unionByName(fallback), color).drop("added"), "lines")
+    lines = written(P.with_closing(lines, closing, color).drop("added"), "lines")
+    lines = written(N.with_annexes(lines, written(P.annex_changes(e), "changes"), color), "lines")
+    raw = written(collect.items(amending_lines(e)), "raw")
     if infer_target and not target:
         raw = raw.join(amendments.target_regulation(paragraphs), "doc_id", "left")
     items = written(amendments.identify(raw, F.lit(target) if target else F.col("target") if infer_target else None), "items")
