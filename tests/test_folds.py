@@ -57,3 +57,15 @@ def test_annexes_of_many_acts_are_changed_without_a_group_each(spark, monkeypatc
     monkeypatch.setattr(annexes, "SENT", 4)
     parts = [pa.Table.from_batches(list(annexes._change(COLOR, schema)(iter(whole.to_batches(max_chunksize=n))))).to_pylist() for n in (1, 4, 1000)]
     assert parts[0] == parts[1] == parts[2] and {r["doc_id"] for r in parts[0]} == {f"d{d}" for d in range(9) if (d + 1) % 3}
+
+
+def test_headings_are_sought_only_in_lines_that_name_them(spark):
+    from actloom.functions import classify as C
+
+    texts = ["ANNEX IV", " ‘Annex iva’ ", "‘ AnNeX\t\n II.", "Annexes I", "an annex I", "Article 3a", " ARTICLE  7 ", "see Article 3", "Chapter ii", "chapter X.", "ſArticle 1", "ARTİCLE 1", "ANNE X", "", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(*[f(F.col("t")).alias(n) for n, f in (("x", C.annex_label), ("a", C.article_number), ("c", C.chapter_number))])
+    want = {0: ("IV", None, None), 1: ("IVA", None, None), 2: ("II", None, None), 5: (None, "3a", None), 6: (None, "7", None), 8: (None, None, "II"), 9: (None, None, "X")}
+    assert [tuple(r) for r in got.collect()] == [want.get(i, (None, None, None)) for i in range(len(texts))]
+    # a line without the word is not cleaned: the search stands behind the test for it
+    for c in got.columns:
+        assert "case when contains(lower(" in plan(got.select(c)).lower()
